@@ -133,8 +133,6 @@ def forecast_forest(spark, model, grid, keys, ts, y, horizon=168, out="predicted
     keys = list(keys)
     trees = spark.sparkContext.broadcast(nodes or forest_nodes(spark, model))
     series = recent_values(grid, keys, ts, y, max([*LAGS.values(), *MEANS.values()]))
-    if keys:
-        series = series.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys)
     run = _recursion(trees, horizon, list(LAGS.values()), list(MEANS.values()))
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in series.schema.fields
              if f.name != "history"]

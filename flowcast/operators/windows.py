@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 from flowcast.functions.calendar import as_column
 from flowcast.functions.numeric import filled
 from flowcast.sources.staging import stage
+from flowcast.sources.writers import MIB, estimated_bytes
 
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -65,6 +66,12 @@ def add_trailing_means(df, keys, ts, y, windows, warmup="null"):
     return summed.select(*df.columns, *columns)
 
 
+def _range_parts(df, per_part=4 * MIB):
+    """Range partitions: the session's shuffle setting, fewer when the data is small."""
+    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(setting, max(1, -(-estimated_bytes(df) // per_part)))
+
+
 def global_row_index(df, order, name="row_index", start=1):
     """Consecutive numbers over the whole table in ``order``, without one big task.
 
@@ -72,10 +79,8 @@ def global_row_index(df, order, name="row_index", start=1):
     and staged once with their position in the partition; only the row count per
     partition, one row each, is summed up in order.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = (
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(_range_parts(df), *order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )

@@ -40,14 +40,18 @@ def day_pattern(result, days_after_split=5):
     return rows.select(*result.keys, F.hour(result.ts).alias("hour"), "actual", "predicted")
 
 
-def hour_pattern(result, n="n"):
-    """Mean actual and fitted value per hour of day over the training rows."""
+def fitted(result, n="n"):
+    """The model's own predictions for its training rows."""
     train = before(result.features, result.ts, mark(result, "test_start"))
     if result.model is None:
-        scored = train.withColumn("predicted", F.lit(None).cast("double"))
-    else:
-        scored = predict_forest(result.model, train)
-    rows = scored.select(*result.keys, result.ts, F.col(n).alias("actual"), "predicted")
+        return train.withColumn("predicted", F.lit(None).cast("double"))
+    return predict_forest(result.model, train)
+
+
+def hour_pattern(result, rows=None, n="n"):
+    """Mean actual and fitted value per hour of day over the training rows."""
+    rows = fitted(result, n) if rows is None else rows
+    rows = rows.select(*result.keys, result.ts, F.col(n).alias("actual"), "predicted")
     return hour_of_day_means(rows, result.ts, ["actual", "predicted"], result.keys)
 
 

@@ -1,3 +1,97 @@
+"""Write a supplied table in some format, read it back, and query the copy."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from flowcast.operators import match as mt
+from flowcast.operators.hourly import hourly_counts
+from flowcast.queries import documents as docs
+from flowcast.queries.nesting import DELIVERIES
 from flowcast.queries.registry import registrar
+from flowcast.sources import catalog, readers, writers
+from flowcast.sources.audit import audit_copy
+from flowcast.sources.readers import read_table
+from flowcast.sources.staging import scratch_path
 
 QUERIES, ORACLES, query = registrar()
+
+# The product file.
+PRODUCT = "ProductID int, ProductName string, Category string, ListPrice double"
+
+
+def _products(spark, sf):
+    return read_table(spark, sf, "part").select(
+        F.col("p_partkey").cast("int").alias("ProductID"), F.col("p_name").alias("ProductName"),
+        F.col("p_type").alias("Category"), F.col("p_retailprice").alias("ListPrice"))
+
+
+@query("""SELECT CAST(p_partkey AS INTEGER) AS "ProductID", p_name AS "ProductName", p_type AS "Category",
+p_retailprice AS "ListPrice" FROM part""")
+def csv_roundtrip(spark, sf):
+    path = scratch_path(spark, "products")
+    writers.write_csv(_products(spark, sf), path, compact=True)
+    return readers.read_csv(spark, path, PRODUCT)
+
+
+@query(f"""SELECT * REPLACE (CAST("Over" AS VARCHAR) AS "Over", CAST("Runs_Batter" AS VARCHAR) AS "Runs_Batter",
+CAST("Runs_Extras" AS VARCHAR) AS "Runs_Extras", CAST("Runs_Total" AS VARCHAR) AS "Runs_Total")
+FROM ({DELIVERIES})""")
+def csv_all_strings(spark, sf):
+    path = scratch_path(spark, "deliveries")
+    writers.write_csv(mt.ball_by_ball(docs.innings_documents(spark, sf)), path)
+    return readers.read_csv(spark, path)
+
+
+@query("""SELECT date_trunc('hour', ts) AS ts_hour, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
+def csv_inferred_counts(spark, sf):
+    path = scratch_path(spark, "movements")
+    rows = read_table(spark, sf, "events").select("ts", "event_type")
+    writers.write_csv(rows, path)
+    timed = readers.with_event_time(readers.read_csv(spark, path, infer=True), "timestamp")
+    return hourly_counts(timed, "event_time", ["event_type"])
+
+
+@query("SELECT * FROM supplier")
+def format_scan(spark, sf):
+    return readers.read_format(spark, "parquet", f"{sf}/supplier.parquet",
+                               inferSchema="false", header="false", sep=",")
+
+
+@query(DELIVERIES)
+def json_roundtrip(spark, sf):
+    path = scratch_path(spark, "documents")
+    writers.write_json(docs.innings_documents(spark, sf), path)
+    schema = "match_id string, " + mt.MATCH_SCHEMA
+    return mt.ball_by_ball(readers.read_json(spark, path, schema, multiline=False))
+
+
+@query("SELECT * FROM lineitem")
+def parquet_compact(spark, sf):
+    path = scratch_path(spark, "compact")
+    writers.compact_parquet(read_table(spark, sf, "lineitem"), path)
+    return readers.read_parquet(spark, path)
+
+
+@query("SELECT * FROM orders")
+def table_roundtrip(spark, sf):
+    name = "orders_copy_" + uuid.uuid4().hex
+    return writers.save_table(read_table(spark, sf, "orders"), name,
+                              path=scratch_path(spark, "table"))
+
+
+@query("SELECT event_id, event_type, value FROM events WHERE value > 50")
+def sql_view(spark, sf):
+    name = "events-1_json"
+    catalog.register_view(read_table(spark, sf, "events"), name)
+    return catalog.query_view(spark, name, ["event_id", "event_type", "value"], "value > 50")
+
+
+@query("""SELECT count(*) AS source_rows, count(*) AS copy_rows, CAST(1 AS BIGINT) AS copy_files,
+true AS schema_equal, true AS content_equal FROM lineitem""")
+def write_audit(spark, sf):
+    source, path = read_table(spark, sf, "lineitem"), scratch_path(spark, "audited")
+    writers.compact_parquet(source, path)
+    audit = audit_copy(source, readers.read_parquet(spark, path))
+    # The file count follows the data's size; here only whether there is any.
+    return audit.withColumn("copy_files", F.least("copy_files", F.lit(1).cast("bigint")))

@@ -1,3 +1,189 @@
+"""Model fits, forecasts and report tables over ``events``.
+
+The published holdout of 30 days does not fit the supplied 30 days of events; queries
+hold out 7.
+"""
+
+from pyspark.sql import functions as F
+
+from flowcast.models import linear as ln
+from flowcast.operators import features as ft
+from flowcast.operators import windows as wn
+from flowcast.operators.hourly import hourly_grid
+from flowcast.operators.splits import before, holdout_start, since
+from flowcast.plans import reports as rp
+from flowcast.plans.forecast import Forecast, compare_models, forecast_job, forecast_rows
 from flowcast.queries.registry import registrar
+from flowcast.queries.series import BY_TYPE, SERIES, events, grid
+from flowcast.sources.staging import stage
 
 QUERIES, ORACLES, query = registrar()
+KEYS = ["event_type"]
+
+PAIRS = f"""WITH {BY_TYPE},
+p AS (SELECT event_type, ts_hour, CAST(n AS DOUBLE) AS y, CAST(lag(n) OVER w AS DOUBLE) AS x FROM g {SERIES})"""
+
+
+@query(f"""WITH {BY_TYPE}, p AS (SELECT event_type, CAST(n AS DOUBLE) AS y, CAST(lag(n, 1) OVER w AS DOUBLE) AS x1,
+CAST(lag(n, 24) OVER w AS DOUBLE) AS x24 FROM g {SERIES})
+SELECT event_type, count(*) AS n, sum(y * y) AS y_y, sum(y * x1) AS y_x1, sum(y * x24) AS y_x24,
+sum(x1 * x1) AS x1_x1, sum(x1 * x24) AS x1_x24, sum(x24 * x24) AS x24_x24
+FROM p WHERE x24 IS NOT NULL GROUP BY 1""")
+def gram_sums(spark, sf):
+    lagged = wn.add_lags(grid(spark, sf), KEYS, "ts_hour", "n", {"x1": 1, "x24": 24})
+    rows = lagged.filter(F.col("x24").isNotNull())
+    return ln.gram_sums(rows, KEYS, {"y": F.col("n"), "x1": F.col("x1"), "x24": F.col("x24")})
+
+
+@query(PAIRS + """ SELECT event_type, round(regr_slope(y, x), 9) AS slope,
+round(regr_intercept(y, x), 9) AS intercept, count(*) AS n FROM p WHERE x IS NOT NULL GROUP BY 1""")
+def ar1_coefficients(spark, sf):
+    out = ln.ar1_coefficients(grid(spark, sf), KEYS, "ts_hour", "n")
+    return out.withColumns({c: F.round(c, 9) for c in ("slope", "intercept")})
+
+
+@query(PAIRS.replace("WITH", "WITH RECURSIVE", 1) + """,
+f AS (SELECT event_type, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, max(ts_hour) AS last,
+  arg_max(y, ts_hour) AS y0 FROM p GROUP BY 1),
+r AS (SELECT event_type, 0 AS h, y0 AS y FROM f UNION ALL
+  SELECT r.event_type, h + 1, a + b * y FROM r JOIN f USING (event_type) WHERE h < 168)
+SELECT event_type, last + to_hours(h) AS ts_hour, round(greatest(y, 0.0), 6) AS predicted
+FROM r JOIN f USING (event_type) WHERE h > 0""")
+def ar1_forecast(spark, sf):
+    """The recursion of the autoregression with one plain lag, checkable in SQL."""
+    rows = stage(grid(spark, sf), "grid")
+    last = rows.groupBy(*KEYS).agg(
+        F.max("ts_hour").alias("last_ts"),
+        F.array(F.max_by("n", "ts_hour").cast("double")).alias("history"))
+    fitted = ln.ar1_coefficients(rows, KEYS, "ts_hour", "n").join(last, KEYS)
+    fitted = fitted.withColumn("weights", F.array("slope"))
+    out = ln.forecast_autoregression(fitted, KEYS, "ts_hour")
+    return out.withColumn("predicted", F.round("predicted", 6))
+
+
+@query()
+def ar_forecast(spark, sf):
+    fitted = ln.fit_autoregression(grid(spark, sf), KEYS, "ts_hour", "n")
+    return ln.forecast_autoregression(fitted, KEYS, "ts_hour")
+
+
+@query()
+def seasonal_ar_forecast(spark, sf):
+    fitted = ln.fit_autoregression(grid(spark, sf), KEYS, "ts_hour", "n", seasonal=(24, 48))
+    return ln.forecast_autoregression(fitted, KEYS, "ts_hour")
+
+
+@query()
+def fourier_forecast(spark, sf):
+    fitted = ln.fit_fourier(grid(spark, sf), KEYS, "ts_hour", "n")
+    return ln.forecast_fourier(fitted, KEYS, "ts_hour")
+
+
+@query()
+def model_comparison(spark, sf):
+    return compare_models(events(spark, sf), "ts", KEYS)
+
+
+@query()
+def model_errors(spark, sf):
+    return rp.model_errors(compare_models(events(spark, sf), "ts", KEYS), KEYS)
+
+
+def _job(spark, sf, keys=()):
+    return forecast_job(events(spark, sf), "ts", keys, holdout_days=7)
+
+
+@query()
+def forest_holdout(spark, sf):
+    return _job(spark, sf).metrics
+
+
+@query()
+def forest_importance(spark, sf):
+    return rp.top_importances(_job(spark, sf))
+
+
+@query()
+def forest_recursive(spark, sf):
+    return rp.first_week(_job(spark, sf, KEYS))
+
+
+@query()
+def forest_hour_pattern(spark, sf):
+    return rp.hour_pattern(_job(spark, sf))
+
+
+def _naive(spark, sf):
+    """A forecast whose predictions SQL can repeat: the value 168 hours before."""
+    features = stage(ft.add_history(grid(spark, sf), KEYS, "ts_hour", "n"), "naive")
+    start = holdout_start(features, "ts_hour", 7)
+    train, test = before(features, "ts_hour", start), since(features, "ts_hour", start)
+    future = ft.future_frame(features, KEYS, "ts_hour")
+    ahead = wn.add_lags(ft.extend(features.select("ts_hour", *KEYS, "n"), future), KEYS,
+                        "ts_hour", "n", {"predicted": 168})
+    rows = forecast_rows(
+        train, test.withColumn("predicted", F.col("lag_168h")),
+        ahead.filter(F.col("n").isNull()), KEYS, "ts_hour", "n", "naive")
+    marks = features.agg(F.min("ts_hour").alias("first_ts"), F.max("ts_hour").alias("last_ts"))
+    marks = marks.select("first_ts", start.alias("test_start"), "last_ts",
+                         (F.col("last_ts") + F.expr("INTERVAL '1' HOUR")).alias("forecast_start"))
+    return Forecast(None, rows, None, None, features, marks, tuple(KEYS), "ts_hour")
+
+
+NAIVE = f"""WITH {BY_TYPE},
+m AS (SELECT max(ts_hour) - INTERVAL 7 DAY AS test_start, max(ts_hour) + INTERVAL 1 HOUR AS forecast_start FROM g),
+f AS (SELECT unnest(generate_series(hi + INTERVAL 1 HOUR, hi + INTERVAL 168 HOUR, INTERVAL 1 HOUR)) AS ts_hour,
+  event_type, NULL AS n FROM b CROSS JOIN k),
+a AS (SELECT *, CAST(lag(n, 168) OVER w AS DOUBLE) AS p FROM (SELECT * FROM g UNION ALL SELECT * FROM f) {SERIES}),
+x AS (SELECT event_type, ts_hour, 'naive' AS model, CAST(n AS DOUBLE) AS actual,
+  CASE WHEN ts_hour >= test_start THEN CASE WHEN ts_hour < forecast_start THEN coalesce(p, 0.0) ELSE p END END AS predicted,
+  CASE WHEN ts_hour < test_start THEN 'train' WHEN ts_hour < forecast_start THEN 'test' ELSE 'future' END AS segment,
+  test_start, forecast_start FROM a CROSS JOIN m)
+"""
+
+
+@query(NAIVE + "SELECT * FROM x")
+def report_overall(spark, sf):
+    return rp.overall(_naive(spark, sf))
+
+
+@query(NAIVE + """SELECT event_type, ts_hour, model, actual, predicted, segment FROM x
+WHERE ts_hour BETWEEN test_start AND forecast_start""")
+def report_test_period(spark, sf):
+    return rp.test_period(_naive(spark, sf))
+
+
+@query(NAIVE + """SELECT date_trunc('day', ts_hour) AS day, event_type, segment, coalesce(sum(actual), 0.0) AS actual,
+coalesce(sum(predicted), 0.0) AS predicted FROM x GROUP BY 1, 2, 3""")
+def report_daily(spark, sf):
+    return rp.daily(_naive(spark, sf))
+
+
+@query(NAIVE + """SELECT event_type, CAST(hour(ts_hour) AS INTEGER) AS hour, actual, predicted FROM x
+WHERE date_trunc('day', ts_hour) = date_trunc('day', test_start) + INTERVAL 5 DAY""")
+def report_day_pattern(spark, sf):
+    return rp.day_pattern(_naive(spark, sf))
+
+
+@query(NAIVE + """SELECT event_type, ts_hour, predicted FROM x
+WHERE ts_hour BETWEEN forecast_start AND forecast_start + INTERVAL 7 DAY""")
+def report_first_week(spark, sf):
+    return rp.first_week(_naive(spark, sf))
+
+
+@query(NAIVE + """SELECT event_type, CAST(hour(ts_hour) AS INTEGER) AS hour, avg(actual) AS actual,
+avg(coalesce(p, 0.0)) AS predicted FROM (SELECT x.*, a.p FROM x JOIN a USING (event_type, ts_hour))
+WHERE segment = 'train' GROUP BY 1, 2""")
+def report_hour_pattern(spark, sf):
+    result = _naive(spark, sf)
+    train = before(result.features, "ts_hour", rp.mark(result, "test_start"))
+    return rp.hour_pattern(result, train.withColumn("predicted", F.col("lag_168h")))
+
+
+@query(NAIVE + """SELECT event_type, model, avg(abs(actual - predicted)) AS mae,
+sqrt(avg((actual - predicted) * (actual - predicted))) AS rmse,
+round(100 * avg(CASE WHEN actual <> 0 THEN abs(actual - predicted) / actual END), 9) AS mape, count(*) AS n,
+count(*) FILTER (WHERE actual = 0) AS n_zero FROM x WHERE segment = 'test' GROUP BY 1, 2""")
+def report_errors(spark, sf):
+    rows = _naive(spark, sf).forecast.filter("segment = 'test'")
+    return rp.model_errors(rows, KEYS).withColumn("mape", F.round("mape", 9))
