@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from flowcast.models import linear as ln
 from flowcast.operators import features as ft
 from flowcast.operators import windows as wn
-from flowcast.operators.hourly import hourly_grid
 from flowcast.operators.splits import before, holdout_start, since
 from flowcast.plans import reports as rp
 from flowcast.plans.forecast import Forecast, compare_models, forecast_job, forecast_rows
 from flowcast.queries.registry import registrar
-from flowcast.queries.series import BY_TYPE, SERIES, events, grid
+from flowcast.queries.series import BY_TYPE, SERIES, events, grid, staged_grid
 from flowcast.sources.staging import stage
 
 QUERIES, ORACLES, query = registrar()
@@ -51,7 +50,7 @@ SELECT event_type, last + to_hours(h) AS ts_hour, round(greatest(y, 0.0), 6) AS
 FROM r JOIN f USING (event_type) WHERE h > 0""")
 def ar1_forecast(spark, sf):
     """The recursion of the autoregression with one plain lag, checkable in SQL."""
-    rows = stage(grid(spark, sf), "grid")
+    rows = staged_grid(spark, sf)
     last = rows.groupBy(*KEYS).agg(
         F.max("ts_hour").alias("last_ts"),
         F.array(F.max_by("n", "ts_hour").cast("double")).alias("history"))

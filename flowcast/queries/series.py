@@ -67,6 +67,11 @@ def grid(spark, sf):
     return hr.hourly_grid(events(spark, sf), "ts", ["event_type"])
 
 
+def staged_grid(spark, sf):
+    """The grid for queries that use it more than once, so events are scanned once."""
+    return stage(grid(spark, sf), "grid")
+
+
 @query("""SELECT date_trunc('hour', ts) AS ts_hour, event_type, count(*) AS n
 FROM events GROUP BY 1, 2""")
 def hourly_counts(spark, sf):
@@ -190,7 +195,7 @@ def series_keys(spark, sf):
 CASE WHEN ts_hour < (SELECT max(ts_hour) - INTERVAL 7 DAY FROM g) THEN 'train' ELSE 'test' END AS segment
 FROM g""")
 def holdout_split_days(spark, sf):
-    return sp.holdout_by_days(grid(spark, sf), "ts_hour", 7)
+    return sp.holdout_by_days(staged_grid(spark, sf), "ts_hour", 7)
 
 
 @query(f"""WITH {BY_TYPE} SELECT ts_hour, event_type, n, CASE WHEN row_number()
@@ -214,8 +219,9 @@ round({mape}, 9) AS mape, count(*) AS n, count(*) FILTER (WHERE y = 0) AS n_zero
 
 
 def _lag_errors(spark, sf, mode):
-    lagged = wn.add_lags(grid(spark, sf), ["event_type"], "ts_hour", "n", {"predicted": 24})
-    test = sp.since(lagged, "ts_hour", sp.holdout_start(grid(spark, sf), "ts_hour", 7))
+    rows = staged_grid(spark, sf)
+    lagged = wn.add_lags(rows, ["event_type"], "ts_hour", "n", {"predicted": 24})
+    test = sp.since(lagged, "ts_hour", sp.holdout_start(rows, "ts_hour", 7))
     out = forecast_metrics(test, "n", "predicted", ["event_type"], mode)
     return out.withColumn("mape", F.round("mape", 9))
 
@@ -235,7 +241,7 @@ def forecast_metrics_published(spark, sf):
 unnest(generate_series(max(ts_hour) + INTERVAL 1 HOUR, max(ts_hour) + INTERVAL 168 HOUR, INTERVAL 1 HOUR))
 AS ts_hour FROM g GROUP BY 1) SELECT event_type, ts_hour, {CALENDAR} FROM f""")
 def future_frame(spark, sf):
-    return ft.add_calendar(ft.future_frame(grid(spark, sf), ["event_type"], "ts_hour"), "ts_hour")
+    return ft.add_calendar(ft.future_frame(staged_grid(spark, sf), ["event_type"], "ts_hour"), "ts_hour")
 
 
 @query(f"""WITH {BY_TYPE}, f AS (SELECT unnest(generate_series(max(ts_hour) + INTERVAL 1 HOUR,
@@ -245,7 +251,7 @@ SELECT ts_hour, event_type, n, {_lag(1, False)} AS lag_1h, {_lag(24, False)} AS
 {_lag(168, False)} AS lag_168h, {_mean(24, False)} AS rolling_24h_mean, {_mean(168, False)} AS rolling_7d_mean
 FROM a {SERIES}""")
 def future_features(spark, sf):
-    history = grid(spark, sf)
+    history = staged_grid(spark, sf)
     both = ft.extend(history, ft.future_frame(history, ["event_type"], "ts_hour"))
     return ft.add_history(both, ["event_type"], "ts_hour", "n", warmup="null")
 
@@ -272,7 +278,7 @@ def day_slice(spark, sf):
 @query(f"""WITH {BY_TYPE} SELECT * FROM g WHERE ts_hour BETWEEN
 (SELECT min(ts_hour) + INTERVAL 7 DAY FROM g) AND (SELECT min(ts_hour) + INTERVAL 14 DAY FROM g)""")
 def week_slice(spark, sf):
-    rows = grid(spark, sf)
+    rows = staged_grid(spark, sf)
     start = plus(rows.agg(F.min("ts_hour").alias("t")).scalar(), days=7)
     return sp.between(rows, "ts_hour", start, plus(start, days=7))
 
@@ -312,9 +318,10 @@ z AS (SELECT day, event_type, total,
 """
 
 
-def _scaled(spark, sf):
-    daily = events(spark, sf).groupBy(day_bucket("ts").alias("day"), "event_type").agg(
-        F.count("*").alias("total"))
+def _scaled(counts):
+    """Daily totals from hourly counts, times the weekend factor."""
+    daily = counts.groupBy(day_bucket("ts_hour").alias("day"), "event_type").agg(
+        F.sum("n").alias("total"))
     factor = F.when(is_weekend("day") == 0, F.lit("1.0")).otherwise(
         by_case("event_type", WEEKEND, "1.0"))
     return pf.scale_totals(daily, "total", factor)
@@ -322,7 +329,7 @@ def _scaled(spark, sf):
 
 @query(f"WITH {SCALED} SELECT * FROM z")
 def weekend_totals(spark, sf):
-    return _scaled(spark, sf)
+    return _scaled(hr.hourly_counts(events(spark, sf), "ts", ["event_type"]))
 
 
 @query(f"""WITH {SCALED}, p AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS weight FROM events GROUP BY 1),
@@ -334,9 +341,9 @@ r AS (SELECT *, row_number() OVER (PARTITION BY day, event_type ORDER BY rest DE
   scaled - sum(base) OVER (PARTITION BY day, event_type) AS spare FROM y)
 SELECT day, event_type, hour, CAST(base + CASE WHEN rn <= spare THEN 1 ELSE 0 END AS BIGINT) AS allocated FROM r""")
 def profile_allocate(spark, sf):
-    weights = events(spark, sf).groupBy(F.hour("ts").alias("hour")).agg(
-        F.count("*").alias("weight"))
-    return pf.allocate(_scaled(spark, sf), ["day", "event_type"], "scaled", weights)
+    counts = stage(hr.hourly_counts(events(spark, sf), "ts", ["event_type"]), "counts")
+    weights = counts.groupBy(F.hour("ts_hour").alias("hour")).agg(F.sum("n").alias("weight"))
+    return pf.allocate(_scaled(counts), ["day", "event_type"], "scaled", weights)
 
 
 @query(f"""WITH {BY_TYPE} SELECT ts_hour, event_type, n, unnest(generate_series(1, n)) AS copy FROM c""")
