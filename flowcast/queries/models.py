@@ -12,6 +12,7 @@ from flowcast.operators import windows as wn
 from flowcast.operators.splits import before, holdout_start, since
 from flowcast.plans import reports as rp
 from flowcast.plans.forecast import Forecast, compare_models, forecast_job, forecast_rows
+from flowcast.queries import fit_sql
 from flowcast.queries.registry import registrar
 from flowcast.queries.series import BY_TYPE, SERIES, events, grid, staged_grid
 from flowcast.sources.staging import stage
@@ -60,32 +61,58 @@ def ar1_forecast(spark, sf):
     return out.withColumn("predicted", F.round("predicted", 6))
 
 
-@query()
+def _sql(*parts):
+    return "WITH RECURSIVE " + ", ".join([BY_TYPE, *parts])
+
+
+def _rounded(df):
+    return df.withColumn("predicted", F.round("predicted", 6))
+
+
+@query(_sql(fit_sql.autoregression("g"))
+       + " SELECT event_type, ts_hour, round(predicted, 6) AS predicted FROM a_out")
 def ar_forecast(spark, sf):
     fitted = ln.fit_autoregression(grid(spark, sf), KEYS, "ts_hour", "n")
-    return ln.forecast_autoregression(fitted, KEYS, "ts_hour")
+    return _rounded(ln.forecast_autoregression(fitted, KEYS, "ts_hour"))
 
 
-@query()
+@query(_sql(fit_sql.autoregression("g", (24, 48)))
+       + " SELECT event_type, ts_hour, round(predicted, 6) AS predicted FROM a_out")
 def seasonal_ar_forecast(spark, sf):
     fitted = ln.fit_autoregression(grid(spark, sf), KEYS, "ts_hour", "n", seasonal=(24, 48))
-    return ln.forecast_autoregression(fitted, KEYS, "ts_hour")
+    return _rounded(ln.forecast_autoregression(fitted, KEYS, "ts_hour"))
 
 
-@query()
+@query(_sql(fit_sql.fourier("g"))
+       + " SELECT event_type, ts_hour, round(predicted, 6) AS predicted FROM f_out")
 def fourier_forecast(spark, sf):
     fitted = ln.fit_fourier(grid(spark, sf), KEYS, "ts_hour", "n")
-    return ln.forecast_fourier(fitted, KEYS, "ts_hour")
+    return _rounded(ln.forecast_fourier(fitted, KEYS, "ts_hour"))
 
 
-@query()
+COMPARED = _sql("""
+o AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts_hour DESC) AS back FROM g),
+tr AS (SELECT ts_hour, event_type, n FROM o WHERE back > 168),
+te AS (SELECT ts_hour, event_type, CAST(n AS DOUBLE) AS actual FROM o WHERE back <= 168)""",
+    fit_sql.autoregression("tr", p="a_"), fit_sql.autoregression("tr", (24, 48), "s_"),
+    fit_sql.fourier("tr"), """
+u AS (SELECT *, 'autoregression' AS model FROM a_out
+  UNION ALL SELECT *, 'seasonal_autoregression' FROM s_out UNION ALL SELECT *, 'fourier' FROM f_out),
+x AS (SELECT event_type, ts_hour, actual, predicted, model FROM te JOIN u USING (event_type, ts_hour))""")
+
+
+@query(COMPARED + " SELECT * REPLACE (round(predicted, 6) AS predicted) FROM x")
 def model_comparison(spark, sf):
-    return compare_models(events(spark, sf), "ts", KEYS)
+    return _rounded(compare_models(events(spark, sf), "ts", KEYS))
 
 
-@query()
+@query(COMPARED + """ SELECT event_type, model, round(avg(abs(actual - predicted)), 6) AS mae,
+round(sqrt(avg((actual - predicted) * (actual - predicted))), 6) AS rmse,
+round(100 * avg(CASE WHEN actual <> 0 THEN abs(actual - predicted) / actual END), 6) AS mape,
+count(*) AS n, count(*) FILTER (WHERE actual = 0) AS n_zero FROM x GROUP BY 1, 2""")
 def model_errors(spark, sf):
-    return rp.model_errors(compare_models(events(spark, sf), "ts", KEYS), KEYS)
+    out = rp.model_errors(compare_models(events(spark, sf), "ts", KEYS), KEYS)
+    return out.withColumns({c: F.round(c, 6) for c in ("mae", "rmse", "mape")})
 
 
 def _job(spark, sf, keys=()):
