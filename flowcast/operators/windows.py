@@ -72,13 +72,15 @@ def _range_parts(df, per_part=4 * MIB):
     return min(setting, max(1, -(-estimated_bytes(df) // per_part)))
 
 
-def global_row_index(df, order, name="row_index", start=1):
+def global_row_index(df, order, name="row_index", start=1, running=None):
     """Consecutive numbers over the whole table in ``order``, without one big task.
 
     ``order`` should be unique per row. Rows are range partitioned, sorted in place
-    and staged once with their position in the partition; only the row count per
-    partition, one row each, is summed up in order.
+    and staged once with their position in the partition; only one row of totals per
+    partition is summed up in order. ``running`` = {name: whole-number column} adds
+    running sums over the table, the current row included.
     """
+    running = dict(running or {})
     placed = (
         df.repartitionByRange(_range_parts(df), *order)
         .sortWithinPartitions(*order)
@@ -87,30 +89,48 @@ def global_row_index(df, order, name="row_index", start=1):
     placed = stage(placed, "row-index")
     part = F.shiftright("_place", 33)
     position = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"))
+    totals = placed.groupBy(part.alias("_part")).agg(
+        F.count("*").alias("_size"),
+        *[filled(F.sum(column)).alias("_all_" + out) for out, column in running.items()],
+    )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", filled(F.sum("_size").over(before)).alias("_offset"))
+    offsets = totals.select(
+        "_part", filled(F.sum("_size").over(before)).alias("_offset"),
+        *[filled(F.sum("_all_" + out).over(before)).alias("_all_" + out) for out in running],
+    )
     # One row per range partition: bounded by spark.sql.shuffle.partitions.
     numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    within = Window.partitionBy("_part").orderBy("_place").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     return numbered.select(
-        *df.columns, (F.col("_offset") + position + F.lit(start)).cast("bigint").alias(name)
+        *df.columns, (F.col("_offset") + position + F.lit(start)).cast("bigint").alias(name),
+        *[(F.col("_all_" + out) + filled(F.sum(column).over(within))).alias(out)
+          for out, column in running.items()],
     )
 
 
-def lag_in_table_order(df, order, values, index="row_index"):
-    """Row-wise lag over the whole table: {name: (column, k)}, series not respected.
+def add_history_in_table_order(df, order, y, lags, means=None, index="row_index"):
+    """Lags and trailing means over the rows of the whole table, whatever their series.
 
     A keyless window would pull every row into one task. The rows are numbered in
-    parallel instead, and each lag is an equi-join on the shifted number.
+    parallel instead, with a running sum; value and sum ``k`` rows back then come by
+    one equi-join per distinct ``k``. ``y`` holds whole numbers, without NULLs.
     """
-    numbered = stage(global_row_index(df, order, index), "numbered")
+    means = dict(means or {})
+    numbered = stage(global_row_index(df, order, index, running={"_sum": y}), "numbered")
+    numbered = numbered.withColumn("_sum", F.col("_sum") - F.col(y))
     out = numbered
-    for name, (column, k) in values.items():
+    for k in sorted({*lags.values(), *means.values()}):
         shifted = numbered.select(
-            (F.col(index) + F.lit(k)).alias(index), F.col(column).alias(name)
-        )
+            (F.col(index) + F.lit(k)).alias(index), F.col(y).alias(f"_lag{k}"),
+            F.col("_sum").alias(f"_sum{k}"))
         out = out.join(shifted, index, "left")
-    return out
+    return out.select(
+        *df.columns,
+        *[F.col(f"_lag{k}").alias(name) for name, k in lags.items()],
+        *[((F.col("_sum") - F.col(f"_sum{k}")) / F.lit(k)).alias(name)
+          for name, k in means.items()],
+    )
 
 
 def sequence_ids(df, order, name="seq_id"):

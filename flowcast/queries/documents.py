@@ -126,9 +126,9 @@ def registry_documents(spark, sf):
         F.col("event_id").alias("match_id"), F.concat(head, "props", tail).alias("value"))
 
 
-def array_documents(spark, sf):
-    """Each run of 256 customers as one JSON array, a line of text each."""
-    rows = in_runs(read_table(spark, sf, "customer"), bits=8)
+def array_documents(spark, sf, bits=8, **options):
+    """Each run of customers as one JSON array text."""
+    rows = in_runs(read_table(spark, sf, "customer"), bits=bits)
     entry = F.struct(
         F.col("c_name").alias("name"), F.col("c_custkey").cast("int").alias("age"),
         F.struct(F.col("c_mktsegment").alias("street"),
@@ -136,4 +136,5 @@ def array_documents(spark, sf):
         F.array(F.struct(F.lit(1).alias("id"), F.col("c_mktsegment").alias("value")),
                 F.struct(F.lit(2).alias("id"), F.col("c_name").alias("value"))).alias("items"),
         F.create_map(F.lit("k"), F.col("c_acctbal").cast("string")).alias("details"))
-    return rows.groupBy("run").agg(F.to_json(F.collect_list(entry)).alias("value")).select("value")
+    return rows.groupBy("run").agg(
+        F.to_json(F.collect_list(entry), options).alias("value")).select("value")

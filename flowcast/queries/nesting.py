@@ -1,12 +1,13 @@
 """Nested documents to flat tables; the documents are nested from the supplied tables."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowcast.operators import match as mt
 from flowcast.operators import nested as nt
 from flowcast.queries import documents as docs
 from flowcast.queries.registry import registrar
-from flowcast.sources.readers import read_table
+from flowcast.sources.readers import read_json, read_table
 from flowcast.sources.staging import scratch_path
 
 QUERIES, ORACLES, query = registrar()
@@ -118,6 +119,35 @@ def root_array(spark, sf):
     return rows.drop("details")
 
 
+FLAT = """SELECT c_name AS name, CAST(c_custkey AS INTEGER) AS age, c_mktsegment AS street,
+CAST(c_nationkey AS VARCHAR) AS city, c_mktsegment AS first_item, CAST(c_acctbal AS VARCHAR) AS k FROM customer"""
+
+
+def _flat(df):
+    return nt.project(df, {"name": "name", "age": "age", "street": "address.street",
+                           "city": "address.city", "first_item": "items[0].value",
+                           "k": ("details", "k")})
+
+
+def _document_files(spark, sf, label):
+    """Pretty-printed arrays over many lines, one document per file."""
+    path = scratch_path(spark, label)
+    arrays = docs.array_documents(spark, sf, bits=12, pretty="true")
+    arrays.write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@query(FLAT)
+def multiline_json(spark, sf):
+    record = T.DataType.fromDDL(RECORD).elementType
+    return _flat(read_json(spark, _document_files(spark, sf, "multiline"), record))
+
+
+@query(FLAT)
+def whole_text_json(spark, sf):
+    return _flat(nt.process_nested_json(spark, _document_files(spark, sf, "whole"), RECORD))
+
+
 @query("""SELECT event_id, event_type, user_id % 10 AS loc, i.n AS copy FROM events
 CROSS JOIN (VALUES (0), (1)) AS i(n)""")
 def exploded_positions(spark, sf):

@@ -93,6 +93,26 @@ def hourly_pivot(spark, sf):
     return hr.hourly_pivot(events(spark, sf), "ts", "event_type", TYPES)
 
 
+@query("SELECT date_trunc('hour', ts) AS ts_hour, event_type, " + ", ".join(
+    f"count(*) FILTER (WHERE user_id % 10 = {i}) AS loc_{i}" for i in range(10))
+    + ", count(*) AS total FROM events GROUP BY 1, 2")
+def hourly_location_pivot(spark, sf):
+    located = events(spark, sf).withColumn(
+        "location", F.concat(F.lit("loc_"), (F.col("user_id") % 10).cast("string")))
+    places = [f"loc_{i}" for i in range(10)]
+    return hr.hourly_pivot(located, "ts", "location", places, ["event_type"])
+
+
+@query("""WITH c AS (SELECT date_trunc('hour', ts) AS ts_hour, event_type, count(*) AS n FROM events
+WHERE event_type = 'click' GROUP BY 1, 2),
+s AS (SELECT unnest(generate_series(min(ts_hour), max(ts_hour), INTERVAL 1 HOUR)) AS ts_hour FROM c)
+SELECT ts_hour, 'click' AS event_type, coalesce(n, 0) AS n FROM s LEFT JOIN c USING (ts_hour)""")
+def one_series(spark, sf):
+    """One series alone; the filter on its key reaches the scan."""
+    rows = events(spark, sf).filter(F.col("event_type") == "click")
+    return hr.hourly_grid(rows, "ts", ["event_type"])
+
+
 @query("""WITH c AS (SELECT date_trunc('hour', ts) AS ts_hour, count(*) AS n FROM events GROUP BY 1),
 s AS (SELECT unnest(generate_series(min(ts_hour), max(ts_hour), INTERVAL 1 HOUR)) AS ts_hour FROM c)
 SELECT ts_hour, coalesce(n, 0) AS n FROM s LEFT JOIN c USING (ts_hour)""")
@@ -149,8 +169,21 @@ def hourly_features_dropped_warmup(spark, sf):
 lag(n, 24) OVER (ORDER BY ts_hour, event_type) AS lag_24_rows FROM c""")
 def row_lag_interleaved(spark, sf):
     counts = hr.hourly_counts(events(spark, sf), "ts", ["event_type"])
-    out = wn.lag_in_table_order(counts, ["ts_hour", "event_type"], {"lag_24_rows": ("n", 24)})
-    return out.drop("row_index")
+    return wn.add_history_in_table_order(
+        counts, ["ts_hour", "event_type"], "n", {"lag_24_rows": 24})
+
+
+@query(f"""WITH {BY_TYPE} SELECT ts_hour, event_type, n, lag(n, 1) OVER w AS lag_1h, lag(n, 24) OVER w AS lag_24h,
+lag(n, 168) OVER w AS lag_168h,
+CASE WHEN count(*) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) = 24
+  THEN avg(n) OVER (w ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) END AS rolling_24h_mean,
+CASE WHEN count(*) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) = 168
+  THEN avg(n) OVER (w ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING) END AS rolling_7d_mean
+FROM c WINDOW w AS (ORDER BY ts_hour, event_type)""")
+def row_features_interleaved(spark, sf):
+    counts = hr.hourly_counts(events(spark, sf), "ts", ["event_type"])
+    return wn.add_history_in_table_order(
+        counts, ["ts_hour", "event_type"], "n", ft.LAGS, ft.MEANS)
 
 
 @query(f"""WITH {BY_TYPE}, f AS (SELECT ts_hour, event_type, n, {_lag(24, False)} AS p FROM g {SERIES})
@@ -332,20 +365,35 @@ def weekend_totals(spark, sf):
     return _scaled(hr.hourly_counts(events(spark, sf), "ts", ["event_type"]))
 
 
-@query(f"""WITH {SCALED}, p AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS weight FROM events GROUP BY 1),
+ALLOCATED = f"""WITH {SCALED}, p AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS weight FROM events GROUP BY 1),
 h AS (SELECT CAST(range AS INTEGER) AS hour FROM range(24)),
 x AS (SELECT day, event_type, scaled, hour, CAST(weight AS HUGEINT) AS w,
   (SELECT CAST(sum(weight) AS HUGEINT) FROM p) AS sw FROM z CROSS JOIN h JOIN p USING (hour)),
 y AS (SELECT *, scaled * w // sw AS base, scaled * w % sw AS rest FROM x),
 r AS (SELECT *, row_number() OVER (PARTITION BY day, event_type ORDER BY rest DESC, hour) AS rn,
-  scaled - sum(base) OVER (PARTITION BY day, event_type) AS spare FROM y)
-SELECT day, event_type, hour, CAST(base + CASE WHEN rn <= spare THEN 1 ELSE 0 END AS BIGINT) AS allocated FROM r""")
-def profile_allocate(spark, sf):
+  scaled - sum(base) OVER (PARTITION BY day, event_type) AS spare FROM y),
+al AS (SELECT day, event_type, hour, CAST(base + CASE WHEN rn <= spare THEN 1 ELSE 0 END AS BIGINT) AS allocated FROM r)
+"""
+
+
+def _allocated(spark, sf):
     counts = stage(hr.hourly_counts(events(spark, sf), "ts", ["event_type"]), "counts")
     weights = counts.groupBy(F.hour("ts_hour").alias("hour")).agg(F.sum("n").alias("weight"))
     return pf.allocate(_scaled(counts), ["day", "event_type"], "scaled", weights)
 
 
+@query(ALLOCATED + "SELECT * FROM al")
+def profile_allocate(spark, sf):
+    return _allocated(spark, sf)
+
+
+@query(ALLOCATED + """SELECT day, event_type, day + to_hours(hour) AS ts,
+unnest(generate_series(1, allocated)) AS copy FROM al""")
+def allocated_movements(spark, sf):
+    rows = pf.as_movements(_allocated(spark, sf), "day", "hour", "allocated")
+    return rows.select("day", "event_type", "ts", "copy")
+
+
 @query(f"""WITH {BY_TYPE} SELECT ts_hour, event_type, n, unnest(generate_series(1, n)) AS copy FROM c""")
 def count_expand(spark, sf):
     return pf.expand_counts(hr.hourly_counts(events(spark, sf), "ts", ["event_type"]), "n")

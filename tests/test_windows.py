@@ -57,10 +57,20 @@ def test_global_index_in_many_partitions(spark):
     assert {r.a: r.row_index for r in got} == {a: i + 1 for i, a in enumerate(ordered)}
 
 
-def test_lag_in_table_order(spark):
-    df = spark.createDataFrame([(i, i * 10) for i in range(50)], "a int, v int")
-    out = wn.lag_in_table_order(df, ["a"], {"l": ("v", 3)}).orderBy("a").collect()
-    assert [r.l for r in out] == [None] * 3 + [i * 10 for i in range(47)]
+@pytest.mark.parametrize("parts", ["1", "5"])
+def test_history_in_table_order(spark, monkeypatch, parts):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    monkeypatch.setattr(wn, "_range_parts", lambda df: int(parts))
+    try:
+        df = spark.createDataFrame([(i, i * i) for i in range(50)], "a int, v bigint")
+        out = wn.add_history_in_table_order(df, ["a"], "v", {"l": 3}, {"m": 4})
+        rows = out.orderBy("a").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [r.l for r in rows] == [None] * 3 + [i * i for i in range(47)]
+    assert [r.m for r in rows] == [None] * 4 + [
+        sum(j * j for j in range(i - 4, i)) / 4 for i in range(4, 50)]
 
 
 def test_holdout_is_721_hours_when_gap_free(series):
