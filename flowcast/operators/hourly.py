@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from flowcast.functions.calendar import (day_bucket, hour_bucket, sequence_between,
                                          step_interval)
 from flowcast.functions.numeric import filled, row_total
+from flowcast.session import shuffle_partitions
 
 
 def hourly_counts(df, ts, keys=(), hour="ts_hour", n="n"):
@@ -55,7 +56,9 @@ def fill_gaps(counts, ts, keys, values, step="hour", bounds="global"):
     if not keys:
         return on_spine(counts, ts, values, step)
     order = Window.partitionBy(*keys).orderBy(ts)
-    marked = counts.select(
+    # By number: the rows are few before they are stretched, and must stay spread.
+    spread = counts.repartition(shuffle_partitions(counts.sparkSession), *keys)
+    marked = spread.select(
         *keys,
         F.col(ts).alias("_at"),
         *values,

@@ -4,13 +4,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowcast.functions.calendar import as_column, time_on
+from flowcast.session import shuffle_partitions
 
 EXPAND_CHUNK = 65_536
 
 
 def normalise(profile, weight, by=(), out="share"):
-    """Weights divided by their sum, per profile."""
-    total = F.sum(weight).over(Window.partitionBy(*by))
+    """Weights divided by their sum, per profile; without ``by``, over the whole table."""
+    if by:
+        total = F.sum(weight).over(Window.partitionBy(*by))
+    else:
+        total = profile.agg(F.sum(weight)).scalar()
     return profile.select("*", F.try_divide(as_column(weight), total).alias(out))
 
 
@@ -25,15 +29,14 @@ def allocate(daily, keys, total, profile, hour="hour", weight="weight", out="all
 
     Largest remainder in whole numbers: every hour gets the floor of its share, then
     the hours with the largest remainders one more each, earlier hours first.
-    ``profile`` has one row per hour with whole-number weights, 24 at most, which is
-    what makes it safe to broadcast. Products are decimals: totals and weights of any
-    size cannot overflow.
+    Weights are whole numbers; they are summed per hour of day, so 24 rows at most are
+    broadcast, whatever ``profile`` holds. Products are decimals and cannot overflow.
     """
     keys = list(keys)
     hours = daily.select(*keys, total, F.explode(F.sequence(F.lit(0), F.lit(23))).alias(hour))
-    weights = profile.select(
-        F.col(hour).cast("int").alias(hour), F.col(weight).cast("decimal(18,0)").alias("_w")
-    )
+    weights = profile.filter(F.col(hour).between(0, 23)).groupBy(
+        F.col(hour).cast("int").alias(hour)
+    ).agg(F.sum(weight).cast("decimal(18,0)").alias("_w"))
     weights = weights.withColumn("_all", F.sum("_w").over(Window.partitionBy()).cast("decimal(18,0)"))
     rows = hours.join(F.broadcast(weights), hour)
     product = F.col(total).cast("decimal(19,0)") * F.col("_w")
@@ -58,7 +61,8 @@ def expand_counts(df, n, out="copy", chunk=EXPAND_CHUNK):
     rest = F.col(n) - F.lit(1)
     starts = F.sequence(F.lit(0).cast("bigint"), F.floor(rest / F.lit(chunk)).cast("bigint"))
     parts = df.filter(F.col(n) > 0).select("*", F.explode(starts).alias("_chunk"))
-    spread = parts.repartition(*df.columns, "_chunk")
+    tasks = shuffle_partitions(df.sparkSession)
+    spread = parts.repartition(tasks, *df.columns, "_chunk")
     first = F.col("_chunk") * F.lit(chunk) + F.lit(1)
     last = F.least(F.col(n).cast("bigint"), (F.col("_chunk") + F.lit(1)) * F.lit(chunk))
     return spread.select(*df.columns, F.explode(F.sequence(first, last)).alias(out))

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from flowcast.functions.calendar import as_column
 from flowcast.functions.numeric import filled
+from flowcast.session import shuffle_partitions
 from flowcast.sources.staging import stage
 from flowcast.sources.writers import MIB, estimated_bytes
 
@@ -68,8 +69,7 @@ def add_trailing_means(df, keys, ts, y, windows, warmup="null"):
 
 def _range_parts(df, per_part=4 * MIB):
     """Range partitions: the session's shuffle setting, fewer when the data is small."""
-    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(setting, max(1, -(-estimated_bytes(df) // per_part)))
+    return min(shuffle_partitions(df.sparkSession), max(1, -(-estimated_bytes(df) // per_part)))
 
 
 def global_row_index(df, order, name="row_index", start=1, running=None):

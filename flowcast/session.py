@@ -47,3 +47,12 @@ def shared_dir(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="flowcast-"))
     return context.getCheckpointDir().rstrip("/")
+
+
+def shuffle_partitions(spark):
+    """The session's number of shuffle partitions.
+
+    For steps that expand rows after a shuffle: the adaptive planner merges partitions
+    by their size before the expansion, unless a number is asked for.
+    """
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
