@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowcast.functions.calendar import plus
@@ -66,12 +67,13 @@ def forest_nodes(spark, model):
 
 def recent_values(grid, keys, ts, y, depth=168):
     """One row per series: its last ``depth`` values in time order and how many."""
-    last = grid.groupBy(*keys).agg(F.max(ts).alias("last_ts")) if keys else None
-    if last is None:
-        limit = grid.agg(F.max(ts).alias("t")).scalar()
-        rows = grid.filter(F.col(ts) > plus(limit, hours=-depth))
+    if keys:
+        last = F.max(ts).over(Window.partitionBy(*keys))
+        rows = grid.select("*", last.alias("_last")).filter(
+            F.col(ts) > plus("_last", hours=-depth))
     else:
-        rows = grid.join(last, list(keys)).filter(F.col(ts) > plus("last_ts", hours=-depth))
+        last = grid.agg(F.max(ts)).scalar()
+        rows = grid.filter(F.col(ts) > plus(last, hours=-depth))
     # At most ``depth`` rows per series remain to be collected.
     packed = F.array_sort(F.collect_list(F.struct(ts, F.col(y).cast("double").alias("v"))))
     out = rows.groupBy(*keys).agg(F.max(ts).alias("last_ts"), packed.alias("_rows"))

@@ -94,6 +94,16 @@ def align(frame, rows, on, values, fill=0):
     return joined.select(*frame.columns, *[filled(v, fill).alias(v) for v in values])
 
 
+def pair(left, right, keys, ts, how="left"):
+    """Join two tables of a series on key and time; a NULL key is a series as well."""
+    names = [*keys, ts]
+    other = right.select(*[F.col(c).alias("_" + c) if c in names else F.col(c)
+                           for c in right.columns])
+    same = [F.col(k).eqNullSafe(F.col("_" + k)) for k in keys]
+    joined = left.join(other, [*same, F.col(ts) == F.col("_" + ts)], how)
+    return joined.drop(*["_" + c for c in names])
+
+
 def on_spine(counts, ts, values, step="hour"):
     """One keyless series, aligned on its full index."""
     edge = span(counts, ts, values[0])

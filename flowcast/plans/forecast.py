@@ -11,7 +11,7 @@ from flowcast.models.forest import (DEPTH, SEED, TREES, fit_forest, forecast_for
 from flowcast.models.linear import (fit_autoregression, fit_fourier, forecast_autoregression,
                                     forecast_fourier)
 from flowcast.operators.features import FEATURES, hourly_features
-from flowcast.operators.hourly import hourly_grid
+from flowcast.operators.hourly import hourly_grid, pair
 from flowcast.operators.metrics import forecast_metrics
 from flowcast.operators.splits import before, holdout_start, since
 from flowcast.operators.stacking import stack, stack_tagged
@@ -107,7 +107,7 @@ def compare_models(events, ts, keys, holdout_hours=168, hour="ts_hour", n="n",
     test = tagged.filter("segment = 'test'").select(
         *keys, hour, F.col(n).cast("double").alias("actual"))
     parts = [
-        test.join(predicted, [*keys, hour], "left").withColumn("model", F.lit(name))
+        pair(test, predicted, keys, hour).withColumn("model", F.lit(name))
         for name, predicted in linear_forecasts(train, keys, hour, n, holdout_hours).items()
     ]
     return stack(*parts)

@@ -78,3 +78,12 @@ def test_bounds_and_keys(events):
     got = hr.series_bounds(rows.filter("ts IS NOT NULL"), "ts", ["kind"], "v").orderBy("kind").first()
     assert (got.first_ts.minute, got.last_ts.hour, got.n_rows) == (10, 3, 3)
     assert hr.series_keys(events(GAPPY), ["kind"]).count() == 2
+
+
+def test_pairing_keeps_a_null_key(events):
+    left = hr.hourly_grid(events([("2024-01-01T00:00:00", None), ("2024-01-01T02:00:00", "a")]),
+                          "ts", ["kind"])
+    right = left.withColumnRenamed("n", "m").filter("kind IS NULL")
+    got = hr.pair(left, right, ["kind"], "ts_hour")
+    assert got.columns == ["ts_hour", "kind", "n", "m"] and got.count() == 6
+    assert got.filter("kind IS NULL AND m = n").count() == 3 == got.filter("m IS NULL").count()
