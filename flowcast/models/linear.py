@@ -13,27 +13,34 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowcast.functions.calendar import plus
-from flowcast.functions.numeric import clip_below
+from flowcast.functions.numeric import clip_below, filled
 
 SEASON = 24
 
 
-def gram_columns(variables, where=None):
-    """Upper triangle of sums of products over ``variables`` = columns, row by row."""
-    out = []
-    for i, a in enumerate(variables):
-        for b in variables[i:]:
-            product = a * b
-            out.append(F.sum(product if where is None else F.when(where, product)))
-    return out
+def _pairs(names):
+    """Upper triangle of the pairs of ``names``, row by row."""
+    return [(a, b) for i, a in enumerate(names) for b in names[i:]]
+
+
+def gram_array(names, where=None):
+    """Sums of products over the columns ``names`` as one array, upper triangle.
+
+    One SQL expression: building hundreds of column objects would take longer than
+    small fits do.
+    """
+    sums = [f"{a} * {b}" for a, b in _pairs(names)]
+    if where:
+        sums = [f"CASE WHEN {where} THEN {product} END" for product in sums]
+    return F.expr("array(" + ", ".join(f"sum({product})" for product in sums) + ")")
 
 
 def gram_sums(df, keys, variables):
     """One row per series: {alias: column} variables to named sums ``a_b`` and ``n``."""
-    names, columns = list(variables), [c.cast("double") for c in variables.values()]
-    labels = [f"{a}_{b}" for i, a in enumerate(names) for b in names[i:]]
-    sums = [s.alias(label) for s, label in zip(gram_columns(columns), labels)]
-    return df.groupBy(*keys).agg(F.count("*").alias("n"), *sums)
+    names = list(variables)
+    rows = df.select(*keys, *[c.cast("double").alias(a) for a, c in variables.items()])
+    sums = [F.expr(f"sum(`{a}` * `{b}`)").alias(f"{a}_{b}") for a, b in _pairs(names)]
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), *sums)
 
 
 def ar1_coefficients(grid, keys, ts, y):
@@ -135,42 +142,41 @@ def fit_autoregression(grid, keys, ts, y, short=5, seasonal=()):
     depth = max(lags) + 1 + (SEASON if seasonal else 0)
     order = Window.partitionBy(*keys).orderBy(ts)
     series = Window.partitionBy(*keys)
-    shifts = {j + d + s for j in [0, *lags] for d in (0, 1)
-              for s in ((0, SEASON) if seasonal else (0,))}
-    rows = grid.select(
-        *keys, ts, F.col(y).cast("double").alias("_y0"),
-        *[F.lag(F.col(y).cast("double"), k).over(order).alias(f"_y{k}") for k in sorted(shifts) if k],
-        F.max(ts).over(series).alias("_last"),
+    forms = [(d, s) for s in ((0, 1) if seasonal else (0,)) for d in (0, 1)]
+    back = sorted({j + d + SEASON * s for j in [0, *lags] for d, s in forms})
+    rows = grid.select(*keys, ts, F.col(y).cast("double").alias("_y0"))
+    rows = rows.select(
+        "*", F.max(ts).over(series).alias("_last"),
+        *[F.lag("_y0", k).over(order).alias(f"_y{k}") for k in back if k],
     )
-    rows = rows.withColumn("_ok", F.col(f"_y{max(shifts)}").isNotNull())
+    complete = f"_y{back[-1]} IS NOT NULL"
 
     def value(j, d, s):
-        """The series at lag j after d plain and s seasonal differencings."""
+        """SQL of the series at lag j after d plain and s seasonal differencings."""
         def plain(k):
-            return F.col(f"_y{k}") - F.col(f"_y{k + 1}") if d else F.col(f"_y{k}")
-        return plain(j) - plain(j + SEASON) if s else plain(j)
+            return f"(_y{k} - _y{k + 1})" if d else f"_y{k}"
+        return f"({plain(j)} - {plain(j + SEASON)})" if s else plain(j)
 
-    forms = [(d, s) for s in ((0, 1) if seasonal else (0,)) for d in (0, 1)]
-    spread = [F.var_pop(F.when(F.col("_ok"), value(0, d, s))).over(series) for d, s in forms]
-    rows = rows.select("*", F.array(*[F.coalesce(v, F.lit(0.0)) for v in spread]).alias("_var"))
-    form = F.array_position("_var", F.array_min("_var")).cast("int") - 1
-    rows = rows.select("*", form.alias("_form"))
+    # Differencing by smallest variance, over the rows that have every lag.
+    spread = [F.var_pop(F.expr(f"CASE WHEN {complete} THEN {value(0, d, s)} END")).over(series)
+              for d, s in forms]
+    rows = rows.select("*", F.array(*[filled(v, 0.0) for v in spread]).alias("_var"))
+    rows = rows.selectExpr("*", "array_position(_var, array_min(_var)) - 1 AS _form",
+                           f"{complete} AS _ok")
 
     def chosen(j):
-        out = value(j, *forms[0])
-        for i, (d, s) in enumerate(forms[1:], 1):
-            out = F.when(F.col("_form") == i, value(j, d, s)).otherwise(out)
-        return out
+        cases = " ".join(f"WHEN {i} THEN {value(j, d, s)}" for i, (d, s) in enumerate(forms))
+        return f"CASE _form {cases} END AS _z{j}"
 
     rows = rows.select(*keys, ts, "_y0", "_last", "_ok", "_form",
-                       *[chosen(j).alias(f"_z{j}") for j in [*lags, 0]])
-    rows = rows.select("*", F.avg(F.when(F.col("_ok"), F.col("_z0"))).over(series).alias("_mean"))
-    centred = [F.lit(1.0), *[F.col(f"_z{j}") - F.col("_mean") for j in [*lags, 0]]]
+                       *[F.expr(chosen(j)) for j in [*lags, 0]])
+    rows = rows.select("*", F.avg(F.expr("CASE WHEN _ok THEN _z0 END")).over(series).alias("_mean"))
+    centred = ["1D", *[f"(_z{j} - _mean)" for j in [*lags, 0]]]
     recent = F.when(F.col(ts) > plus("_last", hours=-depth), F.struct(ts, F.col("_y0").alias("v")))
     # At most ``depth`` rows per series are collected.
     fitted = rows.groupBy(*keys).agg(
         F.max(ts).alias("last_ts"),
-        F.array(*gram_columns(centred, F.col("_ok"))).alias("_gram"),
+        gram_array(centred, "_ok").alias("_gram"),
         F.first("_form").alias("_form"),
         F.coalesce(F.first("_mean"), F.lit(0.0)).alias("_mean"),
         F.coalesce(F.avg("_y0"), F.lit(0.0)).alias("_level"),
@@ -254,10 +260,10 @@ def fit_fourier(grid, keys, ts, y):
     trend = F.col("_t") / F.greatest(F.col("_n") - 1, F.lit(1))
     terms = fourier_terms(F.col(ts), trend)
     rows = rows.select(*keys, ts, "_n", "_y", *[t.alias(f"_f{i}") for i, t in enumerate(terms)])
-    variables = [*[F.col(f"_f{i}") for i in range(len(terms))], F.col("_y")]
+    variables = [*[f"_f{i}" for i in range(len(terms))], "_y"]
     fitted = rows.groupBy(*keys).agg(
         F.max(ts).alias("last_ts"), F.max("_n").alias("n"),
-        F.array(*gram_columns(variables)).alias("_gram"),
+        gram_array(variables).alias("_gram"),
     )
     solve = _least_squares_solver(len(variables))
     return fitted.select(*keys, "last_ts", "n", solve("_gram").alias("coef"))
