@@ -23,7 +23,7 @@ def fit_forest(train, target, features=FEATURES, trees=TREES, depth=DEPTH, seed=
     """Forest on all rows of ``train``; every split may use every feature."""
     forest = RandomForestRegressor(
         labelCol=target, featuresCol="features", predictionCol="_raw", numTrees=trees,
-        maxDepth=depth, seed=seed, featureSubsetStrategy="all", maxMemoryInMB=512,
+        maxDepth=depth, seed=seed, featureSubsetStrategy="all",
     )
     return forest.fit(assemble(train.select(*features, target), features))
 
