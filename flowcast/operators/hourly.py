@@ -2,16 +2,33 @@
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowcast.functions.calendar import (day_bucket, hour_bucket, sequence_between,
                                          step_interval)
 from flowcast.functions.numeric import filled, row_total
 from flowcast.session import shuffle_partitions
 
+STAND_IN = "1970-01-01 00:00:00"
+
+
+def with_hour(df, ts, hour="ts_hour"):
+    """Add the start of the hour; NULL where the time is.
+
+    For zone-free times this is a tumbling window's start, plain arithmetic on the
+    epoch and several times cheaper per row than calendar functions. The window would
+    drop NULL times, so they pass through it under a stand-in.
+    """
+    if not isinstance(df.select(ts).schema[0].dataType, T.TimestampNTZType):
+        return df.withColumn(hour, hour_bucket(ts))
+    known = F.coalesce(F.col(ts), F.lit(STAND_IN).cast("timestamp_ntz"))
+    start = F.window(known, "1 hour").getField("start")
+    return df.withColumn(hour, F.when(F.col(ts).isNotNull(), start))
+
 
 def hourly_counts(df, ts, keys=(), hour="ts_hour", n="n"):
     """Rows per hour and key. Partial counts are taken before the shuffle."""
-    return df.groupBy(hour_bucket(ts).alias(hour), *keys).agg(F.count("*").alias(n))
+    return with_hour(df, ts, hour).groupBy(hour, *keys).agg(F.count("*").alias(n))
 
 
 def hourly_pivot(df, ts, column, values=None, keys=(), hour="ts_hour", total="total"):
@@ -20,7 +37,7 @@ def hourly_pivot(df, ts, column, values=None, keys=(), hour="ts_hour", total="to
     Give ``values``; without them one extra job looks them up, and Spark's own
     limit on pivot columns applies.
     """
-    grouped = df.groupBy(hour_bucket(ts).alias(hour), *keys)
+    grouped = with_hour(df, ts, hour).groupBy(hour, *keys)
     wide = grouped.pivot(column, list(values)) if values else grouped.pivot(column)
     wide = wide.agg(F.count(F.lit(1)))
     columns = [c for c in wide.columns if c not in (hour, *keys)]
@@ -51,8 +68,11 @@ def fill_gaps(counts, ts, keys, values, step="hour", bounds="global"):
     lag and rolling windows that follow use again. ``bounds="global"`` runs every
     series from the first to the last step of all; ``"series"`` over its own.
     """
+    return _filled(counts.filter(F.col(ts).isNotNull()), ts, keys, values, step, bounds)
+
+
+def _filled(counts, ts, keys, values, step, bounds):
     keys, values = list(keys), list(values)
-    counts = counts.filter(F.col(ts).isNotNull())
     if not keys:
         return on_spine(counts, ts, values, step)
     order = Window.partitionBy(*keys).orderBy(ts)
@@ -112,9 +132,9 @@ def on_spine(counts, ts, values, step="hour"):
 
 
 def hourly_grid(df, ts, keys=(), hour="ts_hour", n="n", bounds="global"):
-    """Gap-free hourly counts per series."""
+    """Gap-free hourly counts per series; events without a time belong to no hour."""
     timed = df.filter(F.col(ts).isNotNull())
-    return fill_gaps(hourly_counts(timed, ts, keys, hour, n), hour, keys, [n], "hour", bounds)
+    return _filled(hourly_counts(timed, ts, keys, hour, n), hour, keys, [n], "hour", bounds)
 
 
 def daily_sums(df, ts, values, keys=(), day="day", bounds="global"):
@@ -122,7 +142,7 @@ def daily_sums(df, ts, values, keys=(), day="day", bounds="global"):
     sums = df.filter(F.col(ts).isNotNull()).groupBy(day_bucket(ts).alias(day), *keys).agg(
         *[filled(F.sum(v)).alias(v) for v in values]
     )
-    return fill_gaps(sums, day, keys, values, "day", bounds)
+    return _filled(sums, day, keys, values, "day", bounds)
 
 
 def hour_of_day_means(df, ts, values, keys=(), hour="hour"):

@@ -151,6 +151,7 @@ def wickets(docs, key="match_id"):
     )
 
 
+# Table names.
 TABLES = {
     "metadata_table": metadata,
     "match_information_table": match_info,

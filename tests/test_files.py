@@ -81,8 +81,8 @@ def test_tables_and_views(spark, tmp_path):
     assert writers.save_table(df, "t_files", path=str(tmp_path / "t")).count() == 3
     with pytest.raises(Exception, match="already exists"):
         writers.save_table(df, "t_files", path=str(tmp_path / "t"))
-    catalog.register_view(df, "1405-1_json")
-    assert catalog.query_view(spark, "1405-1_json", where="id > 0").count() == 2
+    catalog.register_view(df, "2024-1 view")
+    assert catalog.query_view(spark, "2024-1 view", where="id > 0").count() == 2
 
 
 def test_schema_rows(spark):

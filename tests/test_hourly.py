@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowcast.operators import hourly as hr
@@ -87,3 +88,26 @@ def test_pairing_keeps_a_null_key(events):
     got = hr.pair(left, right, ["kind"], "ts_hour")
     assert got.columns == ["ts_hour", "kind", "n", "m"] and got.count() == 6
     assert got.filter("kind IS NULL AND m = n").count() == 3 == got.filter("m IS NULL").count()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_hours_of_any_era_and_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        texts = ["2024-03-10 02:30:15.25", "1969-12-31 23:59:59.999999", "1970-01-01 00:00:00",
+                 "1899-05-06 07:08:09", "2024-12-31 23:00:00"]
+        df = spark.sql("SELECT * FROM VALUES " + ", ".join(
+            f"(TIMESTAMP_NTZ'{t}')" for t in texts) + ", (NULL) AS v(ts)")
+        out = hr.with_hour(df, "ts")
+        assert dict(out.dtypes)["ts_hour"] == "timestamp_ntz"
+        want = {t: t.replace(minute=0, second=0, microsecond=0)
+                for t in map(datetime.fromisoformat, texts)}
+        assert {r.ts: r.ts_hour for r in out.collect()} == {**want, None: None}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_zoned_times_keep_their_type(spark):
+    df = spark.sql("SELECT TIMESTAMP'2024-01-01 05:30:00' AS ts")
+    assert dict(hr.hourly_counts(df, "ts").dtypes)["ts_hour"] == "timestamp"

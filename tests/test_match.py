@@ -7,17 +7,17 @@ from flowcast.operators import match as mt
 FULL = {
     "meta": {"data_version": "1.1.0", "created": "2023-10-01", "revision": 2},
     "info": {
-        "city": "Mong Kok", "dates": ["2023-09-30", "2023-10-01"], "gender": "male",
+        "city": "Hilltown", "dates": ["2023-09-30", "2023-10-01"], "gender": "male",
         "match_type": "T20", "match_type_number": 7, "season": "2023/24",
-        "team_type": "international", "venue": "Mission Road", "teams": ["Hong Kong", "Kuwait"],
+        "team_type": "international", "venue": "Park Road", "teams": ["North Hill", "Lakeside"],
         "event": {"name": "Series", "match_number": 3, "group": "B"},
-        "toss": {"winner": "Kuwait", "decision": "field"},
-        "outcome": {"winner": "Hong Kong", "by": {"runs": 12}},
+        "toss": {"winner": "Lakeside", "decision": "field"},
+        "outcome": {"winner": "North Hill", "by": {"runs": 12}},
         "officials": {"match_referees": ["R1"], "reserve_umpires": ["V1"], "umpires": ["U1", "U2"]},
-        "players": {"Hong Kong": ["A", "B"], "Kuwait": ["C"]},
+        "players": {"North Hill": ["A", "B"], "Lakeside": ["C"]},
         "registry": {"people": {"A": "a1", "C": "c1"}}},
     "innings": [
-        {"team": "Hong Kong", "overs": [
+        {"team": "North Hill", "overs": [
             {"over": 0, "deliveries": [
                 {"batter": "A", "bowler": "C", "non_striker": "B",
                  "runs": {"batter": 4, "extras": 0, "total": 4}},
@@ -28,7 +28,7 @@ FULL = {
                  "wickets": [{"player_out": "B", "kind": "bowled"},
                              {"player_out": "A", "kind": "run out"}]}]},
             {"over": 1, "deliveries": []}]},
-        {"team": "Kuwait", "overs": [{"over": 0, "deliveries": [
+        {"team": "Lakeside", "overs": [{"over": 0, "deliveries": [
             {"batter": "C", "bowler": "A", "non_striker": "D",
              "runs": {"batter": 1, "extras": 0, "total": 1},
              "wickets": [{"player_out": "C", "kind": "caught"}]}]}]}]}
@@ -59,11 +59,11 @@ def test_header_tables(docs):
     info = {r.match_id: r for r in mt.match_info(docs).collect()}
     assert len(mt.match_info(docs).columns) == 16
     assert tuple(info["100-1"])[1:] == (
-        "Mong Kok", "2023-09-30", "Series", 3, "B", "male", "T20", 7, "2023/24", "international",
-        "Mission Road", "Kuwait", "field", "Hong Kong", 12)
+        "Hilltown", "2023-09-30", "Series", 3, "B", "male", "T20", 7, "2023/24", "international",
+        "Park Road", "Lakeside", "field", "North Hill", 12)
     assert (info["200"].win_by_runs, info["200"].group, info["200"].winner) == (None, None, "X")
     assert rows(mt.match_header(docs), "match_id", "Team1", "Team2") == [
-        ("100-1", "Hong Kong", "Kuwait"), ("200", "X", "Y Z")]
+        ("100-1", "North Hill", "Lakeside"), ("200", "X", "Y Z")]
 
 
 def test_officials_players_registry(docs):
@@ -71,7 +71,7 @@ def test_officials_players_registry(docs):
         ("100-1", "R1", "match_referee"), ("100-1", "U1", "umpire"), ("100-1", "U2", "umpire"),
         ("100-1", "V1", "reserve_umpire"), ("200", "U9", "umpire")]
     assert rows(mt.players(docs), "match_id", "team_name", "player_name") == [
-        ("100-1", "Hong Kong", "A"), ("100-1", "Hong Kong", "B"), ("100-1", "Kuwait", "C"),
+        ("100-1", "North Hill", "A"), ("100-1", "North Hill", "B"), ("100-1", "Lakeside", "C"),
         ("200", "Y Z", "Q")]
     assert rows(mt.registry(docs)) == [("100-1", "A", "a1"), ("100-1", "C", "c1")]
 
@@ -83,10 +83,10 @@ def test_ball_by_ball(docs):
         "Runs_Batter", "Runs_Extras", "Runs_Total", "Wicket_Player_Out", "Wicket_Kind"]
     got = rows(out, "Match_ID", "Venue", "Team", "Over", "Runs_Total", "Wicket_Player_Out", "Wicket_Kind")
     assert got == [
-        ("100-1", "Mission Road", "Hong Kong", 0, 0, "B", "bowled"),
-        ("100-1", "Mission Road", "Hong Kong", 0, 1, None, None),
-        ("100-1", "Mission Road", "Hong Kong", 0, 4, None, None),
-        ("100-1", "Mission Road", "Kuwait", 0, 1, "C", "caught"),
+        ("100-1", "Park Road", "North Hill", 0, 0, "B", "bowled"),
+        ("100-1", "Park Road", "North Hill", 0, 1, None, None),
+        ("100-1", "Park Road", "North Hill", 0, 4, None, None),
+        ("100-1", "Park Road", "Lakeside", 0, 1, "C", "caught"),
         ("200", "Elsewhere", "X", 4, 6, None, None)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
@@ -94,8 +94,8 @@ def test_ball_by_ball(docs):
 
 def test_every_wicket(docs):
     got = rows(mt.wickets(docs), "match_id", "Team", "ball_no", "player_out", "kind")
-    assert got == [("100-1", "Hong Kong", 2, "A", "run out"), ("100-1", "Hong Kong", 2, "B", "bowled"),
-                   ("100-1", "Kuwait", 0, "C", "caught")]
+    assert got == [("100-1", "North Hill", 2, "A", "run out"), ("100-1", "North Hill", 2, "B", "bowled"),
+                   ("100-1", "Lakeside", 0, "C", "caught")]
 
 
 def test_tables_are_saved_once(spark, docs, tmp_path):

@@ -68,13 +68,13 @@ def test_flatten_keeps_rows_with_empty_arrays(spark):
 
 def test_paths(spark):
     df = spark.createDataFrame(
-        [((["x"], [(1, "p"), (2, "q")], ("HK",)),)],
+        [((["x"], [(1, "p"), (2, "q")], ("NH",)),)],
         "info struct<dates:array<string>, w:array<struct<a:int,b:string>>, "
-        "players:struct<`Hong Kong`:string>>")
+        "players:struct<`North Hill`:string>>")
     out = nt.project(df, {"d": "info.dates[0]", "none": "info.dates[5]", "arr": "info.w.b",
-                          "first": "info.w[0].b", "hk": "info.players.Hong Kong",
-                          "hk2": ("info", "players", "Hong Kong")})
-    assert tuple(out.first()) == ("x", None, ["p", "q"], "p", "HK", "HK")
+                          "first": "info.w[0].b", "nh": "info.players.North Hill",
+                          "nh2": ("info", "players", "North Hill")})
+    assert tuple(out.first()) == ("x", None, ["p", "q"], "p", "NH", "NH")
     with pytest.raises(AnalysisException):
         nt.project(df, {"x": "info.nope"})
 

@@ -9,7 +9,6 @@ import pytest
 import __spark_entry__ as contract
 
 SF = os.environ.get("TEST_SF_DIR", contract.SMOKE_DIR)
-SLOW = ("forest_",)
 # All-pairs joins, and Python that runs row by row.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
@@ -49,8 +48,7 @@ def test_matches_sql(spark, duck, name):
     assert rows_of(got) == rows_of(want)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in set(QUERIES) - set(ORACLES)
-                                        if not n.startswith(SLOW)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_has_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
