@@ -212,18 +212,20 @@ def forecast_autoregression(fitted, keys, ts, horizon=168, out="predicted"):
 DAILY, WEEKLY = 4, 3
 
 
-def fourier_terms(ts, trend):
-    """Constant, linear trend, daily and weekly harmonics as columns."""
-    hour = F.hour(ts)
-    week_hour = F.weekday(ts) * 24 + hour
-    terms = [F.lit(1.0), trend.cast("double")]
-    for period, place, count in ((24, hour, DAILY), (168, week_hour, WEEKLY)):
+def harmonics(week_hour):
+    """Daily and weekly sine and cosine terms of the hour of the week (Monday 0 = 0)."""
+    terms = []
+    for period, place, count in ((24, week_hour % 24, DAILY), (168, week_hour, WEEKLY)):
         for k in range(1, count + 1):
             angle = place * F.lit(2.0 * math.pi * k / period)
             terms += [F.sin(angle), F.cos(angle)]
     return terms
 
 
+def hour_of_week(ts):
+    return F.weekday(ts) * 24 + F.hour(ts)
+
+
 def _least_squares_solver(width):
     upper = np.triu_indices(width)
 
@@ -249,23 +251,39 @@ def _least_squares_solver(width):
 
 
 def fit_fourier(grid, keys, ts, y):
-    """Additive trend and seasonality per gap-free series, by least squares."""
+    """Additive trend and seasonality per gap-free series, by least squares.
+
+    The harmonics depend on the hour of the week alone. Each series is first reduced to
+    its 168 hours of the week with six sums each; the sums of products over all terms
+    then cost the same however long the series is. Both steps use one partitioning.
+    """
     keys = list(keys)
     order = Window.partitionBy(*keys).orderBy(ts)
     series = Window.partitionBy(*keys)
     rows = grid.select(
-        *keys, ts, F.col(y).cast("double").alias("_y"),
+        *keys, ts, F.col(y).cast("double").alias("_y"), hour_of_week(ts).alias("_at"),
         (F.row_number().over(order) - 1).alias("_t"), F.count("*").over(series).alias("_n"),
     )
-    trend = F.col("_t") / F.greatest(F.col("_n") - 1, F.lit(1))
-    terms = fourier_terms(F.col(ts), trend)
-    rows = rows.select(*keys, ts, "_n", "_y", *[t.alias(f"_f{i}") for i, t in enumerate(terms)])
-    variables = [*[f"_f{i}" for i in range(len(terms))], "_y"]
-    fitted = rows.groupBy(*keys).agg(
-        F.max(ts).alias("last_ts"), F.max("_n").alias("n"),
-        gram_array(variables).alias("_gram"),
+    rows = rows.withColumn("_x", F.col("_t") / F.greatest(F.col("_n") - 1, F.lit(1)))
+    hours = rows.groupBy(*keys, "_at").agg(
+        F.max(ts).alias("_last"), F.max("_n").alias("_n"), F.expr("CAST(count(*) AS double) AS _c"),
+        F.expr("sum(_x) AS _sx"), F.expr("sum(_x * _x) AS _sxx"), F.expr("sum(_y) AS _sy"),
+        F.expr("sum(_x * _y) AS _sxy"),
+    )
+    terms = harmonics(F.col("_at"))
+    hours = hours.select("*", *[t.alias(f"_f{i}") for i, t in enumerate(terms)])
+    names = ["1D", "x", *[f"_f{i}" for i in range(len(terms))], "y"]
+    within = {"": "_c", "x": "_sx", "xx": "_sxx", "y": "_sy", "xy": "_sxy", "yy": "0D"}
+    sums = []
+    for a, b in _pairs(names):
+        kind = "".join(v for v in (a, b) if v in ("x", "y"))
+        factors = [v for v in (a, b) if v not in ("x", "y")]
+        sums.append("sum(" + " * ".join([within[kind], *factors]) + ")")
+    fitted = hours.groupBy(*keys).agg(
+        F.max("_last").alias("last_ts"), F.max("_n").alias("n"),
+        F.expr("array(" + ", ".join(sums) + ")").alias("_gram"),
     )
-    solve = _least_squares_solver(len(variables))
+    solve = _least_squares_solver(len(names))
     return fitted.select(*keys, "last_ts", "n", solve("_gram").alias("coef"))
 
 
@@ -276,6 +294,6 @@ def forecast_fourier(fitted, keys, ts, horizon=168, out="predicted"):
         F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("_i"),
     ).withColumn(ts, plus("last_ts", hours=F.col("_i")))
     trend = (F.col("n") - 1 + F.col("_i")) / F.greatest(F.col("n") - 1, F.lit(1))
-    total = sum((F.get("coef", F.lit(i)) * term
-                 for i, term in enumerate(fourier_terms(F.col(ts), trend))), F.lit(0.0))
+    terms = [F.lit(1.0), trend, *harmonics(hour_of_week(ts))]
+    total = sum((F.get("coef", F.lit(i)) * term for i, term in enumerate(terms)), F.lit(0.0))
     return rows.select(*keys, ts, clip_below(total).alias(out))
