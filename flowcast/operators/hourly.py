@@ -8,6 +8,7 @@ from flowcast.functions.calendar import (day_bucket, hour_bucket, sequence_betwe
                                          step_interval)
 from flowcast.functions.numeric import filled, row_total
 from flowcast.session import shuffle_partitions
+from flowcast.sources.writers import MIB, estimated_bytes
 
 STAND_IN = "1970-01-01 00:00:00"
 
@@ -71,13 +72,21 @@ def fill_gaps(counts, ts, keys, values, step="hour", bounds="global"):
     return _filled(counts.filter(F.col(ts).isNotNull()), ts, keys, values, step, bounds)
 
 
+def _stretch_parts(counts, per_part=MIB // 4):
+    """The session's shuffle setting; fewer when it is large and the input small."""
+    setting = shuffle_partitions(counts.sparkSession)
+    if setting <= 16:
+        return setting
+    return min(setting, max(8, -(-estimated_bytes(counts) // per_part)))
+
+
 def _filled(counts, ts, keys, values, step, bounds):
     keys, values = list(keys), list(values)
     if not keys:
         return on_spine(counts, ts, values, step)
     order = Window.partitionBy(*keys).orderBy(ts)
     # By number: the rows are few before they are stretched, and must stay spread.
-    spread = counts.repartition(shuffle_partitions(counts.sparkSession), *keys)
+    spread = counts.repartition(_stretch_parts(counts), *keys)
     marked = spread.select(
         *keys,
         F.col(ts).alias("_at"),
