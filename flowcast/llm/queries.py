@@ -1,8 +1,9 @@
 """The registered queries of the operators, with their SQL where SQL can express them."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowcast.llm import pii_crf, secret_markov, warc
+from flowcast.llm import decontaminate, language, packing, pii_crf, secret_markov, simhash, warc
 from flowcast.llm.frames import read
 
 QUERIES, ORACLES = {}, {}
@@ -46,3 +47,36 @@ def op10_warc(spark, sf_dir):
     folder = warc.write(pages)
     return warc.read_records(spark, folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op1_decontaminate(spark, sf_dir):
+    """Every document that holds a benchmark item, with the item, its score and overlaps."""
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_language(spark, sf_dir):
+    """Language of all documents; ``lang`` is the declaration, ``source`` the host."""
+    return language.identify(read(spark, sf_dir, "documents")).drop("row_key")
+
+
+@query
+def page_language(spark, sf_dir):
+    """Language of all pages, by text, markup, address suffix and host."""
+    pages = language.page_evidence(read(spark, sf_dir, "pages"))
+    return language.identify(pages, "page_id", host_col="host", suffix_col="suffix").drop("row_key")
+
+
+@query
+def op6_packing(spark, sf_dir):
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op7_simhash(spark, sf_dir):
+    """Fingerprint and component of all documents."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
