@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowcast.llm import decontaminate, language, packing, pii_crf, secret_markov, simhash, warc
+from flowcast.llm import decontaminate, language, packing, pii_crf, secret_markov, simhash, toxicity, warc
 from flowcast.llm.frames import read
 
 QUERIES, ORACLES = {}, {}
@@ -80,3 +80,9 @@ def op7_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"))
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    """Toxicity score of all documents."""
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
