@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowcast.llm import decontaminate, language, packing, pii_crf, secret_markov, simhash, toxicity, warc
+from flowcast.llm import decontaminate, language, multi_index, packing, pii_crf, secret_markov, simhash, toxicity, warc
 from flowcast.llm.frames import read
 
 QUERIES, ORACLES = {}, {}
@@ -86,3 +86,10 @@ def op7_simhash(spark, sf_dir):
 def op8_toxicity(spark, sf_dir):
     """Toxicity score of all documents."""
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op3_multi_index(spark, sf_dir):
+    """Ten nearest neighbours found of every hundredth vector, among all vectors."""
+    found = multi_index.neighbours(read(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
