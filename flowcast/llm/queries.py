@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowcast.llm import decontaminate, language, multi_index, packing, pii_crf, secret_markov, simhash, toxicity, warc
+from flowcast.llm import decontaminate, language, multi_index, packing, pii_crf, secret_markov, simhash, suffix_dedup, toxicity, warc
 from flowcast.llm.frames import read
 
 QUERIES, ORACLES = {}, {}
@@ -93,3 +93,9 @@ def op3_multi_index(spark, sf_dir):
     """Ten nearest neighbours found of every hundredth vector, among all vectors."""
     found = multi_index.neighbours(read(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op9_suffix_dedup(spark, sf_dir):
+    """Repeated strings of 50 bytes in all documents."""
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
