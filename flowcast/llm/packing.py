@@ -20,9 +20,11 @@ space and normalises within words only, so the ids of a text are the ids of its
 """
 
 import bisect
+import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,40 +33,78 @@ from flowcast.sources.staging import stage
 
 CAPACITY, CLOSING = 4096, 1
 UNITS, LEAST_UNITS, STEP = 256, 16, 0.5
-CACHE_WORDS, BLOCK_PIECES, MIN_BLOCKS = 300_000, 50_000, 64
+CACHE_WORDS, BLOCK_PIECES, MIN_BLOCKS = 1_000_000, 50_000, 64
+
+
+# UTF-8 bytes of lower-case Latin letters, then signs. In byte-level vocabularies bytes C3 and A1-BF stand for the character of
+# their number, 80-A0 for U+0122 on and AD for U+0143. A vocabulary that spells the trial words otherwise takes the general way.
+_SIMPLE = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+_BYTE_LETTERS = {c: 0x0122 + c - 0x80 for c in range(0x80, 0xA1)} | {0xAD: 0x0143}
+_TRIALS = ("abc", "thesisthe", *map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)]), ".,;:!?", "$$$", "%%%,", "(-/@[`{~")
 
 
 class _Words(dict):
-    """word bytes -> its ids as little-endian bytes; emptied when it grows too large."""
+    """word -> its ids, both as bytes; emptied when it grows too large."""
 
     def __init__(self, path):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self.ids("0")
+        self.plain = all(self.spell(w.encode()) == self.ids(w).tobytes() for w in _TRIALS)
+
+    def ids(self, text):
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def spell(self, piece):
+        text = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(_BYTE_LETTERS)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(text)])
 
     def learn(self, words):
         new = list({w for w in words if w not in self})
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
             new = list(set(words))
-        encode = self.tokenizer.encode_batch_fast
-        for i in range(0, len(new), 2000):
-            part = new[i:i + 2000]
-            for word, got in zip(part, encode(part, add_special_tokens=False)):
-                self[word] = np.array(got.ids, "<u4").tobytes()
+        if self.plain:
+            for word in new:
+                simple = _SIMPLE.fullmatch(word)
+                if simple:  # letters, then signs: two pieces for the model, as its splitter would make them
+                    letters, signs = simple.groups()
+                    if letters not in self:
+                        self[letters] = self.spell(letters)
+                    if signs:
+                        if signs not in self:
+                            self[signs] = self.spell(signs)
+                        self[word] = self[letters] + self[signs]
+        new = [w for w in new if w not in self]
+        for word in new if len(self.mark) != 1 else [w for w in new if b"0" in w or b"<|" in w]:
+            self[word] = self.ids(word.decode()).tobytes()
+        # the others in one text, a digit between them: a digit is a token of its own, found in none of these words
+        together = [w for w in new if w not in self]
+        for i in range(0, len(together), 5000):
+            part = together[i:i + 5000]
+            ids = self.ids((b" 0 ".join(part) + b" 0").decode())
+            ends = np.flatnonzero(ids == self.mark[0]) * 4
+            data = ids.tobytes()
+            for word, a, b in zip(part, [0, *(ends[:-1] + 4).tolist()], ends.tolist()):
+                self[word] = data[a:b]
 
 
 _WORDS = {}
 
 
-def tokenise(text, path):
-    """Ids of a text and the closing id, as little-endian bytes."""
+def tokenise(data, path):
+    """Ids of a UTF-8 text and the closing id, as little-endian bytes.
+
+    The tokenizer folds case, so A-Z are folded first, for fewer different words; where a special token could
+    stand, they are not, since those are matched before. Only ASCII white space splits; other kinds of
+    it are left to the tokenizer.
+    """
     known = _WORDS.get(path)
     if known is None:
         known = _WORDS[path] = _Words(path)
-    # ASCII white space only, as bytes would split; other kinds of it are the tokenizer's business
-    words = text.translate(_BLANKS).split(" ")
+    words = (data if b"<|" in data else data.lower()).split()
     try:
         body = b"".join(map(known.__getitem__, words))
     except KeyError:
@@ -73,13 +113,10 @@ def tokenise(text, path):
     return body + CLOSING.to_bytes(4, "little")
 
 
-_BLANKS = {c: " " for c in range(9, 14)}
-
-
 def _pieces(batches, path, capacity, target):
     for batch in batches:
         rows = []
-        for i, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+        for i, text in zip(batch.column("id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
             ids = tokenise(text, path)
             for n, start in enumerate(range(0, len(ids), 4 * capacity)):
                 piece = ids[start:start + 4 * capacity]
