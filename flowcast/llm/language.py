@@ -25,6 +25,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from flowcast.llm.frames import narrow, schema_of, to_batches
@@ -32,6 +33,7 @@ from flowcast.sources.staging import stage
 
 BUCKETS, TEMPER, MOST, ACCEPT, KAPPA, UND_PRIOR = 1 << 16, 0.1, 200, 0.5, 20.0, 1e-4
 MAX_LANGUAGES, LEAST_SHARE = 64, 0.0005
+SLICE_BYTES = 2 << 20
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -63,13 +65,26 @@ def grams(texts):
 
 
 def _sums(values, starts):
-    total = np.r_[0.0, np.cumsum(values, dtype=np.float64)]
-    return total[starts[1:]] - total[starts[:-1]]
+    """Sums between the starts; empty stretches give 0."""
+    out = np.zeros(len(starts) - 1)
+    full = np.flatnonzero(starts[1:] > starts[:-1])
+    if len(full):
+        out[full] = np.add.reduceat(values, starts[full], dtype=np.float64)
+    return out
+
+
+def slices(batch, name="text", size=SLICE_BYTES):
+    """A batch in runs of rows of about ``size`` bytes of text, at least one row each."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+    piece = np.cumsum(lengths) // size
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield batch.slice(a, b - a)
 
 
 def _gram_counts(batches, target):
     totals = {}
-    for batch in batches:
+    for batch in (part for whole in batches if whole.num_rows for part in slices(whole)):
         code, starts = grams(batch.column("text"))
         tags = batch.column("declared").to_pylist()
         for tag in set(tags) - {None}:
@@ -124,11 +139,10 @@ def _likelihoods(batch, model):
     return out
 
 
-def _scored(batches, model, place, target):
-    for batch in batches:
-        if batch.num_rows:
-            columns = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            yield from to_batches(columns | {"ll": list(_likelihoods(batch, model))}, target)
+def _scored(batches, model, target):
+    for batch in (part for whole in batches if whole.num_rows for part in slices(whole)):
+        columns = {n: batch.column(n) for n in target.names if n != "ll"}
+        yield from to_batches(columns | {"ll": list(_likelihoods(batch, model))}, target)
 
 
 def _softmax(array):
@@ -159,10 +173,10 @@ def identify(docs, id_col="doc_id", text_col="text", declared_col="lang", host_c
         (docs[f"`{suffix_col}`"].cast("string") if suffix_col else none).alias("suffix"))
     rows = rows.withColumn("row_key", row_key(rows, "id", "text", "declared", "host"))
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, text string, declared string, host string, suffix string, row_key string, ll array<double>"
+    schema = f"id {kind}, declared string, host string, suffix string, row_key string, ll array<double>"
     target = schema_of(spark, schema)
-    scored = rows.mapInArrow(lambda it: _scored(it, model, 1, target), schema)
-    scored = stage(scored.drop("text").withColumn("own", _softmax(F.col("ll"))), "language")
+    scored = rows.mapInArrow(lambda it: _scored(it, model, target), schema)
+    scored = stage(scored.withColumn("own", _softmax(F.col("ll"))), "language")
 
     size = len(tags)
     sums = [F.sum(F.col("own")[i]).alias(f"s{i}") for i in range(size)]
