@@ -9,12 +9,14 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from flowcast.queries import all_queries  # noqa: E402
 from flowcast.session import local_session  # noqa: E402
+from flowcast.sources.staging import staging  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
@@ -32,13 +34,14 @@ HEADLINE = [
 
 
 def timed(run, spark):
-    start = time.perf_counter()
-    run(spark, SF_DIR).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with staging(spark):
+        start = time.perf_counter()
+        run(spark, SF_DIR).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main():
-    spark = local_session("flowcast-bench")
+    spark = local_session("flowcast-bench", **{"spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="flowcast-bench-")})
     queries, seconds = all_queries(), {}
     for name in HEADLINE:
         timed(queries[name], spark)

@@ -16,7 +16,8 @@ def parse_timestamp(c, fmt=None):
     c = as_column(c)
     if fmt is None:
         return c.try_cast("timestamp_ntz")
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    # The zoned parser only says whether the text fits; the value is read without any zone.
+    return F.when(F.try_to_timestamp(c, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
 def hour_bucket(c):

@@ -23,10 +23,6 @@ def row_total(columns):
     return reduce(add, [as_column(c) for c in columns])
 
 
-def floor_int(c):
-    return F.floor(as_column(c)).cast("bigint")
-
-
 def by_case(c, table, default=None):
     """Constant picked by the value of ``c`` from a declared dict."""
     c = as_column(c)

@@ -3,27 +3,34 @@
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowcast.functions.calendar import plus
 from flowcast.functions.numeric import clip_below
 from flowcast.operators.features import FEATURES, LAGS, MEANS
+from flowcast.session import shuffle_partitions
 from flowcast.sources.staging import scratch_path
 
 # The published model's settings.
 TREES, DEPTH, SEED = 100, 10, 42
+BINS, MAX_NODES = 128, 4_000_000
 
 
 def assemble(df, features=FEATURES, out="features"):
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
 
 
-def fit_forest(train, target, features=FEATURES, trees=TREES, depth=DEPTH, seed=SEED):
-    """Forest on all rows of ``train``; every split may use every feature."""
+def fit_forest(train, target, features=FEATURES, trees=TREES, depth=DEPTH, seed=SEED, bins=BINS, bootstrap=True):
+    """Forest on all rows of ``train``; every split may use every feature.
+
+    ``bins`` is how many split points a feature is cut to. The forest may have at most ``MAX_NODES`` nodes, so that
+    its trees can be sent to the executors.
+    """
+    if trees * 2 ** (depth + 1) > MAX_NODES:
+        raise ValueError(f"{trees} trees of depth {depth} may have more than {MAX_NODES} nodes")
     forest = RandomForestRegressor(
         labelCol=target, featuresCol="features", predictionCol="_raw", numTrees=trees,
-        maxDepth=depth, seed=seed, featureSubsetStrategy="all",
+        maxDepth=depth, seed=seed, featureSubsetStrategy="all", maxBins=bins, bootstrap=bootstrap,
     )
     return forest.fit(assemble(train.select(*features, target), features))
 
@@ -53,6 +60,8 @@ def forest_nodes(spark, model):
     root = nodes.groupby("treeID").id.idxmin().to_numpy()
     base = nodes.treeID.map(dict(zip(sorted(nodes.treeID.unique()), root))).to_numpy()
     leaf = (nodes.left < 0).to_numpy()
+    if len(nodes) != model.totalNumNodes or len(root) != model.getNumTrees:
+        raise RuntimeError("the stored forest is not laid out as expected")
     own = np.arange(len(nodes))
     return {
         "root": root.astype(np.int32),
@@ -68,9 +77,9 @@ def forest_nodes(spark, model):
 def recent_values(grid, keys, ts, y, depth=168):
     """One row per series: its last ``depth`` values in time order and how many."""
     if keys:
-        last = F.max(ts).over(Window.partitionBy(*keys))
-        rows = grid.select("*", last.alias("_last")).filter(
-            F.col(ts) > plus("_last", hours=-depth))
+        ends = grid.groupBy(*[F.col(k).alias("_" + k) for k in keys]).agg(F.max(ts).alias("_last"))
+        same = [F.col(k).eqNullSafe(F.col("_" + k)) for k in keys]
+        rows = grid.join(ends, same).filter(F.col(ts) > plus("_last", hours=-depth))
     else:
         last = grid.agg(F.max(ts)).scalar()
         rows = grid.filter(F.col(ts) > plus(last, hours=-depth))
@@ -80,7 +89,7 @@ def recent_values(grid, keys, ts, y, depth=168):
     return out.select(*keys, "last_ts", F.transform("_rows", lambda r: r["v"]).alias("history"))
 
 
-def _recursion(nodes, horizon, lags, means):
+def _recursion(nodes, horizon, lags, means, columns):
     """mapInPandas function: a batch of series, stepped together in time."""
     memory = max([*lags, *means])
 
@@ -119,23 +128,29 @@ def _recursion(nodes, horizon, lags, means):
                 for j, k in enumerate(means, len(calendar) + len(lags)):
                     mean = line[:, pos - k:pos].sum(axis=1) / k
                     x[:, j] = np.where(known + i >= k, mean, 0.0)
-                line[:, pos] = score(x)
+                line[:, pos] = score(x[:, columns])
             yield batch.drop(columns=["history"]).assign(path=list(line[:, memory:]))
 
     return run
 
 
-def forecast_forest(spark, model, grid, keys, ts, y, horizon=168, out="predicted", nodes=None):
+def forecast_forest(spark, model, grid, keys, ts, y, horizon=168, out="predicted", nodes=None,
+                    features=FEATURES):
     """Recursive forecast: each prediction is the lag of later steps.
 
     One row per series goes to the workers, which step whole batches of series in
     time together; the trees are broadcast, their size fixed by count and depth.
+    ``features`` are those the model was fitted to.
     Rolling means and lags run over actual and predicted values at every step.
     """
     keys = list(keys)
     trees = spark.sparkContext.broadcast(nodes or forest_nodes(spark, model))
     series = recent_values(grid, keys, ts, y, max([*LAGS.values(), *MEANS.values()]))
-    run = _recursion(trees, horizon, list(LAGS.values()), list(MEANS.values()))
+    # by number: series are small before they are stepped, and must stay spread
+    tasks = shuffle_partitions(spark)
+    series = series.repartition(tasks, *keys) if keys else series
+    columns = [FEATURES.index(name) for name in features]
+    run = _recursion(trees, horizon, list(LAGS.values()), list(MEANS.values()), columns)
     types = [f"`{f.name}` {f.dataType.simpleString()}" for f in series.schema.fields
              if f.name != "history"]
     paths = series.mapInPandas(run, ", ".join([*types, "path array<double>"]))

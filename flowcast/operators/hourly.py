@@ -8,9 +8,9 @@ from flowcast.functions.calendar import (day_bucket, hour_bucket, sequence_betwe
                                          step_interval)
 from flowcast.functions.numeric import filled, row_total
 from flowcast.session import shuffle_partitions
-from flowcast.sources.writers import MIB, estimated_bytes
 
 STAND_IN = "1970-01-01 00:00:00"
+GAP_CHUNK = 4096  # steps of a gap that one array holds
 
 
 def with_hour(df, ts, hour="ts_hour"):
@@ -61,7 +61,15 @@ def span(counts, ts, n):
     ).scalar()
 
 
-def fill_gaps(counts, ts, keys, values, step="hour", bounds="global"):
+def _stretched(df, first, last, ts, step, keep):
+    """One row per step from ``first`` to ``last``, long stretches in chunks of bounded arrays."""
+    length = step_interval(step) * F.lit(GAP_CHUNK)
+    chunks = df.select("*", F.explode(F.sequence(first, last, length)).alias("_from"), last.alias("_last"))
+    until = F.least(F.col("_from") + length - step_interval(step), F.col("_last"))
+    return chunks.select(*keep, F.explode(sequence_between("_from", until, step)).alias(ts))
+
+
+def _filled(counts, ts, keys, values, step, bounds):
     """Gap-free series: absent steps appear with value 0.
 
     Each row is stretched to just before the next row of its series, so no spine
@@ -69,24 +77,12 @@ def fill_gaps(counts, ts, keys, values, step="hour", bounds="global"):
     lag and rolling windows that follow use again. ``bounds="global"`` runs every
     series from the first to the last step of all; ``"series"`` over its own.
     """
-    return _filled(counts.filter(F.col(ts).isNotNull()), ts, keys, values, step, bounds)
-
-
-def _stretch_parts(counts, per_part=MIB // 4):
-    """The session's shuffle setting; fewer when it is large and the input small."""
-    setting = shuffle_partitions(counts.sparkSession)
-    if setting <= 16:
-        return setting
-    return min(setting, max(8, -(-estimated_bytes(counts) // per_part)))
-
-
-def _filled(counts, ts, keys, values, step, bounds):
     keys, values = list(keys), list(values)
     if not keys:
         return on_spine(counts, ts, values, step)
     order = Window.partitionBy(*keys).orderBy(ts)
     # By number: the rows are few before they are stretched, and must stay spread.
-    spread = counts.repartition(_stretch_parts(counts), *keys)
+    spread = counts.repartition(shuffle_partitions(counts.sparkSession), *keys)
     marked = spread.select(
         *keys,
         F.col(ts).alias("_at"),
@@ -103,9 +99,7 @@ def _filled(counts, ts, keys, values, step, bounds):
         last = F.coalesce(F.col("_next") - step_interval(step), F.col("_at"))
     else:
         raise ValueError(f"bounds must be 'global' or 'series', not {bounds!r}")
-    stretched = marked.select(
-        *keys, "_at", *values, F.explode(sequence_between(first, last, step)).alias(ts)
-    )
+    stretched = _stretched(marked, first, last, ts, step, [*keys, "_at", *values])
     here = F.col(ts) == F.col("_at")
     return stretched.select(
         ts, *keys, *[F.when(here, filled(v)).otherwise(F.lit(0)).alias(v) for v in values]

@@ -112,29 +112,54 @@ def process_nested_json(spark, path, schema, whole=True, flat=False, explode_arr
     return flatten(out, explode_arrays) if flat else out
 
 
+def _unique(names):
+    """Names in order, a repeated one with the next free number behind it."""
+    out, seen = [], set(names)
+    used = set()
+    for name in names:
+        new, n = name, 1
+        while new in used or (n > 1 and new in seen):
+            n += 1
+            new = f"{name}_{n}"
+        used.add(new)
+        out.append(new)
+    return out
+
+
 def flatten(df, explode_arrays=False, separator="_"):
     """Nested structs to top-level columns; optionally arrays to rows, level by level.
 
-    Arrays are exploded one after the other with their parents' columns carried, and
-    empty ones keep a row of NULLs.
+    All arrays of a level are exploded together, element by element: rows carry the elements
+    of one position, NULL where an array is shorter, so siblings never multiply. Empty
+    ones keep a row of NULLs. Columns that would share a name are numbered.
     """
     while True:
         fields = df.schema.fields
         if any(isinstance(f.dataType, T.StructType) for f in fields):
-            columns = []
+            columns, names = [], []
             for field in fields:
                 base = at((field.name,))
                 if isinstance(field.dataType, T.StructType):
-                    columns += [base.getField(n).alias(field.name + separator + n)
-                                for n in field.dataType.fieldNames()]
+                    for inner in field.dataType.fieldNames():
+                        columns.append(base.getField(inner))
+                        names.append(field.name + separator + inner)
                 else:
                     columns.append(base)
-            df = df.select(*columns)
+                    names.append(field.name)
+            df = df.select(*[c.alias(n) for c, n in zip(columns, _unique(names))])
             continue
         arrays = [f.name for f in fields if isinstance(f.dataType, T.ArrayType)]
         if not (explode_arrays and arrays):
             return df
-        df = df.select(*[
-            F.explode_outer(at((f.name,))).alias(f.name) if f.name == arrays[0] else at((f.name,))
+        aligned = F.arrays_zip(*[F.coalesce(at((n,)), F.array()).alias(f"a{i}") for i, n in enumerate(arrays)])
+        rows = df.select("*", F.explode_outer(aligned).alias("_row")) if "_row" not in df.columns else None
+        if rows is None:
+            raise ValueError("a column may not be named _row")
+        df = rows.select(*[
+            F.col("_row").getField(_zip_names(rows)[arrays.index(f.name)]).alias(f.name) if f.name in arrays else at((f.name,))
             for f in fields
         ])
+
+
+def _zip_names(rows):
+    return rows.schema["_row"].dataType.fieldNames()

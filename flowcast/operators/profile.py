@@ -2,6 +2,7 @@
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowcast.functions.calendar import as_column, time_on
 from flowcast.session import shuffle_partitions
@@ -18,26 +19,44 @@ def normalise(profile, weight, by=(), out="share"):
     return profile.select("*", F.try_divide(as_column(weight), total).alias(out))
 
 
-def scale_totals(daily, total, factor, out="scaled"):
-    """Whole part of ``total * factor``; a decimal factor keeps the product exact."""
-    exact = as_column(total).cast("decimal(20,0)") * as_column(factor).cast("decimal(6,4)")
-    return daily.select("*", F.floor(exact).cast("bigint").alias(out))
+def scale_totals(daily, total, factor, out="scaled", precision=17, scale=9):
+    """Whole part of ``total * factor``, by exact decimals.
+
+    A decimal factor keeps its own type; any other is read as decimal(precision, scale).
+    """
+    factor = as_column(factor)
+    if not isinstance(daily.select(factor).schema[0].dataType, T.DecimalType):
+        factor = factor.cast(f"decimal({precision},{scale})")
+    return daily.select("*", F.floor(as_column(total).cast("decimal(20,0)") * factor).cast("bigint").alias(out))
 
 
-def allocate(daily, keys, total, profile, hour="hour", weight="weight", out="allocated"):
-    """Split each daily total over the profile's hours; the parts sum to the total.
+def allocate(daily, keys, total, profile, hour="hour", weight="weight", out="allocated", without_weights="even"):
+    """Split each daily total over the 24 hours of day; the parts sum to the total.
 
     Largest remainder in whole numbers: every hour gets the floor of its share, then
-    the hours with the largest remainders one more each, earlier hours first.
+    the hours with the largest remainders one more each, earlier hours first. Hours the
+    profile lacks have weight 0. If all weights are 0, or the profile is empty, totals are
+    spread evenly, or with ``without_weights="error"`` the job fails with a clear message.
     Weights are whole numbers; they are summed per hour of day, so 24 rows at most are
     broadcast, whatever ``profile`` holds. Products are decimals and cannot overflow.
     """
     keys = list(keys)
     hours = daily.select(*keys, total, F.explode(F.sequence(F.lit(0), F.lit(23))).alias(hour))
-    weights = profile.filter(F.col(hour).between(0, 23)).groupBy(
+    if without_weights not in ("even", "error"):
+        raise ValueError(f"without_weights must be 'even' or 'error', not {without_weights!r}")
+    given = profile.filter(F.col(hour).between(0, 23)).groupBy(
         F.col(hour).cast("int").alias(hour)
     ).agg(F.sum(weight).cast("decimal(18,0)").alias("_w"))
+    clock = daily.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(23))).alias(hour))
+    weights = clock.join(given, hour, "left").select(hour, F.coalesce("_w", F.lit(0)).cast("decimal(18,0)").alias("_w"))
     weights = weights.withColumn("_all", F.sum("_w").over(Window.partitionBy()).cast("decimal(18,0)"))
+    none = F.col("_all") == 0
+    if without_weights == "error":
+        weights = weights.withColumn("_all", F.when(none, F.raise_error(F.lit("the profile has no weight above 0"))
+                                                    .cast("decimal(18,0)")).otherwise(F.col("_all")))
+    else:
+        weights = weights.select(hour, *[F.when(none, F.lit(n)).otherwise(F.col(c)).cast("decimal(18,0)").alias(c)
+                                         for c, n in (("_w", 1), ("_all", 24))])
     rows = hours.join(F.broadcast(weights), hour)
     product = F.col(total).cast("decimal(19,0)") * F.col("_w")
     rows = rows.withColumn("_product", product).withColumns({

@@ -8,8 +8,8 @@ from flowcast.functions.calendar import as_column
 from flowcast.functions.numeric import filled
 from flowcast.session import shuffle_partitions
 from flowcast.sources.staging import stage
-from flowcast.sources.writers import MIB, estimated_bytes
 
+BUCKET_ROWS = 1 << 16
 INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -67,22 +67,18 @@ def add_trailing_means(df, keys, ts, y, windows, warmup="null"):
     return summed.select(*df.columns, *columns)
 
 
-def _range_parts(df, per_part=4 * MIB):
-    """Range partitions: the session's shuffle setting, fewer when the data is small."""
-    return min(shuffle_partitions(df.sparkSession), max(1, -(-estimated_bytes(df) // per_part)))
-
-
-def global_row_index(df, order, name="row_index", start=1, running=None):
+def global_row_index(df, order, name="row_index", start=1, running=None, parts=None):
     """Consecutive numbers over the whole table in ``order``, without one big task.
 
     ``order`` should be unique per row. Rows are range partitioned, sorted in place
     and staged once with their position in the partition; only one row of totals per
     partition is summed up in order. ``running`` = {name: whole-number column} adds
-    running sums over the table, the current row included.
+    running sums over the table, the current row included. ``parts`` is the number of
+    range partitions, by default the session's shuffle setting.
     """
     running = dict(running or {})
     placed = (
-        df.repartitionByRange(_range_parts(df), *order)
+        df.repartitionByRange(parts or shuffle_partitions(df.sparkSession), *order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )
@@ -109,28 +105,34 @@ def global_row_index(df, order, name="row_index", start=1, running=None):
     )
 
 
-def add_history_in_table_order(df, order, y, lags, means=None, index="row_index"):
+def add_history_in_table_order(df, order, y, lags, means=None, index="row_index", bucket=BUCKET_ROWS):
     """Lags and trailing means over the rows of the whole table, whatever their series.
 
     A keyless window would pull every row into one task. The rows are numbered in
-    parallel instead, with a running sum; value and sum ``k`` rows back then come by
-    one equi-join per distinct ``k``. ``y`` holds whole numbers, without NULLs.
+    parallel instead and cut into buckets of consecutive numbers; a bucket also gets a copy of
+    the last rows before it, as many as the longest lag needs, so one shuffle by bucket
+    serves all lags and means. ``y`` holds whole numbers, without NULLs.
     """
     means = dict(means or {})
-    numbered = stage(global_row_index(df, order, index, running={"_sum": y}), "numbered")
-    numbered = numbered.withColumn("_sum", F.col("_sum") - F.col(y))
-    out = numbered
-    for k in sorted({*lags.values(), *means.values()}):
-        shifted = numbered.select(
-            (F.col(index) + F.lit(k)).alias(index), F.col(y).alias(f"_lag{k}"),
-            F.col("_sum").alias(f"_sum{k}"))
-        out = out.join(shifted, index, "left")
-    return out.select(
-        *df.columns,
-        *[F.col(f"_lag{k}").alias(name) for name, k in lags.items()],
-        *[((F.col("_sum") - F.col(f"_sum{k}")) / F.lit(k)).alias(name)
-          for name, k in means.items()],
-    )
+    reach = max([1, *lags.values(), *means.values()])
+    bucket = max(bucket, reach)
+    number = F.col(index) - F.lit(1)
+    own = F.floor(number / F.lit(bucket)).cast("bigint")
+    tail = number % F.lit(bucket) >= F.lit(bucket - reach)
+    near = F.when(tail, F.array(own, own + F.lit(1))).otherwise(F.array(own))
+    rows = global_row_index(df, order, index).select("*", own.alias("_own"), F.explode(near).alias("_bucket"))
+    here = Window.partitionBy("_bucket").orderBy(index)
+    total = F.sum(y).over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.select("*", total.alias("_sum"))
+
+    def mean(k):
+        since = F.lag("_sum", 1).over(here) - filled(F.lag("_sum", k + 1).over(here))
+        return F.when(F.col(index) > F.lit(k), since / F.lit(k))
+
+    out = rows.select(
+        "*", *[F.lag(y, k).over(here).alias(name) for name, k in lags.items()],
+        *[mean(k).alias(name) for name, k in means.items()])
+    return out.filter(F.col("_own") == F.col("_bucket")).drop("_own", "_bucket", "_sum", index)
 
 
 def sequence_ids(df, order, name="seq_id"):
@@ -149,6 +151,7 @@ def first_rows(df, n=5):
 
 def last_rows_split(df, keys, ts, n, segment="segment"):
     """Tag the last ``n`` rows of each series "test", the rest "train"."""
-    newest = Window.partitionBy(*keys).orderBy(as_column(ts).desc())
-    tag = F.when(F.row_number().over(newest) <= n, "test").otherwise("train")
+    order = by_series(keys, as_column(ts))
+    behind = F.count("*").over(Window.partitionBy(*keys)) - F.row_number().over(order)
+    tag = F.when(behind < n, "test").otherwise("train")
     return df.select("*", tag.alias(segment))

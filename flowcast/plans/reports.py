@@ -6,25 +6,19 @@ from flowcast.functions.calendar import day_bucket, plus
 from flowcast.models.forest import predict_forest
 from flowcast.operators.hourly import daily_sums, hour_of_day_means
 from flowcast.operators.metrics import forecast_metrics
-from flowcast.operators.splits import before, between, one_day
+from flowcast.operators.splits import between, one_day
 from flowcast.operators.windows import top_rows
 
 
-def mark(result, name):
-    """A scalar of the job's one-row table of marks."""
-    return result.marks.select(name).scalar()
-
-
 def overall(result):
     """Every hour with its segment, and the split and horizon marks."""
-    return result.forecast.select("*", mark(result, "test_start").alias("test_start"),
-                                  mark(result, "forecast_start").alias("forecast_start"))
+    return result.marked(result.forecast).select(*result.forecast.columns, "test_start", "forecast_start")
 
 
 def test_period(result):
     """Actual against predicted from the split to the horizon, both included."""
-    return between(result.forecast, result.ts, mark(result, "test_start"),
-                   mark(result, "forecast_start"))
+    rows = result.marked(result.forecast).filter(F.col(result.ts).between(F.col("test_start"), F.col("forecast_start")))
+    return rows.select(*result.forecast.columns)
 
 
 def daily(result, bounds="series"):
@@ -35,17 +29,16 @@ def daily(result, bounds="series"):
 
 def day_pattern(result, days_after_split=5):
     """Hours of one sample day of the test period."""
-    day = plus(day_bucket(mark(result, "test_start")), days=days_after_split)
-    rows = one_day(result.forecast, result.ts, day)
+    rows = result.marked(result.forecast)
+    rows = one_day(rows, result.ts, plus(day_bucket("test_start"), days=days_after_split))
     return rows.select(*result.keys, F.hour(result.ts).alias("hour"), "actual", "predicted")
 
 
 def fitted(result, n="n"):
     """The model's own predictions for its training rows."""
-    train = before(result.features, result.ts, mark(result, "test_start"))
     if result.model is None:
-        return train.withColumn("predicted", F.lit(None).cast("double"))
-    return predict_forest(result.model, train)
+        return result.training.withColumn("predicted", F.lit(None).cast("double"))
+    return predict_forest(result.model, result.training)
 
 
 def hour_pattern(result, rows=None, n="n"):
@@ -57,8 +50,8 @@ def hour_pattern(result, rows=None, n="n"):
 
 def first_week(result):
     """The first seven forecast days, both ends included."""
-    start = mark(result, "forecast_start")
-    rows = between(result.forecast, result.ts, start, plus(start, days=7))
+    rows = result.marked(result.forecast)
+    rows = between(rows, result.ts, F.col("forecast_start"), plus("forecast_start", days=7))
     return rows.select(*result.keys, result.ts, "predicted")
 
 

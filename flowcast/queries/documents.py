@@ -2,7 +2,8 @@
 
 A document covers one key and one run of neighbouring input rows. A key with very many
 rows so becomes many documents of bounded size, never one large group; flattening them
-gives the rows back whole. The run number depends on the file split alone, so a
+gives the rows back whole. How many documents a key has follows the file split, so ids are
+not unique and no query reports a count per document. The run number depends on the file split alone, so a
 recomputed task repeats it.
 """
 
@@ -87,6 +88,12 @@ def header_documents(spark, sf):
         F.to_json(F.struct(meta.alias("meta"), info.alias("info"))).alias("value"))
 
 
+def first_orders(spark, sf):
+    """The id of the first order of every month: as many match files as months."""
+    orders = read_table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    return orders.groupBy("month").agg(F.min("o_orderkey").alias("match_id")).select("match_id")
+
+
 def players_documents(spark, sf):
     """JSON texts with an object of player lists per team, teams with spaces in the name."""
     rows = in_runs(

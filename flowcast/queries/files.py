@@ -4,6 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from flowcast.functions.calendar import parse_timestamp
 from flowcast.operators import match as mt
 from flowcast.operators.hourly import hourly_counts
 from flowcast.queries import documents as docs
@@ -76,22 +77,70 @@ def parquet_compact(spark, sf):
 @query("SELECT * FROM orders")
 def table_roundtrip(spark, sf):
     name = "orders_copy_" + uuid.uuid4().hex
-    return writers.save_table(read_table(spark, sf, "orders"), name,
-                              path=scratch_path(spark, "table"))
+    return writers.scratch_table(read_table(spark, sf, "orders"), name,
+                                 path=scratch_path(spark, "table"))
 
 
-@query("SELECT event_id, event_type, value FROM events WHERE value > 50")
+@query("SELECT * FROM events")
 def sql_view(spark, sf):
     name = "events-1_json"
     catalog.register_view(read_table(spark, sf, "events"), name)
-    return catalog.query_view(spark, name, ["event_id", "event_type", "value"], "value > 50")
+    return catalog.query_view(spark, name)
 
 
-@query("""SELECT count(*) AS source_rows, count(*) AS copy_rows, CAST(1 AS BIGINT) AS copy_files,
+@query("""SELECT count(*) AS source_rows, count(*) AS copy_rows, CAST(3 AS BIGINT) AS copy_files,
 true AS schema_equal, true AS content_equal FROM lineitem""")
 def write_audit(spark, sf):
     source, path = read_table(spark, sf, "lineitem"), scratch_path(spark, "audited")
-    writers.compact_parquet(source, path)
-    audit = audit_copy(source, readers.read_parquet(spark, path))
-    # The file count follows the data's size; here only whether there is any.
-    return audit.withColumn("copy_files", F.least("copy_files", F.lit(1).cast("bigint")))
+    writers.compact_parquet(source, path, files=3, even=True)
+    return audit_copy(source, readers.read_parquet(spark, path))
+
+
+@query("SELECT * FROM orders")
+def parquet_overwrite(spark, sf):
+    """The plain sink: a second write replaces the first."""
+    path, rows = scratch_path(spark, "plain"), read_table(spark, sf, "orders")
+    writers.write_parquet(rows.filter("o_orderstatus = 'F'"), path)
+    writers.write_parquet(rows, path)
+    return readers.read_parquet(spark, path)
+
+
+@query("""SELECT CAST(p_partkey AS INTEGER) AS "ProductID", p_name AS "ProductName", p_type AS "Category",
+p_retailprice AS "ListPrice" FROM part""")
+def csv_by_format(spark, sf):
+    """The scan by format name, with a separator and a schema."""
+    path = scratch_path(spark, "by-format")
+    writers.write_csv(_products(spark, sf), path, sep=";")
+    return readers.read_format(spark, "csv", path, PRODUCT, header="true", sep=";")
+
+
+@query("""SELECT date_trunc('day', o_orderdate) AS event_time, count(*) AS n FROM orders GROUP BY 1""")
+def time_by_name(spark, sf):
+    """The time column found by its name, not its place."""
+    rows = read_table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("timestamp"))
+    path = scratch_path(spark, "named")
+    writers.write_csv(rows, path)
+    timed = readers.with_event_time(readers.read_csv(spark, path))
+    return timed.groupBy("event_time").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS at FROM
+(SELECT event_id, date_trunc('second', ts) AS ts FROM events)""")
+def parse_timestamps(spark, sf):
+    """Texts in a given format, some of them unreadable, to zone-free times."""
+    rows = read_table(spark, sf, "events").select("event_id", F.date_format("ts", "dd.MM.yyyy HH:mm:ss").alias("text"))
+    bad = rows.withColumn("text", F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("no time "), "text")).otherwise(F.col("text")))
+    return bad.select("event_id", parse_timestamp("text", "dd.MM.yyyy HH:mm:ss").alias("at"))
+
+
+KINDS = {"event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double",
+         "props": "string"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS path, '{kind}' AS type, count({c}) AS n_values FROM events" for c, kind in KINDS.items()))
+def schema_rows(spark, sf):
+    """The columns of a table as rows, with how many values each holds."""
+    rows = read_table(spark, sf, "events")
+    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
+    counted = counts.unpivot([], rows.columns, "path", "n_values")
+    return catalog.schema_rows(rows).join(counted, "path")

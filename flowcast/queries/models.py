@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from flowcast.models import linear as ln
 from flowcast.operators import features as ft
 from flowcast.operators import windows as wn
-from flowcast.operators.splits import before, holdout_start, since
 from flowcast.plans import reports as rp
-from flowcast.plans.forecast import Forecast, compare_models, forecast_job, forecast_rows
+from flowcast.models import forest as fr
+from flowcast.operators.metrics import forecast_metrics
+from flowcast.operators.splits import holdout_by_days
+from flowcast.plans.forecast import compare_models, forecast_job, forecast_rows
 from flowcast.queries import fit_sql
 from flowcast.queries.registry import registrar
-from flowcast.queries.series import BY_TYPE, SERIES, events, grid, staged_grid
+from flowcast.queries.series import BY_TYPE, SERIES, _lag, events, grid, staged_grid
 from flowcast.sources.staging import stage
 
 QUERIES, ORACLES, query = registrar()
@@ -139,21 +141,17 @@ def forest_hour_pattern(spark, sf):
     return rp.hour_pattern(_job(spark, sf))
 
 
-def _naive(spark, sf):
+def _naive(spark, sf, keys=KEYS, bounds="global"):
     """A forecast whose predictions SQL can repeat: the value 168 hours before."""
-    features = stage(ft.add_history(grid(spark, sf), KEYS, "ts_hour", "n"), "naive")
-    start = holdout_start(features, "ts_hour", 7)
-    train, test = before(features, "ts_hour", start), since(features, "ts_hour", start)
-    future = ft.future_frame(features, KEYS, "ts_hour")
-    ahead = wn.add_lags(ft.extend(features.select("ts_hour", *KEYS, "n"), future), KEYS,
+    rows = events(spark, sf).withColumn("loc", F.col("user_id") % 10)
+    job = forecast_job(rows, "ts", keys, holdout_days=7, bounds=bounds)
+    future = ft.future_frame(job.features, keys, "ts_hour")
+    ahead = wn.add_lags(ft.extend(job.features.select("ts_hour", *keys, "n"), future), keys,
                         "ts_hour", "n", {"predicted": 168})
-    rows = forecast_rows(
-        train, test.withColumn("predicted", F.col("lag_168h")),
-        ahead.filter(F.col("n").isNull()), KEYS, "ts_hour", "n", "naive")
-    marks = features.agg(F.min("ts_hour").alias("first_ts"), F.max("ts_hour").alias("last_ts"))
-    marks = marks.select("first_ts", start.alias("test_start"), "last_ts",
-                         (F.col("last_ts") + F.expr("INTERVAL '1' HOUR")).alias("forecast_start"))
-    return Forecast(None, rows, None, None, features, marks, tuple(KEYS), "ts_hour")
+    job.forecast = forecast_rows(
+        job.part(False), job.part(True).withColumn("predicted", F.col("lag_168h")),
+        ahead.filter(F.col("n").isNull()), keys, "ts_hour", "n", "naive")
+    return job
 
 
 NAIVE = f"""WITH {BY_TYPE},
@@ -202,8 +200,7 @@ avg(coalesce(p, 0.0)) AS predicted FROM (SELECT x.*, a.p FROM x JOIN a USING (ev
 WHERE segment = 'train' GROUP BY 1, 2""")
 def report_hour_pattern(spark, sf):
     result = _naive(spark, sf)
-    train = before(result.features, "ts_hour", rp.mark(result, "test_start"))
-    return rp.hour_pattern(result, train.withColumn("predicted", F.col("lag_168h")))
+    return rp.hour_pattern(result, result.part(False).withColumn("predicted", F.col("lag_168h")))
 
 
 @query(NAIVE + """SELECT event_type, model, avg(abs(actual - predicted)) AS mae,
@@ -213,3 +210,120 @@ count(*) FILTER (WHERE actual = 0) AS n_zero FROM x WHERE segment = 'test' GROUP
 def report_errors(spark, sf):
     rows = _naive(spark, sf).forecast.filter("segment = 'test'")
     return rp.model_errors(rows, KEYS).withColumn("mape", F.round("mape", 9))
+
+
+OWN = """WITH e AS (SELECT *, user_id % 10 AS loc FROM events),
+c AS (SELECT date_trunc('hour', ts) AS ts_hour, event_type, loc, count(*) AS n FROM e GROUP BY 1, 2, 3),
+k AS (SELECT event_type, loc, min(ts_hour) AS lo, max(ts_hour) AS hi FROM c GROUP BY 1, 2),
+s AS (SELECT event_type, loc, unnest(generate_series(lo, hi + INTERVAL 168 HOUR, INTERVAL 1 HOUR)) AS ts_hour FROM k),
+g AS (SELECT s.*, k.hi, CASE WHEN s.ts_hour <= k.hi THEN coalesce(c.n, 0) END AS n
+  FROM s JOIN k USING (event_type, loc) LEFT JOIN c USING (ts_hour, event_type, loc)),
+a AS (SELECT *, CAST(lag(n, 168) OVER (PARTITION BY event_type, loc ORDER BY ts_hour) AS DOUBLE) AS p FROM g)
+"""
+
+
+@query(OWN + "SELECT event_type, loc, ts_hour, p AS predicted FROM a WHERE ts_hour > hi")
+def report_first_week_own_bounds(spark, sf):
+    """Every series forecast from where it ends itself."""
+    return rp.first_week(_naive(spark, sf, ["event_type", "loc"], "series"))
+
+
+@query(OWN + """SELECT event_type, loc, ts_hour, 'naive' AS model, CAST(n AS DOUBLE) AS actual,
+CASE WHEN ts_hour > hi THEN p ELSE coalesce(p, 0.0) END AS predicted,
+CASE WHEN ts_hour > hi THEN 'future' ELSE 'test' END AS segment
+FROM a WHERE ts_hour BETWEEN hi - INTERVAL 7 DAY AND hi + INTERVAL 1 HOUR""")
+def report_test_period_own_bounds(spark, sf):
+    return rp.test_period(_naive(spark, sf, ["event_type", "loc"], "series"))
+
+
+def _best_split(rows, features):
+    """SQL of the one split of least squared error: (feature, threshold, value left, value right)."""
+    values = " UNION ALL ".join(
+        f"SELECT {i} AS i, '{f}' AS feature, CAST({f} AS DOUBLE) AS v, count(*) AS m, CAST(sum(n) AS DOUBLE) AS t FROM {rows} GROUP BY 3"
+        for i, f in enumerate(features))
+    return f"""v AS ({values}),
+cut AS (SELECT i, feature, (v + lead(v) OVER w) / 2 AS threshold, sum(m) OVER w AS ml, sum(t) OVER w AS tl,
+  sum(m) OVER (PARTITION BY i) AS m, sum(t) OVER (PARTITION BY i) AS t FROM v WINDOW w AS (PARTITION BY i ORDER BY v)),
+best AS (SELECT feature, threshold, tl / ml AS low, (t - tl) / (m - ml) AS high FROM cut WHERE threshold IS NOT NULL
+  ORDER BY tl * tl / ml + (t - tl) * (t - tl) / (m - ml) DESC, i, threshold LIMIT 1)"""
+
+
+# One tree without resampling and with one split: what SQL can grow as well.
+STUMP = {"trees": 1, "depth": 1, "bootstrap": False}
+TREE_FEATURES = ["hour", "dayofweek"]
+TREE = f"""WITH {BY_TYPE}, x AS (SELECT event_type, ts_hour, n, CAST(hour(ts_hour) AS INTEGER) AS hour,
+CAST(isodow(ts_hour) - 1 AS INTEGER) AS dayofweek FROM g), {{split}},
+p AS (SELECT x.*, CASE WHEN CASE feature WHEN 'hour' THEN hour ELSE dayofweek END <= threshold THEN low ELSE high END AS predicted
+  FROM x CROSS JOIN best)
+"""
+HELD = "tr AS (SELECT * FROM x WHERE ts_hour < (SELECT max(ts_hour) - INTERVAL 7 DAY FROM x)), "
+
+
+def _stump(spark, sf, held=False):
+    rows = stage(ft.add_calendar(grid(spark, sf), "ts_hour"), "tree")
+    tagged = holdout_by_days(rows, "ts_hour", 7)
+    train = tagged.filter("segment = 'train'") if held else rows
+    return fr.fit_forest(train, "n", TREE_FEATURES, **STUMP), tagged
+
+
+@query(TREE.format(split=_best_split("x", TREE_FEATURES))
+       + "SELECT event_type, ts_hour, n, round(predicted, 9) AS predicted FROM p")
+def tree_split(spark, sf):
+    """The tree of one split, fitted to and scored on every hour."""
+    model, rows = _stump(spark, sf)
+    scored = fr.predict_forest(model, rows, TREE_FEATURES)
+    return scored.select("event_type", "ts_hour", "n", F.round("predicted", 9).alias("predicted"))
+
+
+@query(TREE.format(split=HELD + _best_split("tr", TREE_FEATURES)) + """SELECT event_type, round(avg(abs(n - predicted)), 9) AS mae,
+round(sqrt(avg((n - predicted) * (n - predicted))), 9) AS rmse, count(*) AS n FROM p
+WHERE ts_hour >= (SELECT max(ts_hour) - INTERVAL 7 DAY FROM x) GROUP BY 1""")
+def tree_holdout(spark, sf):
+    model, rows = _stump(spark, sf, held=True)
+    scored = fr.predict_forest(model, rows.filter("segment = 'test'"), TREE_FEATURES)
+    out = forecast_metrics(scored, "n", "predicted", KEYS)
+    return out.select("event_type", F.round("mae", 9).alias("mae"), F.round("rmse", 9).alias("rmse"), "n")
+
+
+@query(TREE.format(split=_best_split("x", TREE_FEATURES)) + """SELECT f AS feature, CASE WHEN f = feature THEN 1.0::DOUBLE ELSE 0.0 END
+AS importance FROM (VALUES ('hour'), ('dayofweek')) AS z(f) CROSS JOIN best""")
+def tree_importance(spark, sf):
+    model, _ = _stump(spark, sf)
+    return fr.importance_table(spark, model, TREE_FEATURES)
+
+
+LAGGED = ["hour", "lag_24h"]
+
+
+@query("WITH RECURSIVE " + BY_TYPE + f""", x AS (SELECT event_type, ts_hour, n, CAST(hour(ts_hour) AS INTEGER) AS hour,
+{_lag(24)} AS lag_24h FROM g {SERIES}), {_best_split("x", LAGGED)},
+r AS (SELECT event_type, ts_hour, 0 AS day, CAST(n AS DOUBLE) AS y FROM g WHERE ts_hour > (SELECT hi - INTERVAL 24 HOUR FROM b)
+  UNION ALL SELECT event_type, ts_hour + INTERVAL 24 HOUR, day + 1,
+  CASE WHEN CASE feature WHEN 'hour' THEN hour(ts_hour) ELSE y END <= threshold THEN low ELSE high END
+  FROM r CROSS JOIN best WHERE day < 7)
+SELECT event_type, ts_hour, round(y, 9) AS predicted FROM r WHERE day > 0""")
+def tree_recursive(spark, sf):
+    """A week ahead by a tree that may split on the value a day before, predicted values included."""
+    rows = stage(ft.add_history(ft.add_calendar(grid(spark, sf), "ts_hour"), KEYS, "ts_hour", "n"), "tree")
+    model = fr.fit_forest(rows, "n", LAGGED, **STUMP)
+    out = fr.forecast_forest(spark, model, rows, KEYS, "ts_hour", "n", features=LAGGED)
+    return out.withColumn("predicted", F.round("predicted", 9))
+
+
+@query(NAIVE + """SELECT segment, count(*) AS n, min(ts_hour) AS first_ts, max(ts_hour) AS last_ts,
+count(DISTINCT event_type) AS series, true AS complete, 1.0::DOUBLE AS importance FROM x GROUP BY 1""")
+def forest_shape(spark, sf):
+    """What SQL can say of a forest's job: segments, hours and series, no gap in predictions, importances of sum 1."""
+    job = forecast_job(events(spark, sf), "ts", KEYS, holdout_days=7, trees=10, depth=5)
+    total = job.importance.agg(F.round(F.sum("importance"), 9)).scalar()
+    known = F.col("segment").eqNullSafe("train") | F.col("predicted").isNotNull()
+    return job.forecast.groupBy("segment").agg(
+        F.count("*").alias("n"), F.min("ts_hour").alias("first_ts"), F.max("ts_hour").alias("last_ts"),
+        F.countDistinct("event_type").alias("series"), F.every(known).alias("complete")).withColumn("importance", total)
+
+
+@query("""SELECT 'x' AS event_type, TIMESTAMP '2024-01-01 00:00:00' AS ts_hour, 0.0::DOUBLE AS predicted WHERE false""")
+def forecast_of_nothing(spark, sf):
+    """The whole job over no events at all."""
+    job = forecast_job(events(spark, sf).filter("event_type = 'no such type'"), "ts", KEYS)
+    return rp.first_week(job)

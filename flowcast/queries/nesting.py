@@ -1,5 +1,7 @@
 """Nested documents to flat tables; the documents are nested from the supplied tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -7,8 +9,9 @@ from flowcast.operators import match as mt
 from flowcast.operators import nested as nt
 from flowcast.queries import documents as docs
 from flowcast.queries.registry import registrar
+from flowcast.sources.catalog import struct_fields
 from flowcast.sources.readers import read_json, read_table
-from flowcast.sources.staging import scratch_path
+from flowcast.sources.staging import on_release, scratch_path
 
 QUERIES, ORACLES, query = registrar()
 
@@ -132,7 +135,7 @@ def _flat(df):
 def _document_files(spark, sf, label):
     """Pretty-printed arrays over many lines, one document per file."""
     path = scratch_path(spark, label)
-    arrays = docs.array_documents(spark, sf, bits=12, pretty="true")
+    arrays = docs.array_documents(spark, sf, bits=17, pretty="true")
     arrays.write.option("maxRecordsPerFile", 1).text(path)
     return path
 
@@ -155,3 +158,47 @@ def exploded_positions(spark, sf):
         "event_id", F.array("event_type", "event_type").alias("pair"),
         (F.col("user_id") % 10).alias("loc"))
     return nt.explode_rows(rows, "pair", "event_type", ["event_id", "loc"], position="copy")
+
+
+@query("""SELECT c_custkey AS a_b, c_name AS a_b_2, CASE i WHEN 0 THEN c_nationkey WHEN 1 THEN c_nationkey + 1 END AS xs,
+CASE i WHEN 0 THEN c_mktsegment WHEN 1 THEN c_name ELSE 'last' END AS ys FROM customer CROSS JOIN (VALUES (0), (1), (2)) AS p(i)""")
+def flatten_siblings(spark, sf):
+    """Sibling arrays side by side, not multiplied, and names that would clash."""
+    rows = read_table(spark, sf, "customer").select(
+        F.struct(F.col("c_custkey").alias("b")).alias("a"), F.col("c_name").alias("a_b"),
+        F.array("c_nationkey", F.col("c_nationkey") + 1).alias("xs"), F.array("c_mktsegment", "c_name", F.lit("last")).alias("ys"))
+    return nt.flatten(rows, explode_arrays=True)
+
+
+@query("""SELECT event_id, value AS "the value", event_type AS "event type", user_id AS "user.no" FROM events""")
+def struct_fields_by_schema(spark, sf):
+    """All fields of a struct whose names, with spaces and dots, are only known at run time."""
+    rows = read_table(spark, sf, "events").select("event_id", F.struct(
+        F.col("value").alias("the value"), F.col("event_type").alias("event type"), F.col("user_id").alias("user.no")).alias("all data"))
+    return nt.project(rows, {name: ("all data", name) for name in struct_fields(rows, "all data")}, ["event_id"])
+
+
+@query("""SELECT 'Customer ' || o_custkey AS event_name, CAST(o_orderkey % 7 AS BIGINT) AS revision,
+strftime(o_orderdate, '%Y-%m-%d') AS first_date, 'Team 1' AS second_team FROM orders""")
+def inferred_json(spark, sf):
+    """Nested documents read with the schema Spark finds in them."""
+    path = scratch_path(spark, "inferred")
+    docs.header_documents(spark, sf).select("value").write.text(path)
+    return nt.project(read_json(spark, path, multiline=False), {
+        "event_name": "info.event.name", "revision": "meta.revision", "first_date": "info.dates[0]", "second_team": "info.teams[1]"})
+
+
+@query("""SELECT strftime(o_orderdate, '%Y-%m-%d') AS created, o_orderpriority AS city, 'Ground ' || (o_custkey % 10) AS venue
+FROM orders WHERE o_orderkey IN (SELECT min(o_orderkey) FROM orders GROUP BY strftime(o_orderdate, '%Y-%m'))""")
+def match_files(spark, sf):
+    """Multi-line files keyed by file name to five catalog tables, and a join of two of them."""
+    path, tables = scratch_path(spark, "match-files"), scratch_path(spark, "match-tables")
+    rows = docs.header_documents(spark, sf).join(docs.first_orders(spark, sf), "match_id", "left_semi")
+    lines = F.regexp_replace("value", r"\},", "},\n")
+    rows.repartition(8).select(lines.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    prefix = "m" + uuid.uuid4().hex + "_"
+    for name in mt.TABLES:
+        on_release(lambda name=name: spark.sql(f"DROP TABLE IF EXISTS `{prefix}{name}`"))
+    saved = mt.save_match_tables(mt.read_matches(spark, path), prefix=prefix, path=tables)
+    return saved["metadata_table"].select("match_id", "created").join(
+        saved["match_information_table"].select("match_id", "city", "venue"), "match_id").drop("match_id")

@@ -5,7 +5,7 @@ Movement time is ``ts``, type is ``event_type``, location ``'loc_' || user_id %
 
 from pyspark.sql import functions as F
 
-from flowcast.functions.calendar import date_text, day_bucket, is_weekend, plus
+from flowcast.functions.calendar import date_text, day_bucket, hour_bucket, is_weekend, plus
 from flowcast.functions.numeric import by_case
 from flowcast.operators import features as ft
 from flowcast.operators import hourly as hr
@@ -195,15 +195,15 @@ def daily_resample(spark, sf):
     return daily.select("day", "event_type", "n", F.col("predicted").cast("double"))
 
 
-@query("""WITH c AS (SELECT date_trunc('day', o_orderdate) AS day, CAST(count(*) AS BIGINT) AS n FROM orders
-WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 400000 GROUP BY 1),
-s AS (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day FROM c)
-SELECT day, CAST(coalesce(n, 0) AS BIGINT) AS n FROM s LEFT JOIN c USING (day)""")
+@query("""WITH c AS (SELECT date_trunc('day', o_orderdate) AS day, o_orderpriority, o_orderstatus,
+CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1, 2, 3),
+s AS (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS day FROM c),
+k AS (SELECT DISTINCT o_orderpriority, o_orderstatus FROM c)
+SELECT day, o_orderpriority, o_orderstatus, CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM s CROSS JOIN k LEFT JOIN c USING (day, o_orderpriority, o_orderstatus)""")
 def daily_order_grid(spark, sf):
-    orders = read_table(spark, sf, "orders").filter(
-        "o_orderpriority = '1-URGENT' AND o_totalprice > 400000")
-    return hr.daily_sums(orders.select("o_orderdate", F.lit(1).cast("bigint").alias("n")),
-                         "o_orderdate", ["n"])
+    orders = read_table(spark, sf, "orders").withColumn("n", F.lit(1).cast("bigint"))
+    return hr.daily_sums(orders, "o_orderdate", ["n"], ["o_orderpriority", "o_orderstatus"])
 
 
 @query(f"""WITH {BY_TYPE} SELECT event_type, CAST(hour(ts_hour) AS INTEGER) AS hour, avg(n) AS n
@@ -228,7 +228,8 @@ def series_keys(spark, sf):
 CASE WHEN ts_hour < (SELECT max(ts_hour) - INTERVAL 7 DAY FROM g) THEN 'train' ELSE 'test' END AS segment
 FROM g""")
 def holdout_split_days(spark, sf):
-    return sp.holdout_by_days(staged_grid(spark, sf), "ts_hour", 7)
+    last = events(spark, sf).agg(hour_bucket(F.max("ts")).alias("t")).scalar()
+    return sp.holdout_by_days(grid(spark, sf), "ts_hour", start=plus(last, days=-7))
 
 
 @query(f"""WITH {BY_TYPE} SELECT ts_hour, event_type, n, CASE WHEN row_number()
@@ -237,10 +238,10 @@ def holdout_last_n(spark, sf):
     return wn.last_rows_split(grid(spark, sf), ["event_type"], "ts_hour", 168)
 
 
-@query("""SELECT event_id FROM events""")
+@query("""SELECT event_id, CASE WHEN CAST('0x' || md5('42:' || event_id)[1:8] AS BIGINT) < 3221225472 THEN 'train' ELSE 'test' END
+AS segment FROM events""")
 def random_split(spark, sf):
-    train, test = sp.random_split(events(spark, sf).select("event_id"))
-    return train.unionByName(test)
+    return sp.random_split(events(spark, sf).select("event_id"), "event_id")
 
 
 def _metrics_sql(mape):
@@ -274,7 +275,7 @@ def forecast_metrics_published(spark, sf):
 unnest(generate_series(max(ts_hour) + INTERVAL 1 HOUR, max(ts_hour) + INTERVAL 168 HOUR, INTERVAL 1 HOUR))
 AS ts_hour FROM g GROUP BY 1) SELECT event_type, ts_hour, {CALENDAR} FROM f""")
 def future_frame(spark, sf):
-    return ft.add_calendar(ft.future_frame(staged_grid(spark, sf), ["event_type"], "ts_hour"), "ts_hour")
+    return ft.add_calendar(ft.future_frame(grid(spark, sf), ["event_type"], "ts_hour"), "ts_hour")
 
 
 @query(f"""WITH {BY_TYPE}, f AS (SELECT unnest(generate_series(max(ts_hour) + INTERVAL 1 HOUR,
@@ -311,9 +312,9 @@ def day_slice(spark, sf):
 @query(f"""WITH {BY_TYPE} SELECT * FROM g WHERE ts_hour BETWEEN
 (SELECT min(ts_hour) + INTERVAL 7 DAY FROM g) AND (SELECT min(ts_hour) + INTERVAL 14 DAY FROM g)""")
 def week_slice(spark, sf):
-    rows = staged_grid(spark, sf)
-    start = plus(rows.agg(F.min("ts_hour").alias("t")).scalar(), days=7)
-    return sp.between(rows, "ts_hour", start, plus(start, days=7))
+    first = events(spark, sf).agg(hour_bucket(F.min("ts")).alias("t")).scalar()
+    start = plus(first, days=7)
+    return sp.between(grid(spark, sf), "ts_hour", start, plus(start, days=7))
 
 
 @query("SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS seq_id FROM events")
@@ -343,11 +344,10 @@ def profile_normalise(spark, sf):
 
 SCALED = """
 d AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS total FROM events GROUP BY 1, 2),
-m AS (SELECT *, CASE WHEN isodow(day) < 6 THEN 1.0 ELSE CASE event_type
-  WHEN 'click' THEN 0.9 WHEN 'error' THEN 0.95 WHEN 'purchase' THEN 0.8 WHEN 'signup' THEN 0.9
-  WHEN 'view' THEN 0.7 END END AS factor FROM d),
-z AS (SELECT day, event_type, total,
-  CAST(floor(CAST(total AS DECIMAL(18,0)) * CAST(factor AS DECIMAL(6,4))) AS BIGINT) AS scaled FROM m)
+m AS (SELECT *, CASE WHEN isodow(day) < 6 THEN 100 ELSE CASE event_type
+  WHEN 'click' THEN 90 WHEN 'error' THEN 95 WHEN 'purchase' THEN 80 WHEN 'signup' THEN 90
+  WHEN 'view' THEN 70 END END AS percent FROM d),
+z AS (SELECT day, event_type, total, CAST(total * percent // 100 AS BIGINT) AS scaled FROM m)
 """
 
 
@@ -367,8 +367,8 @@ def weekend_totals(spark, sf):
 
 ALLOCATED = f"""WITH {SCALED}, p AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS weight FROM events GROUP BY 1),
 h AS (SELECT CAST(range AS INTEGER) AS hour FROM range(24)),
-x AS (SELECT day, event_type, scaled, hour, CAST(weight AS HUGEINT) AS w,
-  (SELECT CAST(sum(weight) AS HUGEINT) FROM p) AS sw FROM z CROSS JOIN h JOIN p USING (hour)),
+x AS (SELECT day, event_type, scaled, hour, CAST(coalesce(weight, 0) AS HUGEINT) AS w,
+  (SELECT CAST(sum(weight) AS HUGEINT) FROM p) AS sw FROM z CROSS JOIN h LEFT JOIN p USING (hour)),
 y AS (SELECT *, scaled * w // sw AS base, scaled * w % sw AS rest FROM x),
 r AS (SELECT *, row_number() OVER (PARTITION BY day, event_type ORDER BY rest DESC, hour) AS rn,
   scaled - sum(base) OVER (PARTITION BY day, event_type) AS spare FROM y),
@@ -376,9 +376,9 @@ al AS (SELECT day, event_type, hour, CAST(base + CASE WHEN rn <= spare THEN 1 EL
 """
 
 
-def _allocated(spark, sf):
+def _allocated(spark, sf, hours=range(24)):
     counts = stage(hr.hourly_counts(events(spark, sf), "ts", ["event_type"]), "counts")
-    weights = counts.groupBy(F.hour("ts_hour").alias("hour")).agg(F.sum("n").alias("weight"))
+    weights = counts.filter(F.hour("ts_hour").isin(*hours)).groupBy(F.hour("ts_hour").alias("hour")).agg(F.sum("n").alias("weight"))
     return pf.allocate(_scaled(counts), ["day", "event_type"], "scaled", weights)
 
 
@@ -387,6 +387,13 @@ def profile_allocate(spark, sf):
     return _allocated(spark, sf)
 
 
+@query(ALLOCATED.replace("FROM events GROUP BY 1),\nh AS", "FROM events WHERE hour(ts) BETWEEN 8 AND 17 GROUP BY 1),\nh AS")
+       + "SELECT * FROM al")
+def allocate_sparse_profile(spark, sf):
+    """A profile with weights for ten hours only; the other hours are there, with 0."""
+    return _allocated(spark, sf, range(8, 18))
+
+
 @query(ALLOCATED + """SELECT day, event_type, day + to_hours(hour) AS ts,
 unnest(generate_series(1, allocated)) AS copy FROM al""")
 def allocated_movements(spark, sf):

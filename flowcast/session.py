@@ -1,7 +1,8 @@
 """Session helper for local runs, and the shared folder every job stages through."""
 
+import atexit
 import os
-import tempfile
+import shutil
 
 from pyspark.sql import SparkSession
 
@@ -33,8 +34,9 @@ def local_session(name="flowcast", cpus=None, **conf):
 def shared_dir(spark):
     """Folder all executors can reach, for staged tables and checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where
-    driver and executors share one disk, may fall back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver and
+    executors are one process, may do without: it gets a folder of its own beside Spark's
+    local files, deleted when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -45,10 +47,19 @@ def shared_dir(spark):
         return current.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="flowcast-"))
+    local = context.getConf().get("spark.local.dir", "/tmp").split(",")[0]
+    folder = f"{local}/flowcast-{context.applicationId}"
+    context.setCheckpointDir(folder)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return context.getCheckpointDir().rstrip("/")
 
 
+def delete_path(spark, path):
+    """Remove a file or folder through Spark's own file systems."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def shuffle_partitions(spark):
     """The session's number of shuffle partitions.
 

@@ -14,14 +14,6 @@ def _hashable(df):
     return columns
 
 
-def fingerprint(df):
-    """One row: row count and an order-free hash sum over all columns."""
-    return df.select(F.xxhash64(*_hashable(df)).alias("h")).agg(
-        F.count("*").alias("n_rows"),
-        F.sum(F.col("h").cast("decimal(38,0)")).alias("hash_sum"),
-    )
-
-
 def audit_copy(source, copy):
     """One row: row counts, files of the copy, and whether schema and content agree.
 

@@ -9,12 +9,18 @@ from flowcast.functions.calendar import parse_timestamp
 def read_csv(spark, path, schema=None, infer=False, header=True, mode="PERMISSIVE", **options):
     """CSV with a header: fixed ``schema``, all strings, or inferred types.
 
-    A schema or all-string read starts no job; ``infer=True`` costs one pass more.
+    A schema or all-string read starts no job; ``infer=True`` costs one pass more. Inferred
+    times are read zone-free, so the session's zone does not shift them.
     """
     reader = spark.read.options(header=header, mode=mode, **options)
     if schema is not None:
         return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+    if not infer:
+        return reader.csv(path)
+    found = reader.option("inferSchema", True).csv(path).schema
+    zone_free = [T.StructField(f.name, T.TimestampNTZType() if isinstance(f.dataType, T.TimestampType) else f.dataType)
+                 for f in found.fields]
+    return reader.schema(T.StructType(zone_free)).csv(path)
 
 
 def read_format(spark, fmt, path, schema=None, **options):

@@ -1,13 +1,41 @@
 """Staged tables: cut a long lineage by writing it once to the shared folder."""
 
 import uuid
+from contextlib import contextmanager
 
-from flowcast.session import shared_dir
+from flowcast.session import delete_path, shared_dir
+
+_SCOPES = []
+
+
+@contextmanager
+def staging(spark):
+    """A scope for staged tables: on leaving it, all that was staged inside is deleted.
+
+    Results are lazy, so write or collect them inside. Without a scope staged tables stay until
+    the shared folder is cleaned, or, in a local session, until the process ends.
+    """
+    actions = []
+    _SCOPES.append(actions)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(actions)
+        for undo in reversed(actions):
+            undo()
+
+
+def on_release(undo):
+    """Run ``undo`` when the innermost open scope ends; nothing without one."""
+    if _SCOPES:
+        _SCOPES[-1].append(undo)
 
 
 def scratch_path(spark, label):
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/flowcast/{label}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, deleted by the innermost open scope."""
+    path = f"{shared_dir(spark)}/flowcast/{label}-{uuid.uuid4().hex}"
+    on_release(lambda: delete_path(spark, path))
+    return path
 
 
 def stage(df, label):

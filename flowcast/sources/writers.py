@@ -1,16 +1,10 @@
 """File and table sinks."""
 
-MIB = 1024 * 1024
-
-
-def estimated_bytes(df):
-    """The planner's size estimate; for a plain file scan, the files' sizes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+from pyspark.sql import functions as F
 
+from flowcast.sources.staging import on_release, scratch_path
 
-def files_for(df, target_bytes=128 * MIB):
-    """How many files of ``target_bytes`` hold ``df``; 1 for anything small."""
-    return max(1, -(-estimated_bytes(df) // target_bytes))
+MIB = 1024 * 1024
 
 
 def write_parquet(df, path, mode="overwrite", partition_by=()):
@@ -21,26 +15,48 @@ def write_parquet(df, path, mode="overwrite", partition_by=()):
     writer.parquet(path)
 
 
-def _compacted(df, files, target_bytes, even):
-    count = files or files_for(df, target_bytes)
-    return df.repartition(count) if even else df.coalesce(count)
+def _measured(df, target_bytes, size):
+    """A staged copy of ``df`` and how many files of ``target_bytes`` its measured size fills."""
+    path = scratch_path(df.sparkSession, "compact")
+    df.write.parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    return staged, max(1, -(-(size(staged, path) or 0) // target_bytes))
+
+
+def _parquet_bytes(staged, path):
+    files = staged.sparkSession.read.format("binaryFile").load(path)
+    return files.agg(F.sum("length")).first()[0]
+
+
+def _csv_bytes(staged, path):
+    line = F.to_csv(F.struct("*"))
+    return staged.agg(F.sum(F.octet_length(line).cast("bigint") + 1)).first()[0]
+
+
+def _spread(df, files, even):
+    return df.repartition(files) if even else df.coalesce(files)
 
 
 def compact_parquet(df, path, files=None, target_bytes=128 * MIB, even=False, mode="overwrite"):
     """Rewrite as few files of about ``target_bytes``: one file when the data is small.
 
-    The default file count follows the size, so a large input is never squeezed
-    through one task. ``coalesce`` needs no shuffle but also narrows the steps
-    before it; ``even=True`` repartitions so that costly steps stay parallel.
+    Without ``files`` the rows are staged once and their files' lengths summed up, so the count
+    follows what was written and no estimate steers it. ``coalesce`` needs no shuffle;
+    ``even=True`` repartitions, for files of equal size, or where ``files`` is given
+    and the steps before it must stay parallel.
     """
-    _compacted(df, files, target_bytes, even).write.mode(mode).parquet(path)
+    if not files:
+        df, files = _measured(df, target_bytes, _parquet_bytes)
+    _spread(df, files, even).write.mode(mode).parquet(path)
 
 
 def write_csv(df, path, header=True, compact=False, files=None, target_bytes=128 * MIB,
               even=False, mode="overwrite", **options):
-    """CSV with a header; ``compact`` writes as few files as the size allows."""
-    if compact or files:
-        df = _compacted(df, files, target_bytes, even)
+    """CSV with a header; ``compact`` writes as few files as the text's size allows."""
+    if compact and not files:
+        df, files = _measured(df, target_bytes, _csv_bytes)
+    if files:
+        df = _spread(df, files, even)
     df.write.mode(mode).options(header=header, **options).csv(path)
 
 
@@ -60,6 +76,13 @@ def save_table(df, name, fmt="parquet", mode="error", path=None, partition_by=()
     return df.sparkSession.table(quoted(name) if "." not in name else name)
 
 
+def scratch_table(df, name, **how):
+    """Catalog table for the length of the open staging scope, which drops it."""
+    spark = df.sparkSession
+    on_release(lambda: spark.sql(f"DROP TABLE IF EXISTS {quoted(name)}"))
+    return save_table(df, name, **how)
+
+
 def quoted(name):
     """Back-quoted identifier, for names with spaces, dashes or a leading digit."""
     return "`" + name.replace("`", "``") + "`"

@@ -10,8 +10,11 @@ from flowcast.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("flowcast-tests", "4", **{"spark.driver.memory": "6g"})
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
+    session = local_session("flowcast-tests", "4", **{
+        "spark.driver.memory": "6g", "spark.checkpoint.dir": f"file://{shared}",
+        "spark.sql.warehouse.dir": f"file://{shared}/warehouse"})
     yield session
     session.stop()
 

@@ -97,3 +97,12 @@ def test_struct_rows_take_any_field_names(spark):
                                "i int, p struct<`A. Player`:string, B:string>")
     assert rows(nt.struct_rows(df, "p", keep=["i"]), "i", "key", "value") == [
         (1, "A. Player", "u"), (2, "A. Player", "w"), (2, "B", "x")]
+
+
+def test_flatten_pairs_siblings_and_numbers_names(spark):
+    df = spark.sql("""SELECT 1 AS i, named_struct('b', 2) AS a, 3 AS a_b, 4 AS a_b_2, array(1, 2) AS x, array('p', 'q', 'r') AS y
+        UNION ALL SELECT 2, NULL, 5, 6, NULL, array()""")
+    out = nt.flatten(df, True)
+    assert out.columns == ["i", "a_b", "a_b_3", "a_b_2", "x", "y"]
+    assert sorted(map(tuple, out.collect()), key=str) == [
+        (1, 2, 3, 4, 1, "p"), (1, 2, 3, 4, 2, "q"), (1, 2, 3, 4, None, "r"), (2, None, 5, 6, None, None)]

@@ -10,6 +10,7 @@ from flowcast.operators import nested as nt
 from flowcast.operators import splits as sp
 from flowcast.operators.features import add_features, hourly_features
 from flowcast.operators.profile import expand_counts
+from flowcast.operators.windows import add_history_in_table_order
 from flowcast.queries import documents as docs
 
 
@@ -70,3 +71,25 @@ def test_hot_key_becomes_many_bounded_documents(spark):
     assert nested.agg(F.max(F.size("ids"))).first()[0] <= 64
     back = nt.explode_rows(nested, "ids", "id", ["k"])
     assert back.exceptAll(df.select("k", "id")).count() == 0 and back.count() == 4000
+
+
+def test_grid_keeps_the_sessions_partitions(spark, stored):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        assert hr.hourly_grid(stored, "ts", ["kind"]).rdd.getNumPartitions() == 37
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_row_history_takes_one_shuffle_after_numbering(spark, stored):
+    counts = hr.hourly_counts(stored, "ts", ["kind"])
+    plan = plan_of(add_history_in_table_order(counts, ["ts_hour", "kind"], "n", {"a": 1, "b": 5}, {"m": 3}))
+    first = plan.split("== Initial Plan ==")[1]
+    assert first.count("hashpartitioning(_bucket") == 1 and "SortMergeJoin" not in first
+
+
+def test_long_gaps_are_cut(spark, events):
+    rows = events([("2020-01-01 00:00:00", "a"), ("2024-01-01 00:00:00", "a")])
+    out = hr.hourly_grid(rows, "ts", ["kind"])
+    assert out.count() == out.select("ts_hour").distinct().count() == 24 * 1461 + 1

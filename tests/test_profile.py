@@ -41,6 +41,30 @@ def test_scaling_is_exact(spark):
     assert got == [9, 13500, 6]
 
 
+def test_factors_keep_their_digits(spark):
+    df = spark.createDataFrame([(1_000_000,)], "n bigint")
+    assert pf.scale_totals(df, "n", F.lit("0.333333")).first().scaled == 333333
+    assert pf.scale_totals(df, "n", F.lit("150")).first().scaled == 150_000_000
+    assert pf.scale_totals(df, "n", F.lit("0.12345678901").cast("decimal(12,11)")).first().scaled == 123456
+
+
+@pytest.mark.parametrize("weights", [[], [(3, 0), (4, 0)]])
+def test_profiles_without_weight(spark, weights):
+    profile = spark.createDataFrame(weights, "hour int, weight bigint")
+    daily = spark.createDataFrame([("d", 50), ("e", 0)], "day string, total bigint")
+    got = {(r.day, r.hour): r.allocated for r in pf.allocate(daily, ["day"], "total", profile).collect()}
+    assert got == {("d", h): 2 + (h < 2) for h in range(24)} | {("e", h): 0 for h in range(24)}
+    with pytest.raises(Exception, match="no weight above 0"):
+        pf.allocate(daily, ["day"], "total", profile, without_weights="error").collect()
+
+
+def test_sparse_profile_keeps_all_hours(spark):
+    profile = spark.createDataFrame([(7, 1), (9, 3)], "hour int, weight bigint")
+    daily = spark.createDataFrame([("d", 10)], "day string, total bigint")
+    got = {r.hour: r.allocated for r in pf.allocate(daily, ["day"], "total", profile).collect()}
+    assert got == {h: {7: 3, 9: 7}.get(h, 0) for h in range(24)}
+
+
 @pytest.mark.parametrize("chunk", [1, 3, 100])
 def test_expand_counts_across_chunks(spark, chunk):
     df = spark.createDataFrame([("a", 7), ("b", 0), ("c", 1), ("d", 9)], "k string, n bigint")

@@ -58,13 +58,12 @@ def test_global_index_in_many_partitions(spark):
 
 
 @pytest.mark.parametrize("parts", ["1", "5"])
-def test_history_in_table_order(spark, monkeypatch, parts):
+def test_history_in_table_order(spark, parts):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", parts)
-    monkeypatch.setattr(wn, "_range_parts", lambda df: int(parts))
     try:
         df = spark.createDataFrame([(i, i * i) for i in range(50)], "a int, v bigint")
-        out = wn.add_history_in_table_order(df, ["a"], "v", {"l": 3}, {"m": 4})
+        out = wn.add_history_in_table_order(df, ["a"], "v", {"l": 3}, {"m": 4}, bucket=int(parts) + 3)
         rows = out.orderBy("a").collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
@@ -86,8 +85,9 @@ def test_slices(series):
     assert sp.one_day(df, "ts_hour", start).count() == 24
     assert sp.between(df, "ts_hour", start, F.lit(datetime(2024, 1, 3))).count() == 25
     assert sp.before(df, "ts_hour", start).count() + sp.since(df, "ts_hour", start).count() == 72
-    a, b = sp.random_split(df, (0.5, 0.5), 1)
-    assert a.count() + b.count() == 72
+    parts = sp.random_split(df.withColumn("id", F.monotonically_increasing_id()), "id", (0.5, 0.3, 0.2), ("a", "b", "c"), 1)
+    assert parts.count() == 72 and {r.segment for r in parts.collect()} == {"a", "b", "c"}
+    assert parts.exceptAll(sp.random_split(parts.drop("segment"), "id", (0.5, 0.3, 0.2), ("a", "b", "c"), 1)).isEmpty()
 
 
 def test_future_frame_follows_each_series(series):
