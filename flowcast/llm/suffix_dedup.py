@@ -37,7 +37,8 @@ from flowcast.llm.frames import narrow, schema_of
 WINDOW, GRAM = 50, 24
 REACH = WINDOW - GRAM            # an anchor starts at offset 0..REACH of its string
 SPAN = REACH + WINDOW            # bytes its strings can cover
-BLOCK_BYTES, HOT = 16 << 20, 2_000_000
+BLOCK_BYTES, HOT = 8 << 20, 2_000_000
+SLICE = 1 << 13                  # rows of bytes at a time
 SAMPLE_DOCS, SAMPLE_HEADS = 512, 64
 _TABLE = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -84,15 +85,17 @@ def anchors(data, edges):
             m = np.minimum(m[:-width], m[width:])
         m = np.minimum(m[:-(REACH + 1 - 16)], m[REACH + 1 - 16:])
         place = (m[ok] & np.uint64(0xFFFF)).astype(np.int64)
-        found.append((ok + at, place + at, h[place]))
+        new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (ok[1:] != ok[:-1] + 1)])
+        found.append((h[place[new]], place[new] + at, ok[new] + at, ok[np.r_[new[1:] - 1, len(ok) - 1]] + at))
     if not found:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none, none, none
-    start, place, h = (np.concatenate(x) for x in zip(*found))
-    new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)])
-    last = np.r_[new[1:] - 1, len(start) - 1]
+    h, place, first, last = (np.concatenate(x) for x in zip(*found))
+    # a run that goes on in the next chunk is one
+    new = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (first[1:] != last[:-1] + 1)])
+    last = last[np.r_[new[1:] - 1, len(last) - 1]]
     place = place[new]
-    return h[new], place, start[new], start[last], np.searchsorted(edges, place, side="right") - 1
+    return h[new], place, first[new], last, np.searchsorted(edges, place, side="right") - 1
 
 
 def load(table):
@@ -140,8 +143,8 @@ def words_of(rows):
 def common_prefix(rows, order):
     """Longest common prefix of each row with the one before it in order (0 for the first)."""
     out = np.zeros(len(order), np.int64)
-    for lo in range(1, len(order), 1 << 16):
-        hi = min(lo + (1 << 16), len(order))
+    for lo in range(1, len(order), SLICE):
+        hi = min(lo + SLICE, len(order))
         differ = rows[order[lo:hi]] != rows[order[lo - 1:hi - 1]]
         out[lo:hi] = np.where(differ.any(1), differ.argmax(1), rows.shape[1])
     return out
@@ -225,20 +228,23 @@ def _find_shared(table, hot, target):
                      "grams": [packed[a:b].tobytes() for a, b in zip(begins, ends)]}, target)
 
 
-def _contexts(data, edges, place, low, high, document):
+def _contexts(data, place, low, high):
     """The bytes strings of each anchor reach, others zero."""
-    column = np.arange(SPAN)
-    at = np.clip(place[:, None] - REACH + column[None, :], 0, max(len(data) - 1, 0))
-    inside = (column[None, :] >= REACH - high[:, None]) & (column[None, :] < SPAN - low[:, None])
-    return np.where(inside, data[at], 0).astype(np.uint8)
+    out, column = np.empty((len(place), SPAN), np.uint8), np.arange(SPAN)
+    for a in range(0, len(place), SLICE):
+        b = slice(a, a + SLICE)
+        at = np.clip(place[b, None] - REACH + column[None, :], 0, max(len(data) - 1, 0))
+        inside = (column[None, :] >= REACH - high[b, None]) & (column[None, :] < SPAN - low[b, None])
+        out[b] = data[at] * inside
+    return out
 
 
-def _records(table, replies, buckets, splitters, target):
+def _records(table, replies, gram_buckets, buckets, splitters, target):
     """Suffix records of a block by range bucket, and the strings already known to repeat."""
     ids, keys, data, edges, _ = load(table)
     h, place, first, last, document = anchors(data, edges)
     _, back, n = np.unique(h, return_inverse=True, return_counts=True)
-    bucket, value = _gram_key(h, buckets)
+    bucket, value = _gram_key(h, gram_buckets)
     own = (bucket.astype(np.uint64) << np.uint64(40)) | value
     shared, hot = np.zeros(len(h), bool), np.zeros(len(h), bool)
     if replies.num_rows:
@@ -265,21 +271,20 @@ def _records(table, replies, buckets, splitters, target):
         hot = np.r_[np.zeros(len(cold), bool), np.ones(len(each), bool)]
     kept, spans = [], []
     code = np.zeros(len(place), np.uint64)
-    for a in range(0, len(place), 1 << 16):
-        b = slice(a, a + (1 << 16))
-        context = _contexts(data, edges, place[b], low[b], high[b], document[b])
+    for a in range(0, len(place), SLICE):
+        b = slice(a, a + SLICE)
+        context = _contexts(data, place[b], low[b], high[b])
         code[b] = (context * _ROW[:SPAN]).sum(1) + low[b].astype(np.uint64) * _ROW[SPAN] + high[b].astype(np.uint64) * _ROW[SPAN + 1]
     code ^= code >> np.uint64(31)
     order = np.lexsort((ids[document], code))
     begins = np.r_[True, code[order][1:] != code[order][:-1]][:len(order)]
     head = order[np.flatnonzero(begins)][np.cumsum(begins) - 1] if len(order) else order
-    for a in range(0, len(order), 1 << 16):
-        mine, lead = order[a:a + (1 << 16)], head[a:a + (1 << 16)]
+    for a in range(0, len(order), SLICE):
+        mine, lead = order[a:a + SLICE], head[a:a + SLICE]
         later = np.flatnonzero(ids[document[mine]] > ids[document[lead]])
         x, y = mine[later], lead[later]
         same = (low[x] == low[y]) & (high[x] == high[y]) & (
-            _contexts(data, edges, place[x], low[x], high[x], document[x])
-            == _contexts(data, edges, place[y], low[y], high[y], document[y])).all(1)
+            _contexts(data, place[x], low[x], high[x]) == _contexts(data, place[y], low[y], high[y])).all(1)
         spans.append(x[same])
         stays = np.ones(len(mine), bool)
         stays[later[same]] = False
@@ -304,7 +309,7 @@ def _records(table, replies, buckets, splitters, target):
     if len(spans):
         add(block % buckets, True, spans, np.zeros(0, np.uint8))
     cold, warm = kept[~hot[kept]], kept[hot[kept]]
-    context = _contexts(data, edges, place[cold], low[cold], high[cold], document[cold])
+    context = _contexts(data, place[cold], low[cold], high[cold])
     order = multikey_sort(words_of(context[:, REACH:REACH + GRAM])) if len(cold) else cold
     cold, context = cold[order], context[order]
     heads = np.ascontiguousarray(context[:, REACH:REACH + GRAM]).view(f"S{GRAM}").ravel()
@@ -314,7 +319,7 @@ def _records(table, replies, buckets, splitters, target):
         if b > a:
             add(number, False, cold[a:b], context[a:b])
     if len(warm):
-        context = _contexts(data, edges, place[warm], low[warm], high[warm], document[warm])
+        context = _contexts(data, place[warm], low[warm], high[warm])
         number = (code[warm] % np.uint64(buckets)).astype(np.int64)
         for one in np.unique(number):
             rows = np.flatnonzero(number == one)
@@ -407,17 +412,18 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", block_bytes=BLOCK_BYT
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
     cuts = splitters(known, blocks)
+    gram_buckets = max(min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))), blocks // 4)
     schema = lambda ddl: (ddl, schema_of(spark, ddl))
 
     dealt = (known.withColumn("key", F.xxhash64("id", "text"))
              .withColumn("block", F.pmod("key", F.lit(blocks)).cast("int")).repartition(blocks, "block"))
     ddl, t1 = schema("bucket int, block int, grams binary")
-    grams = dealt.groupBy("block").applyInArrow(lambda table: _list_grams(table, blocks, t1), ddl)
+    grams = dealt.groupBy("block").applyInArrow(lambda table: _list_grams(table, gram_buckets, t1), ddl)
     ddl, t2 = schema("block int, bucket int, grams binary")
     replies = grams.groupBy("bucket").applyInArrow(lambda table: _find_shared(table, hot, t2), ddl)
     ddl, t3 = schema("bucket int, block int, marked boolean, context binary, ids binary, keys binary, place binary, low binary, high binary")
     records = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        lambda table, got: _records(table, got, blocks, cuts, t3) if table.num_rows else pa.table({n: [] for n in t3.names}, t3), ddl)
+        lambda table, got: _records(table, got, gram_buckets, blocks, cuts, t3) if table.num_rows else pa.table({n: [] for n in t3.names}, t3), ddl)
     ddl, t4 = schema("block int, ids binary, keys binary, start binary, stop binary")
     spans = records.groupBy("bucket").applyInArrow(lambda table: _compare(table, t4), ddl)
     ddl, t5 = schema("id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
