@@ -102,29 +102,26 @@ def _autoregression_solver(lags, short, seasonal, depth):
             best[better], picked[better] = aic[better], c
             beta[better] = 0.0
             beta[np.ix_(better, at)] = x[better]
-        rows = []
-        for i in range(count):
-            if picked[i] < 0:
-                # Too few rows for any lag: the series' mean.
-                zeros = [0.0] * len(lags)
-                rows.append((0, 0, None, float(level[i]), zeros, [0.0] * depth))
-                continue
-            phi = beta[i, 1:]
-            poly = np.zeros(max(lags) + 1)
-            poly[0] = 1.0
-            poly[lags] = -phi
-            for _ in range(int(d[i])):
-                poly = np.convolve(poly, [1.0, -1.0])
-            for _ in range(int(sd[i])):
-                poly = np.convolve(poly, np.r_[1.0, np.zeros(season - 1), -1.0])
-            weights = np.zeros(depth)
-            weights[: len(poly) - 1] = -poly[1:]
-            intercept = beta[i, 0] + mean[i] * (1.0 - phi.sum())
-            size = [k for k in choices[picked[i]] if k <= short]
-            rows.append((len(size), len(choices[picked[i]]) - len(size), float(best[i]),
-                         float(intercept), phi.tolist(), weights.tolist()))
-        return pd.DataFrame(rows, columns=["lag_order", "n_seasonal", "aic", "intercept",
-                                           "coef", "weights"])
+        # Lag polynomials of the whole batch, multiplied by the differences of each series' form.
+        phi = beta[:, 1:]
+        poly = np.zeros((count, depth + 1))
+        poly[:, 0] = 1.0
+        poly[:, lags] = -phi
+        for order, step in ((d, 1), (sd, season)):
+            times = order.to_numpy(dtype=float)
+            for k in range(int(np.nanmax(times, initial=0.0))):
+                rows = times > k
+                poly[rows, step:] -= poly[rows, :-step].copy()
+        sizes = np.array([[sum(k <= short for k in choice), sum(k > short for k in choice)]
+                          for choice in choices])[picked]
+        intercept = beta[:, 0] + mean.to_numpy(dtype=float) * (1.0 - phi.sum(axis=1))
+        # Too few rows for any lag: the series' mean.
+        none = picked < 0
+        sizes[none], poly[none], phi[none] = 0, 0.0, 0.0
+        intercept[none] = level.to_numpy(dtype=float)[none]
+        return pd.DataFrame({
+            "lag_order": sizes[:, 0], "n_seasonal": sizes[:, 1], "aic": np.where(none, np.nan, best),
+            "intercept": intercept, "coef": list(phi), "weights": list(-poly[:, 1:])})
 
     return solve
 

@@ -1,6 +1,7 @@
 """Match documents to relational tables."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowcast.operators.nested import at, explode_rows, map_rows, project, tagged_rows
 from flowcast.sources.readers import read_json
@@ -80,6 +81,12 @@ def read_matches(spark, path, schema=MATCH_SCHEMA, multiline=True, key="match_id
     return read_json(spark, path, schema, multiline, file_key=key)
 
 
+def objects_schema(*names):
+    """The match schema narrowed to some of its top-level objects."""
+    whole = T.StructType.fromDDL(MATCH_SCHEMA)
+    return T.StructType([f for f in whole.fields if f.name in names])
+
+
 def metadata(docs, key="match_id"):
     return project(docs, METADATA, keep=[key])
 

@@ -70,12 +70,15 @@ def struct_rows(df, column, key="key", value="value", keep=()):
     return df.select(*keep, F.explode(as_map).alias(key, value))
 
 
-def parse_json(df, text, schema, out="json_data", mode="PERMISSIVE", **options):
-    """Parse a JSON text column by schema; unreadable text is kept beside the NULLs."""
+def parse_json(df, text, schema, out="json_data", mode="PERMISSIVE", corrupt=True, **options):
+    """Parse a JSON text column by schema; unreadable text is kept beside the NULLs.
+
+    ``corrupt=False`` leaves that column out, so that Spark parses only the fields in use.
+    """
     options = {"mode": mode, **options}
     if isinstance(schema, str):
         schema = T.DataType.fromDDL(schema)
-    if isinstance(schema, T.StructType) and mode == "PERMISSIVE":
+    if isinstance(schema, T.StructType) and mode == "PERMISSIVE" and corrupt:
         wider = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
         options["columnNameOfCorruptRecord"] = CORRUPT
         return df.withColumn(out, F.from_json(as_column(text), wider, options))

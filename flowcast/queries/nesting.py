@@ -32,10 +32,11 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
 
 
-def parsed(texts):
-    """JSON texts to documents by the match schema."""
-    out = nt.parse_json(texts, "value", mt.MATCH_SCHEMA)
-    return nt.expand_root(out, "json_data", mt.MATCH_SCHEMA, keep=["match_id"])
+def parsed(texts, *objects):
+    """JSON texts to documents by the match schema, only the objects asked for."""
+    schema = mt.objects_schema(*objects)
+    out = nt.parse_json(texts, "value", schema, corrupt=False)
+    return nt.expand_root(out, "json_data", schema, keep=["match_id"])
 
 
 @query(DELIVERIES)
@@ -53,7 +54,7 @@ def all_wickets(spark, sf):
 @query("""SELECT o_orderkey AS match_id, '1.0.0' AS data_version, strftime(o_orderdate, '%Y-%m-%d') AS created,
 CAST(o_orderkey % 7 AS INTEGER) AS revision FROM orders""")
 def match_metadata(spark, sf):
-    return mt.metadata(parsed(docs.header_documents(spark, sf)))
+    return mt.metadata(parsed(docs.header_documents(spark, sf), "meta"))
 
 
 @query("""SELECT o_orderkey AS match_id, o_orderpriority AS city, strftime(o_orderdate, '%Y-%m-%d') AS match_date,
@@ -64,27 +65,27 @@ CAST(o_orderkey % 5000 AS INTEGER) AS match_type_number, CAST(year(o_orderdate)
 'bat' AS toss_decision, CASE WHEN o_orderstatus <> 'O' THEN 'Team ' || (o_custkey % 2) END AS winner,
 CASE WHEN o_orderstatus = 'F' THEN CAST(floor(o_totalprice / 1000) AS INTEGER) END AS win_by_runs FROM orders""")
 def match_info(spark, sf):
-    return mt.match_info(parsed(docs.header_documents(spark, sf)))
+    return mt.match_info(parsed(docs.header_documents(spark, sf), "info"))
 
 
 @query("""SELECT o_orderkey AS match_id, 'ODI' AS "Match_Type", strftime(o_orderdate, '%Y-%m-%d') AS "Date",
 'Ground ' || (o_custkey % 10) AS "Venue", 'Team 0' AS "Team1", 'Team 1' AS "Team2",
 CASE WHEN o_orderstatus <> 'O' THEN 'Team ' || (o_custkey % 2) END AS "Winner" FROM orders""")
 def match_header(spark, sf):
-    return mt.match_header(parsed(docs.header_documents(spark, sf)))
+    return mt.match_header(parsed(docs.header_documents(spark, sf), "info"))
 
 
 @query("""SELECT l_orderkey AS match_id, 'Team ' || l_returnflag AS team_name, 'p' || l_partkey AS player_name
 FROM lineitem""")
 def team_players(spark, sf):
-    return mt.players(parsed(docs.players_documents(spark, sf)))
+    return mt.players(parsed(docs.players_documents(spark, sf), "info"))
 
 
 @query("""SELECT conv_id AS match_id, 'turn ' || turn AS official_name, CASE role WHEN 'system' THEN 'match_referee'
 WHEN 'assistant' THEN 'reserve_umpire' ELSE 'umpire' END AS role FROM conversations
 WHERE role IN ('system', 'assistant', 'user')""")
 def officials_by_role(spark, sf):
-    return mt.officials(parsed(docs.officials_documents(spark, sf)))
+    return mt.officials(parsed(docs.officials_documents(spark, sf), "info"))
 
 
 PAIRS = """SELECT event_id AS {id}, key AS {key}, props ->> key AS {value}
@@ -93,7 +94,7 @@ FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)"""
 
 @query(PAIRS.format(id="match_id", key="player_name", value="player_id"))
 def match_registry(spark, sf):
-    return mt.registry(parsed(docs.registry_documents(spark, sf)))
+    return mt.registry(parsed(docs.registry_documents(spark, sf), "info"))
 
 
 @query(PAIRS.format(id="event_id", key="key", value="value"))
