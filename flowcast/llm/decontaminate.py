@@ -32,7 +32,7 @@ from itertools import repeat
 import numpy as np
 from pyspark.sql import functions as F
 
-from flowcast.llm.frames import arrow_map, texts
+from flowcast.llm.frames import arrow_map, slices, texts
 
 K1, B, THRESHOLD, OVERLAP, SHINGLE, BLOCK = 1.2, 0.75, 0.5, 0.8, 5, 8
 SHARD_ITEMS, SHARD_CHARS = 20000, 32_000_000
@@ -224,6 +224,11 @@ def indexes(docs, items, id_col="item_id", text_col="text", doc_text="text"):
 
 
 def _leaks(batch, index):
+    parts_ = [_leaks_in(part, index) for part in slices([batch])]
+    return {n: [x for p in parts_ for x in p[n]] for n in parts_[0]}
+
+
+def _leaks_in(batch, index):
     docs = [words_of(t) for t in batch.column("text").to_pylist()]
     ids = batch.column("id").to_pylist()
     rows = [(d, item, *values) for d, found in zip(ids, index.value.hits(docs)) for item, values in sorted(
@@ -250,7 +255,7 @@ def clean(docs, items, text_col="text", item_id="item_id", item_text="text"):
     schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, kind))
     for index in indexes(docs, items, item_id, item_text, text_col):
         def keep(batches, index=index):
-            for batch in batches:
+            for batch in slices(batches, names[place]):
                 found = index.value.hits([words_of(t or "") for t in batch.column(place).to_pylist()])
                 yield batch.filter(_mask(not f for f in found))
         out = out.mapInArrow(keep, schema)

@@ -1,9 +1,14 @@
 """Small helpers the operators share: narrow inputs and Arrow maps over texts."""
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 
+SLICE_BYTES = 2 << 20
+
+
 def narrow(df, **columns):
     """Only the named columns, renamed: ``narrow(docs, id="doc_id", text="text")``.
 
@@ -31,6 +36,20 @@ def arrow_map(df, schema, rows, *args):
     return df.mapInArrow(run, schema)
 
 
+def slices(batches, name="text", size=SLICE_BYTES):
+    """The batches in runs of rows with about ``size`` bytes of text, at least one row each.
+
+    Bounds what a step that unfolds texts holds at a time, however long the rows of a batch are.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(lengths) // size
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def schema_of(spark, ddl):
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -25,15 +25,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from flowcast.llm.frames import narrow, schema_of, to_batches
+from flowcast.llm.frames import narrow, schema_of, slices, to_batches
 from flowcast.sources.staging import stage
 
 BUCKETS, TEMPER, MOST, ACCEPT, KAPPA, UND_PRIOR = 1 << 16, 0.1, 200, 0.5, 20.0, 1e-4
 MAX_LANGUAGES, LEAST_SHARE = 64, 0.0005
-SLICE_BYTES = 2 << 20
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -73,18 +71,9 @@ def _sums(values, starts):
     return out
 
 
-def slices(batch, name="text", size=SLICE_BYTES):
-    """A batch in runs of rows of about ``size`` bytes of text, at least one row each."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
-    piece = np.cumsum(lengths) // size
-    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        yield batch.slice(a, b - a)
-
-
 def _gram_counts(batches, target):
     totals = {}
-    for batch in (part for whole in batches if whole.num_rows for part in slices(whole)):
+    for batch in slices(batches):
         code, starts = grams(batch.column("text"))
         tags = batch.column("declared").to_pylist()
         for tag in set(tags) - {None}:
@@ -140,7 +129,7 @@ def _likelihoods(batch, model):
 
 
 def _scored(batches, model, target):
-    for batch in (part for whole in batches if whole.num_rows for part in slices(whole)):
+    for batch in slices(batches):
         columns = {n: batch.column(n) for n in target.names if n != "ll"}
         yield from to_batches(columns | {"ll": list(_likelihoods(batch, model))}, target)
 
@@ -183,7 +172,7 @@ def identify(docs, id_col="doc_id", text_col="text", declared_col="lang", host_c
     vector = F.array(*[F.col(f"s{i}") for i in range(size)])
     everything = scored.agg(*sums).first()
     base = np.array([everything[i] or 0.0 for i in range(size)]) + 1.0
-    base[-1] = UND_PRIOR * base[:-1].sum()
+    base[-1] = UND_PRIOR * max(base[:-1].sum(), 1.0)
     base = (base / base.sum()).tolist()
     agree = scored.where("declared is not null").groupBy("declared").agg(*sums)
     hosts = scored.where("host is not null").groupBy("host", "suffix").agg(*sums, F.count(F.lit(1)).alias("n"))
