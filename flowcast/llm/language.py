@@ -12,7 +12,8 @@ For each document the posterior over languages combines
 
 One more class, ``und``, has uniform trigrams and a small fixed prior; it wins where no language explains the
 text. Trigrams with digits or signs are left out, so numbers and keys in a short text do not count against it. A document is
-accepted if a language other than ``und`` has a posterior of at least ``ACCEPT``. A text without any letter is
+accepted if the languages other than ``und`` have a posterior of at least ``ACCEPT`` together, so a text in two languages
+stays. A text without any letter is
 ``und``.
 
 Defined results: a null text is the empty one; null declared, suffix or host mean no such evidence (all
@@ -202,14 +203,17 @@ def identify(docs, id_col="doc_id", text_col="text", declared_col="lang", host_c
     rest = F.zip_with("host_sum", "own", lambda s, o: F.greatest(s - o, F.lit(0.0)))
     prior = F.when(F.col("host_n").isNull(), flat).otherwise(
         F.zip_with(rest, "parent", lambda s, p: (s + KAPPA * p) / (F.col("host_n") - 1 + KAPPA)))
-    post = joined.select("id", "row_key", "ll", _softmax(_add(_add(F.col("ll"), said), _log(prior))).alias("post"))
+    # a column of its own, or each element of the sum below would compute all of it again
+    known = joined.select("id", "row_key", "ll", _add(_add(F.col("ll"), said), _log(prior)).alias("evidence"))
+    post = known.select("id", "row_key", "ll", _softmax(F.col("evidence")).alias("post"))
     names = F.array(*[F.lit(t) for t in tags])
     best = F.array_position("post", F.array_max("post")).cast("int")
     blank = F.col("ll")[0] <= -1e3
     out = post.select(
         F.col("id").alias(id_col), F.when(blank, F.lit(UND)).otherwise(F.element_at(names, best)).alias("language"),
-        F.when(blank, F.lit(1.0)).otherwise(F.array_max("post")).alias("probability"), "row_key")
-    return out.withColumn("accepted", (F.col("language") != UND) & (F.col("probability") >= ACCEPT))
+        F.when(blank, F.lit(1.0)).otherwise(F.array_max("post")).alias("probability"),
+        (~blank & (best < size) & (1 - F.element_at("post", -1) >= ACCEPT)).alias("accepted"), "row_key")
+    return out
 
 
 def row_key(df, *names):
