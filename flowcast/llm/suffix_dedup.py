@@ -37,7 +37,7 @@ from flowcast.llm.frames import narrow, schema_of
 WINDOW, GRAM = 50, 24
 REACH = WINDOW - GRAM            # an anchor starts at offset 0..REACH of its string
 SPAN = REACH + WINDOW            # bytes its strings can cover
-BLOCK_BYTES, HOT = 8 << 20, 2_000_000
+BLOCK_BYTES, RANGES, HOT = 8 << 20, 4, 2_000_000
 SLICE = 1 << 13                  # rows of bytes at a time
 SAMPLE_DOCS, SAMPLE_HEADS = 512, 64
 _TABLE = np.random.default_rng(50).integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -181,17 +181,30 @@ def _gram_key(h, buckets):
 
 
 def _pack40(values, tail):
-    out = np.empty((len(values), 6), np.uint8)
-    out[:, :5] = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-    out[:, 5] = tail
-    return out
+    """Ascending 40-bit numbers as differences, byte plane by byte plane, which compresses well, and a byte for each."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    return np.vstack([steps.view(np.uint8).reshape(-1, 8)[:, :5].T, tail[None, :]]).tobytes()
 
 
 def _unpack40(data):
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :5] = raw[:, :5]
-    return wide.view("<u8").ravel().astype(np.uint64), raw[:, 5]
+    planes = np.frombuffer(data, np.uint8).reshape(6, -1)
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, :5] = planes[:5].T
+    return np.cumsum(wide.view("<u8").ravel().astype(np.uint64), dtype=np.uint64), planes[5]
+
+
+def _pack_documents(ids, keys):
+    """The distinct (id, key) pairs, and for each row which of them it is."""
+    pair = np.empty(len(ids), [("id", "<i8"), ("key", "<i8")])
+    pair["id"], pair["key"] = ids, keys
+    known, at = np.unique(pair, return_inverse=True)
+    return known.tobytes(), at.ravel().astype("<u4").tobytes()
+
+
+def _unpack_documents(known, at):
+    pairs = [np.frombuffer(k, [("id", "<i8"), ("key", "<i8")])[np.frombuffer(a, "<u4")] for k, a in zip(known, at)]
+    both = np.concatenate(pairs) if pairs else np.empty(0, [("id", "<i8"), ("key", "<i8")])
+    return both["id"], both["key"]
 
 
 def _list_grams(table, buckets, target):
@@ -199,12 +212,12 @@ def _list_grams(table, buckets, target):
     _, _, data, edges, _ = load(table)
     h, n = np.unique(anchors(data, edges)[0], return_counts=True)
     bucket, value = _gram_key(h, buckets)
-    order = np.argsort(bucket, kind="stable")
-    packed = _pack40(value[order], np.ceil(np.log2(n[order])).astype(np.uint8))
+    order = np.lexsort((value, bucket))
+    value, tail = value[order], np.ceil(np.log2(n[order])).astype(np.uint8)
     numbers, begins = np.unique(bucket[order], return_index=True)
     ends = np.r_[begins[1:], len(order)]
     return pa.table({"bucket": numbers, "block": np.full(len(numbers), table.column("block")[0].as_py()),
-                     "grams": [packed[a:b].tobytes() for a, b in zip(begins, ends)]}, target)
+                     "grams": [_pack40(value[a:b], tail[a:b]) for a, b in zip(begins, ends)]}, target)
 
 
 def _find_shared(table, hot, target):
@@ -219,13 +232,13 @@ def _find_shared(table, hot, target):
     total = np.add.reduceat(2.0 ** logs, begins)
     keep = np.repeat(size > 1, size) | (np.repeat(total > hot, size))
     value, source, tail = value[keep], source[keep], np.repeat(total > hot, size)[keep].astype(np.uint8)
-    order = np.argsort(source, kind="stable")
-    packed = _pack40(value[order], tail[order])
+    order = np.lexsort((value, source))
+    value, tail = value[order], tail[order]
     rows, begins = np.unique(source[order], return_index=True)
     ends = np.r_[begins[1:], len(order)]
     blocks = table.column("block").to_numpy()
     return pa.table({"block": blocks[rows], "bucket": np.full(len(rows), table.column("bucket")[0].as_py()),
-                     "grams": [packed[a:b].tobytes() for a, b in zip(begins, ends)]}, target)
+                     "grams": [_pack40(value[a:b], tail[a:b]) for a, b in zip(begins, ends)]}, target)
 
 
 def _contexts(data, place, low, high):
@@ -300,9 +313,10 @@ def _records(table, replies, gram_buckets, buckets, splitters, target):
         out["block"].append(block)
         out["marked"].append(kind)
         out["context"].append(context.tobytes())
-        out["ids"].append(ids[document[rows]].astype("<i8").tobytes())
-        out["keys"].append(keys[document[rows]].astype("<i8").tobytes())
-        out["place"].append((place[rows] - base[rows]).astype("<i8").tobytes())
+        known, which = _pack_documents(ids[document[rows]], keys[document[rows]])
+        out["documents"].append(known)
+        out["which"].append(which)
+        out["place"].append((place[rows] - base[rows]).astype("<u4").tobytes())
         out["low"].append(low[rows].astype(np.uint8).tobytes())
         out["high"].append(high[rows].astype(np.uint8).tobytes())
 
@@ -331,13 +345,13 @@ def _compare(table, target):
     """Sort and compare the suffixes of a range bucket; strings to remove go back to their blocks."""
     n = [len(x) for x in table.column("low").to_pylist()]
     join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    ids, keys, place = (join(c, "<i8") for c in ("ids", "keys", "place"))
+    ids, keys = _unpack_documents(table.column("documents").to_pylist(), table.column("which").to_pylist())
+    place = join("place", "<u4").astype(np.int64)
     low, high = join("low", np.uint8).astype(np.int64), join("high", np.uint8).astype(np.int64)
     block = np.repeat(table.column("block").to_numpy(), n)
     marked = np.repeat(table.column("marked").to_numpy(zero_copy_only=False), n)
     open_ = np.flatnonzero(~marked)
-    context = join("context", np.uint8).reshape(-1, SPAN)
-    marks = covered(context, ids[open_], low[open_], high[open_])
+    marks = covered(join("context", np.uint8).reshape(-1, SPAN), ids[open_], low[open_], high[open_])
     wide = np.zeros((len(open_), REACH + 3), np.int8)
     wide[:, 1:-1] = marks
     edge = np.diff(wide, axis=1)
@@ -350,9 +364,10 @@ def _compare(table, target):
     rows, start, stop = rows[order], start[order], stop[order]
     numbers, begins = np.unique(block[rows], return_index=True)
     ends = np.r_[begins[1:], len(rows)]
-    cut = lambda x: [x[a:b].astype("<i8").tobytes() for a, b in zip(begins, ends)]
-    return pa.table({"block": numbers, "ids": cut(ids[rows]), "keys": cut(keys[rows]), "start": cut(start), "stop": cut(stop)},
-                    target)
+    cut = lambda x, kind: [x[a:b].astype(kind).tobytes() for a, b in zip(begins, ends)]
+    packed = [_pack_documents(ids[rows][a:b], keys[rows][a:b]) for a, b in zip(begins, ends)]
+    return pa.table({"block": numbers, "documents": [d for d, _ in packed], "which": [w for _, w in packed],
+                     "start": cut(start, "<u4"), "length": cut(stop - start, np.uint8)}, target)
 
 
 def _cut(table, spans, target):
@@ -360,14 +375,15 @@ def _cut(table, spans, target):
     ids, keys, data, edges, which = load(table)
     cover = np.zeros(len(data) + 1, np.int32)
     if spans.num_rows:
-        join = lambda name: np.frombuffer(b"".join(spans.column(name).to_pylist()), "<i8")
+        join = lambda name, kind: np.frombuffer(b"".join(spans.column(name).to_pylist()), kind).astype(np.int64)
         pair = np.empty(len(ids), [("id", "<i8"), ("key", "<i8")])
         pair["id"], pair["key"] = ids, keys
-        want = np.empty(len(join("ids")), pair.dtype)
-        want["id"], want["key"] = join("ids"), join("keys")
-        base = edges[np.searchsorted(pair, want)]
-        np.add.at(cover, base + join("start"), 1)
-        np.add.at(cover, base + join("stop"), -1)
+        want_id, want_key = _unpack_documents(spans.column("documents").to_pylist(), spans.column("which").to_pylist())
+        want = np.empty(len(want_id), pair.dtype)
+        want["id"], want["key"] = want_id, want_key
+        start = edges[np.searchsorted(pair, want)] + join("start", "<u4")
+        np.add.at(cover, start, 1)
+        np.add.at(cover, start + join("length", np.uint8), -1)
     gone = np.cumsum(cover[:-1]) > 0
     rows = []
     for a, b in zip(edges[:-1], edges[1:]):
@@ -395,7 +411,8 @@ def _heads(batches, target):
 def splitters(rows, buckets):
     """Cut points between range buckets: evenly spaced heads of suffixes of a bounded sample."""
     spark = rows.sparkSession
-    picked = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS).select(F.col("id").alias("picked"))
+    picked = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(
+        max(SAMPLE_DOCS, buckets // 16)).select(F.col("id").alias("picked"))
     sample = rows.join(F.broadcast(picked), F.col("id") == F.col("picked")).select("text")
     target = schema_of(spark, "head binary")
     heads = sorted({bytes(r["head"]) for r in sample.mapInArrow(lambda it: _heads(it, target), "head binary").collect()})
@@ -411,7 +428,8 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", block_bytes=BLOCK_BYT
     known = rows.where("id is not null")
     total = known.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
-    cuts = splitters(known, blocks)
+    ranges = RANGES * blocks
+    cuts = splitters(known, ranges)
     gram_buckets = max(min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))), blocks // 4)
     schema = lambda ddl: (ddl, schema_of(spark, ddl))
 
@@ -421,10 +439,10 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", block_bytes=BLOCK_BYT
     grams = dealt.groupBy("block").applyInArrow(lambda table: _list_grams(table, gram_buckets, t1), ddl)
     ddl, t2 = schema("block int, bucket int, grams binary")
     replies = grams.groupBy("bucket").applyInArrow(lambda table: _find_shared(table, hot, t2), ddl)
-    ddl, t3 = schema("bucket int, block int, marked boolean, context binary, ids binary, keys binary, place binary, low binary, high binary")
+    ddl, t3 = schema("bucket int, block int, marked boolean, context binary, documents binary, which binary, place binary, low binary, high binary")
     records = dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        lambda table, got: _records(table, got, gram_buckets, blocks, cuts, t3) if table.num_rows else pa.table({n: [] for n in t3.names}, t3), ddl)
-    ddl, t4 = schema("block int, ids binary, keys binary, start binary, stop binary")
+        lambda table, got: _records(table, got, gram_buckets, ranges, cuts, t3) if table.num_rows else pa.table({n: [] for n in t3.names}, t3), ddl)
+    ddl, t4 = schema("block int, documents binary, which binary, start binary, length binary")
     spans = records.groupBy("bucket").applyInArrow(lambda table: _compare(table, t4), ddl)
     ddl, t5 = schema("id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
     out = dealt.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(
