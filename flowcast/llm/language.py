@@ -16,6 +16,12 @@ accepted if the languages other than ``und`` have a posterior of at least ``ACCE
 stays. A text without any letter is
 ``und``.
 
+Every declared tag with at least ``LEAST_GRAMS`` trigrams of text is a language, however small its share and however many
+there are. A tag with less text has no model, so a text under it that no language explains says nothing against its declaration:
+the row keeps the declared tag as its language and is accepted, with the posterior of ``und`` as its probability. Where no tag has
+a model, texts with letters are accepted. Counts come to the driver in blocks of ``BLOCK_TAGS`` languages; the table holds 256 KB
+a language in each worker, and a row one posterior per language.
+
 Defined results: a null text is the empty one; null declared, suffix or host mean no such evidence (all
 null hosts do not form a host); null ids are kept; repeated rows repeat their results; an empty table gives
 an empty table. Whole texts are counted and scored. Grouping is pre-aggregated, so one host may
@@ -32,7 +38,7 @@ from flowcast.llm.frames import narrow, schema_of, slices, to_batches
 from flowcast.sources.staging import stage
 
 BUCKETS, TEMPER, MOST, ACCEPT, KAPPA, UND_PRIOR = 1 << 16, 0.1, 200, 0.5, 20.0, 1e-4
-MAX_LANGUAGES, LEAST_SHARE = 64, 0.0005
+LEAST_GRAMS, BLOCK_TAGS, HELD_TAGS = 10_000, 64, 256
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -78,7 +84,7 @@ def _gram_counts(batches, target):
         code, starts = grams(batch.column("text"))
         tags = batch.column("declared").to_pylist()
         for tag in set(tags) - {None}:
-            if tag not in totals and len(totals) >= 4 * MAX_LANGUAGES:
+            if tag not in totals and len(totals) >= HELD_TAGS:
                 yield from _counted(totals, target)
                 totals = {}
             mine = np.repeat(np.array([t == tag for t in tags]), np.diff(starts))
@@ -95,27 +101,31 @@ def _counted(totals, target):
 def train(docs, text_col="text", declared_col="lang"):
     """Log-likelihoods per language and trigram class, from all documents.
 
-    Languages are the declared tags with at least ``LEAST_SHARE`` of the documents, at most ``MAX_LANGUAGES``; so
-    the table that comes to the driver has a fixed bound.
+    Languages are all declared tags with at least ``LEAST_GRAMS`` trigrams of text.
     """
     spark = docs.sparkSession
-    rows = narrow(docs, text=text_col, declared=declared_col).withColumn("text", F.coalesce("text", F.lit("")))
-    shares = (rows.where("declared is not null").groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), "declared").limit(MAX_LANGUAGES).collect())
-    total = sum(r.n for r in shares)
-    tags = sorted(r.declared for r in shares if r.n >= LEAST_SHARE * total and r.declared != UND)
+    rows = narrow(docs, text=text_col, declared=declared_col).withColumn("declared", F.col("declared").cast("string"))
+    rows = rows.where(F.col("declared") != UND).withColumn("text", F.coalesce("text", F.lit("")))
     schema = "declared string, bucket int, n long"
     target = schema_of(spark, schema)
-    counts = (rows.where(F.col("declared").isin(tags)) if tags else rows.limit(0)).mapInArrow(
-        lambda it: _gram_counts(it, target), schema)
-    got = counts.groupBy("declared", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros((len(tags), BUCKETS))
-    n[[tags.index(t) for t in got["declared"]], got["bucket"].to_numpy(int)] = got["n"]
-    p = (n + 0.05) / (n.sum(1, keepdims=True) + 0.05 * BUCKETS)
-    table = np.vstack([np.log(p), np.full((1, BUCKETS), -np.log(BUCKETS) + 1.0)]).astype(np.float32)
+    counts = rows.mapInArrow(lambda it: _gram_counts(it, target), schema)
+    counts = stage(counts.groupBy("declared", "bucket").agg(F.sum("n").alias("n")), "gram-counts")
+    known = counts.groupBy("declared").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_GRAMS)
+    tags = sorted(r.declared for r in known.select("declared").collect())
+    blocks = [_log_shares(counts, tags[i:i + BLOCK_TAGS]) for i in range(0, len(tags), BLOCK_TAGS)]
+    table = np.vstack([*blocks, np.full((1, BUCKETS), -np.log(BUCKETS) + 1.0, np.float32)])
     return {"tags": [*tags, UND], "table": table}
 
 
+def _log_shares(counts, tags):
+    """Smoothed log-shares of the trigram classes of some languages."""
+    got = counts.where(F.col("declared").isin(tags)).toPandas()
+    at = {t: i for i, t in enumerate(tags)}
+    n = np.zeros((len(tags), BUCKETS))
+    n[got["declared"].map(at).to_numpy(int), got["bucket"].to_numpy(int)] = got["n"]
+    return np.log((n + 0.05) / (n.sum(1, keepdims=True) + 0.05 * BUCKETS)).astype(np.float32)
+
+
 def _likelihoods(batch, model):
     """Tempered log-likelihoods per row; a text without letters has none but ``und``."""
     text = batch.column("text")
@@ -125,7 +135,8 @@ def _likelihoods(batch, model):
     out = np.stack([_sums(row[code], starts) * scale for row in model["table"]], 1)
     blank = np.array([_LETTER.search(t) is None for t in text.to_pylist()], bool)
     out[blank] = -1e3
-    out[blank, -1] = 0.0
+    if out.shape[1] > 1:
+        out[blank, -1] = 0.0
     return out
 
 
@@ -187,32 +198,36 @@ def identify(docs, id_col="doc_id", text_col="text", declared_col="lang", host_c
         F.zip_with("suffix_sum", flat, lambda s, p: (s + KAPPA * p) / (F.col("suffix_n") + KAPPA)))
     shrunk = stage(shrunk.select("host", "suffix", "host_sum", "host_n", parent.alias("parent")), "host-priors")
 
-    # P(declared | language), with half of one pseudo-document spread by the declarations' own frequency
-    declared = {r.declared: np.array([r[f"s{i}"] for i in range(size)]) for r in
-                agree.orderBy(F.desc(sum(F.col(f"s{i}") for i in range(size))), "declared").limit(4 * MAX_LANGUAGES).collect()}
-    seen = sum(declared.values()) if declared else np.zeros(size)
-    rare = np.full(size, -np.log(1000.0))
-    weights = {tag: np.log((v + 0.5 * v.sum() / max(seen.sum(), 1)) / (seen + 0.5)).clip(-6, 0).tolist()
-               for tag, v in declared.items()}
-    pairs = [x for tag, w in weights.items() for x in (F.lit(tag), F.array(*[F.lit(float(y)) for y in w]))]
-    zero = F.array(*[F.lit(0.0)] * size)
-    said = F.when(F.col("declared").isNull(), zero).otherwise(F.coalesce(
-        F.element_at(F.create_map(*pairs), F.col("declared")) if pairs else F.lit(None).cast("array<double>"),
-        F.array(*[F.lit(float(x)) for x in rare])))
+    # P(declared | language), with half of one pseudo-document spread by the declarations' own frequency; a tag without a
+    # model says nothing, since the texts under it would teach that it means und
+    agree = stage(agree, "declared")
+    seen = agree.agg(*[F.sum(f"s{i}") for i in range(size)]).first()
+    seen = np.array([x or 0.0 for x in seen])
+    weights = []
+    for r in agree.where(F.col("declared").isin(tags[:-1])).collect():
+        v = np.array([r[f"s{i}"] for i in range(size)])
+        weights.append((r.declared, np.log((v + 0.5 * v.sum() / max(seen.sum(), 1)) / (seen + 0.5)).clip(-6, 0).tolist()))
+    weights = spark.createDataFrame(weights, "tag string, weight array<double>")
+    said = F.coalesce("weight", F.array(*[F.lit(0.0)] * size))
+    scored = scored.join(F.broadcast(weights), F.col("declared") == F.col("tag"), "left").withColumn("said", said).drop("tag", "weight")
     joined = scored.join(shrunk, (scored["host"] == shrunk["host"]) & scored["suffix"].eqNullSafe(shrunk["suffix"]), "left")
     rest = F.zip_with("host_sum", "own", lambda s, o: F.greatest(s - o, F.lit(0.0)))
     prior = F.when(F.col("host_n").isNull(), flat).otherwise(
         F.zip_with(rest, "parent", lambda s, p: (s + KAPPA * p) / (F.col("host_n") - 1 + KAPPA)))
     # a column of its own, or each element of the sum below would compute all of it again
-    known = joined.select("id", "row_key", "ll", _add(_add(F.col("ll"), said), _log(prior)).alias("evidence"))
-    post = known.select("id", "row_key", "ll", _softmax(F.col("evidence")).alias("post"))
+    untaught = F.col("declared").isNotNull() & ~F.trim("declared").isin("", UND) & ~F.col("declared").isin(tags)
+    known = joined.select("id", "row_key", "ll", F.when(untaught, F.col("declared")).alias("untaught"),
+                          _add(_add(F.col("ll"), F.col("said")), _log(prior)).alias("evidence"))
+    post = known.select("id", "row_key", "ll", "untaught", _softmax(F.col("evidence")).alias("post"))
     names = F.array(*[F.lit(t) for t in tags])
     best = F.array_position("post", F.array_max("post")).cast("int")
     blank = F.col("ll")[0] <= -1e3
+    language = F.when(best == size, F.coalesce("untaught", F.lit(UND))).otherwise(F.element_at(names, best))
+    spared = F.col("untaught").isNotNull() | F.lit(size == 1)
     out = post.select(
-        F.col("id").alias(id_col), F.when(blank, F.lit(UND)).otherwise(F.element_at(names, best)).alias("language"),
+        F.col("id").alias(id_col), F.when(blank, F.lit(UND)).otherwise(language).alias("language"),
         F.when(blank, F.lit(1.0)).otherwise(F.array_max("post")).alias("probability"),
-        (~blank & (best < size) & (1 - F.element_at("post", -1) >= ACCEPT)).alias("accepted"), "row_key")
+        (~blank & (spared | ((best < size) & (1 - F.element_at("post", -1) >= ACCEPT)))).alias("accepted"), "row_key")
     return out
 
 

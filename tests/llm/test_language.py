@@ -85,3 +85,37 @@ def test_odd_rows(odd, none):
     out = language.accept(odd)
     assert out.schema == odd.schema and {0, 1, 2}.isdisjoint(r.doc_id for r in out.collect())
     assert language.identify(none).collect() == [] and language.accept(none).collect() == []
+
+
+def syllables(seed):
+    r = random.Random(seed)
+    return ["".join(r.choice("bcdfghjklmnpqrstvwxzäöüßøåéèñç") + r.choice("aeiouyăęįơ") for _ in range(2)) for _ in range(4)]
+
+
+def own_text(tag, seed, n=60):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice(syllables(tag)) for _ in range(r.randint(1, 3))) for _ in range(n))
+
+
+def test_languages_have_no_share_and_no_number_to_reach(spark):
+    r, rows = random.Random(4), []
+    for i in range(66):         # each with enough text
+        rows += [(len(rows) + k, own_text(f"l{i}", 100 * i + k, 1500), f"l{i}", None) for k in range(2)]
+    rows += [(10000 + i, "ka lo mi tu", "aa", None) for i in range(4000)] + [(30000 + i, text("aa", i, 400), "aa", None) for i in range(6)]
+    r.shuffle(rows)             # two rows of 4,138 are less than 0.05 %
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {x.doc_id: x for x in language.identify(docs).collect()}
+    wrong = [d for d, _, said, _ in rows if got[d].language != said or not got[d].accepted]
+    assert wrong == []
+
+
+def test_a_tag_with_too_little_text_is_no_reason_to_reject(spark):
+    rare = "漢字仮名交じり文" * 30
+    rows = corpus() + [(1000, rare, "ja", "one"), (1001, text("bb", 9), "zz", None), (1002, "12 34", "ja", None), (1003, rare, "und", None)]
+    got = {r.doc_id: (r.language, r.accepted) for r in language.identify(spark.createDataFrame(rows, SCHEMA)).collect() if r.doc_id >= 1000}
+    assert got == {1000: ("ja", True), 1001: ("bb", True), 1002: ("und", False), 1003: ("und", False)}
+
+
+def test_without_declarations_nothing_is_rejected_for_its_language(spark):
+    docs = spark.createDataFrame([(1, text("aa", 1), None, "a"), (2, "12 34", None, "a")], SCHEMA)
+    assert [r.doc_id for r in language.accept(docs).collect()] == [1]
