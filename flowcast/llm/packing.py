@@ -92,19 +92,31 @@ class _Words(dict):
 
 
 _WORDS = {}
+# a capital that a mark may follow: composed before it is folded it may give other ids, since not every pair has both cases
+_MARKED = re.compile(rb"[A-Z][\x80-\xff]")
+
+
+def _folded(data):
+    """The words of a UTF-8 text, A-Z folded where that cannot change their ids."""
+    if b"<|" in data:
+        return data.split()
+    if data.isascii() or not _MARKED.search(data):
+        return data.lower().split()
+    return [w if _MARKED.search(w) else w.lower() for w in data.split()]
 
 
 def tokenise(data, path):
     """Ids of a UTF-8 text and the closing id, as little-endian bytes.
 
     The tokenizer folds case, so A-Z are folded first, for fewer different words; where a special token could
-    stand, they are not, since those are matched before. Only ASCII white space splits; other kinds of
+    stand, they are not, since those are matched before, nor in words where a sign beyond ASCII follows one of
+    them directly, since the tokenizer composes marks before it folds. Only ASCII white space splits; other kinds of
     it are left to the tokenizer.
     """
     known = _WORDS.get(path)
     if known is None:
         known = _WORDS[path] = _Words(path)
-    words = (data if b"<|" in data else data.lower()).split()
+    words = _folded(data)
     try:
         body = b"".join(map(known.__getitem__, words))
     except KeyError:

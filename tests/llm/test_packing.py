@@ -24,6 +24,12 @@ def test_ids_are_the_tokenizers(text):
     assert packing.tokenise(text.encode(), PATH) == np.array(exact(text), "<u4").tobytes()
 
 
+@pytest.mark.parametrize("pair", ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a", "T\u0344", "H\u0323\u0331", "E\u0301"])
+def test_capitals_with_marks_are_composed_before_they_are_folded(pair):
+    for text in (f"{pair}una", f"One {pair}adith, Two a{pair}B {pair.lower()}una X", f"{pair} É {pair}{pair}"):
+        assert packing.tokenise(text.encode(), PATH) == np.array(exact(text), "<u4").tobytes()
+
+
 def test_ids_do_not_depend_on_the_cache(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 10)
     packing._WORDS.clear()
