@@ -88,10 +88,12 @@ def header_documents(spark, sf):
         F.to_json(F.struct(meta.alias("meta"), info.alias("info"))).alias("value"))
 
 
-def first_orders(spark, sf):
-    """The id of the first order of every month: as many match files as months."""
-    orders = read_table(spark, sf, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
-    return orders.groupBy("month").agg(F.min("o_orderkey").alias("match_id")).select("match_id")
+def day_documents(spark, sf, bits=22):
+    """The documents of all orders of a day and run of 2^bits rows as one JSON array text of many lines."""
+    day = F.get_json_object("value", "$.meta.created").alias("day")
+    rows = in_runs(header_documents(spark, sf).select("value", day), "day", bits=bits)
+    lines = F.regexp_replace(F.array_join(F.collect_list("value"), ","), r"\},", "},\n")
+    return rows.groupBy("day", "run").agg(F.concat(F.lit("["), lines, F.lit("]")).alias("value")).select("value")
 
 
 def players_documents(spark, sf):

@@ -190,16 +190,14 @@ def inferred_json(spark, sf):
 
 
 @query("""SELECT strftime(o_orderdate, '%Y-%m-%d') AS created, o_orderpriority AS city, 'Ground ' || (o_custkey % 10) AS venue
-FROM orders WHERE o_orderkey IN (SELECT min(o_orderkey) FROM orders GROUP BY strftime(o_orderdate, '%Y-%m'))""")
-def match_files(spark, sf):
-    """Multi-line files keyed by file name to five catalog tables, and a join of two of them."""
+FROM orders""")
+def match_day_files(spark, sf):
+    """Multi-line files of all orders, one per day and run of rows, keyed by file name to five catalog tables, and a join of two of them."""
     path, tables = scratch_path(spark, "match-files"), scratch_path(spark, "match-tables")
-    rows = docs.header_documents(spark, sf).join(docs.first_orders(spark, sf), "match_id", "left_semi")
-    lines = F.regexp_replace("value", r"\},", "},\n")
-    rows.repartition(8).select(lines.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    docs.day_documents(spark, sf).write.option("maxRecordsPerFile", 1).text(path)
     prefix = "m" + uuid.uuid4().hex + "_"
     for name in mt.TABLES:
         on_release(lambda name=name: spark.sql(f"DROP TABLE IF EXISTS `{prefix}{name}`"))
     saved = mt.save_match_tables(mt.read_matches(spark, path), prefix=prefix, path=tables)
-    return saved["metadata_table"].select("match_id", "created").join(
+    return saved["metadata_table"].select("match_id", "created").distinct().join(
         saved["match_information_table"].select("match_id", "city", "venue"), "match_id").drop("match_id")

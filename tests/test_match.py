@@ -107,3 +107,12 @@ def test_tables_are_saved_once(spark, docs, tmp_path):
         mt.save_match_tables(docs, prefix="t1_", path=str(tmp_path))
     again = mt.save_match_tables(docs, prefix="t1_", path=str(tmp_path), mode="overwrite")
     assert again["players_table"].count() == 4
+
+
+def test_files_of_a_day_hold_every_order(spark, tmp_path):
+    from flowcast.queries import nesting
+    spark.sql("""SELECT id AS o_orderkey, id % 30 AS o_custkey, date_add(DATE '2024-01-30', CAST(id % 5 AS INT)) AS o_orderdate,
+        'p' || id % 3 AS o_orderpriority, 'F' AS o_orderstatus, 1000.0D AS o_totalprice FROM range(200)""").write.parquet(f"{tmp_path}/orders.parquet")
+    got = nesting.QUERIES["match_day_files"](spark, str(tmp_path)).collect()
+    want = [(f"2024-{'01' if i % 5 < 2 else '02'}-{[30, 31, 1, 2, 3][i % 5]:02}", f"p{i % 3}", f"Ground {i % 10}") for i in range(200)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
