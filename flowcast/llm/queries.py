@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowcast.llm import decontaminate, language, multi_index, packing, pii_crf, secret_markov, simhash, suffix_dedup, toxicity, warc
+from flowcast.llm import (decontaminate, language, license_join, multi_index, packing, pii_crf, secret_markov, simhash,
+                          suffix_dedup, toxicity, warc)
 from flowcast.llm.frames import read
 
 QUERIES, ORACLES = {}, {}
@@ -99,3 +100,12 @@ def op3_multi_index(spark, sf_dir):
 def op9_suffix_dedup(spark, sf_dir):
     """Repeated strings of 50 bytes in all documents."""
     return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_license_join(spark, sf_dir):
+    """License phrases and notices in all documents."""
+    return license_join.digest(license_join.scan(read(spark, sf_dir, "documents")))
+
+
+ORACLES["op13_license_join"] = license_join.oracle()
