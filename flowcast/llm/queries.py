@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowcast.llm import (decontaminate, language, license_join, multi_index, packing, pii_crf, secret_markov, simhash,
-                          suffix_dedup, toxicity, warc)
+from flowcast.llm import (decontaminate, language, lexical_search, license_join, multi_index, packing, pii_crf,
+                          secret_markov, simhash, suffix_dedup, toxicity, warc)
 from flowcast.llm.frames import read
 
 QUERIES, ORACLES = {}, {}
@@ -109,3 +109,12 @@ def op13_license_join(spark, sf_dir):
 
 
 ORACLES["op13_license_join"] = license_join.oracle()
+
+
+@query
+def op12_lexical_search(spark, sf_dir):
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_lexical_search"] = lexical_search.oracle()
