@@ -11,7 +11,7 @@ more), documents in the order of their ids. A shard holds
 
 For an item, an interval of documents is bounded by the sum, over its terms, of the largest impact inside. A heap gives
 the interval of highest bound. It is split at the document of its largest single impact: that one is scored
-exactly, both sides become new intervals with bounds of their own. A task keeps its best ``top`` per item from shard to shard; an
+exactly, both sides become new intervals with bounds of their own; an interval of ``LEAF`` documents is scored whole. A task keeps its best ``top`` per item from shard to shard; an
 interval whose bound cannot enter them, ties by id included, is dropped, and the search ends with the last interval. The tasks' best
 are merged by one window. Every document is indexed and can be found.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from flowcast.llm.frames import arrow_map, schema_of, slices, texts, to_batches
 from flowcast.sources.staging import stage
 
-TOP, SHARD_POSTINGS, BLOCK_CHARS = 10, 1 << 19, 4_000_000
+TOP, SHARD_POSTINGS, BLOCK_CHARS, LEAF = 10, 1 << 19, 4_000_000, 256
 STAGED = "id long, n long, terms array<int>, counts array<long>"
 FOUND = "item int, id long, score long"
 
@@ -131,6 +131,15 @@ class Shard:
             left[rows], right[rows] = table[a[rows]], table[b[rows] - (1 << j)]
         return np.where(self.impact[left] >= self.impact[right], left, right)
 
+    def scores(self, lo, hi, a, b):
+        """Places and scores of the documents of a short interval that hold any of the terms."""
+        size = b - a
+        at = np.repeat(b - np.cumsum(size), size) + np.arange(size.sum())
+        scores = np.zeros(hi - lo, np.int64)
+        np.add.at(scores, self.key[at] % self.size - lo, self.impact[at])
+        held = np.flatnonzero(scores)
+        return (held + lo).tolist(), scores[held].tolist()
+
     def search(self, terms, top, kept):
         """Improves ``kept``, a heap of (score, reversed id) of the item's best documents so far."""
         def bounded(lo, hi, own, a, b):
@@ -147,24 +156,30 @@ class Shard:
         def worthy(bound, lo):
             return len(kept) < top or (bound, _late(self.ids[lo])) > kept[0]
 
+        def keep(place, score):
+            entry = (score, _late(self.ids[place]))
+            if score > 0 and len(kept) < top:
+                heapq.heappush(kept, entry)
+            elif score > 0 and entry > kept[0]:
+                heapq.heapreplace(kept, entry)
+
         heap = []
         bounded(0, self.size, terms, *self.ranges(terms, 0, self.size))
         while heap:
             bound, lo, hi, own, a, b, peak = heapq.heappop(heap)
             if not worthy(-bound, lo):
                 continue
+            if hi - lo <= LEAF:
+                for place, score in zip(*self.scores(lo, hi, a, b)):
+                    keep(place, score)
+                continue
             split = int(self.key[peak] % self.size)
             middle = np.searchsorted(self.key, own * self.size + split)
             inside = middle < b
             holds = np.zeros(len(own), bool)
             holds[inside] = self.key[middle[inside]] == own[inside] * self.size + split
             score = int(self.impact[middle[holds]].sum())
-            entry = (score, _late(self.ids[split]))
-            if score > 0:
-                if len(kept) < top:
-                    heapq.heappush(kept, entry)
-                elif entry > kept[0]:
-                    heapq.heapreplace(kept, entry)
+            keep(split, score)
             bounded(lo, split, own, a, middle)
             bounded(split + 1, hi, own, middle + holds, b)
 

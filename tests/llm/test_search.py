@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from flowcast.llm import lexical_search as ls
 
@@ -62,7 +63,9 @@ def test_equals_scoring_every_document(spark, monkeypatch):
     assert run(spark, docs, items) == expected
 
 
-def test_small_shards_give_the_same():
+@pytest.mark.parametrize("leaf", [0, 16, 256])
+def test_small_shards_give_the_same(monkeypatch, leaf):
+    monkeypatch.setattr(ls, "LEAF", leaf)
     docs = corpus(2, 200)
     vocabulary = sorted({t for _, x in docs for t in cut(x)})
     number = {t: i for i, t in enumerate(vocabulary)}
