@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from flowcast.llm import (decontaminate, language, lexical_search, license_join, multi_index, packing, pii_crf,
+from flowcast.llm import (collocation, decontaminate, language, lexical_search, license_join, multi_index, packing, pii_crf,
                           secret_markov, simhash, suffix_dedup, toxicity, warc)
 from flowcast.llm.frames import read
 
@@ -118,3 +118,12 @@ def op12_lexical_search(spark, sf_dir):
 
 
 ORACLES["op12_lexical_search"] = lexical_search.oracle()
+
+
+@query
+def op11_collocation(spark, sf_dir):
+    """The best phrases of every language over all documents."""
+    return collocation.collocations(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocation"] = collocation.oracle()
