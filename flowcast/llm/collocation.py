@@ -8,7 +8,7 @@ the up to four words after it in its piece, so each n-gram is the beginning of a
 2. Every task cuts its texts into shards of ``SHARD_BYTES`` (long texts too, each shard sees the four words behind its
    end), sorts their windows, and builds one count transducer (``count_automata``) for each range that a shard has windows in.
    The shuffle moves transducers, not n-grams.
-3. A range unites its transducers and sums their weights. N-grams of fewer than ``least`` occurrences are left behind, but for those a
+3. A range unites its transducers and sums their weights. N-grams of fewer than ``least`` occurrences are left behind, but for those that a
    splitter begins with: their windows are in several ranges, and their partial counts are summed before they are judged.
 4. Frequent n-grams become one transducer a range, and the parts of all candidates are composed with the one of their range, which gives
    the parts' counts (each part is at least as frequent as its phrase, so none is missing).
@@ -37,8 +37,8 @@ from flowcast.llm.frames import narrow, schema_of, slices, to_batches
 from flowcast.sources.staging import stage
 
 LEAST, SHARE, TOP, LONGEST = 100, 100, 2000, DEPTH - 1
-SAMPLE, RANGE_BYTES, SHARD_BYTES = 50_000, 4_000_000, 8_000_000
-PIECES = "range int, words array<binary>, states binary"
+SAMPLE, RANGE_BYTES, SHARD_BYTES = 50_000, 8_000_000, 8_000_000
+PIECES = "range int, words binary, states binary"
 GRAMS = "lang string, phrase string, words int, f long"
 
 # A-Z in lower case, tabs as spaces, every end of a piece as a line feed.
@@ -59,7 +59,7 @@ def _units(lang, text, size):
 
 
 def windows(units):
-    """(sorted words, matrix of window rows by word number) of some units."""
+    """(sorted words and languages, matrix of window rows by their numbers from 1) of some units."""
     data = b"\n".join(u[1] for u in units)
     offsets = np.cumsum([0] + [len(u[1]) + 1 for u in units])
     buffer = np.frombuffer(data, np.uint8)
@@ -72,18 +72,23 @@ def windows(units):
     unit = np.searchsorted(offsets, start, side="right") - 1
     piece = np.cumsum(buffer == 10, dtype=np.int32)[start] if len(start) else np.zeros(0, np.int32)
     langs = pa.array([u[0] for u in units], pa.large_binary())
-    coded = pa.concat_arrays([runs.filter(pa.array(first)), langs]).dictionary_encode()
-    order = pc.array_sort_indices(coded.dictionary)
-    rank = np.empty(len(order), np.int32)
-    rank[order.to_numpy()] = np.arange(1, len(order) + 1)
-    codes = rank[coded.indices.to_numpy()]
+    words, codes = _ranked(pa.concat_arrays([runs.filter(pa.array(first)), langs]))
     rows = np.zeros((len(start), DEPTH), np.int32)
     rows[:, 0] = codes[len(start):][unit]
     word = codes[:len(start)]
-    for k in range(LONGEST):
+    for k in range(min(LONGEST, len(word))):
         rows[:len(word) - k, k + 1] = np.where(piece[k:] == piece[:len(word) - k], word[k:], 0)
     limit = np.array([u[2] for u in units], np.int64)
-    return coded.dictionary.take(order), rows[start < offsets[unit] + limit[unit]]
+    return words, rows[start < offsets[unit] + limit[unit]]
+
+
+def _ranked(column):
+    """(distinct values in byte order, number of each row's value from 1)."""
+    coded = column.dictionary_encode()
+    order = pc.array_sort_indices(coded.dictionary)
+    rank = np.empty(len(order), np.int32)
+    rank[order.to_numpy()] = np.arange(1, len(order) + 1)
+    return coded.dictionary.take(order), rank[coded.indices.to_numpy()]
 
 
 def _texts(docs, lang_col, text_col):
@@ -113,40 +118,49 @@ def _at(splitters, vocabulary, rows):
     return [bisect.bisect_left(range(len(rows)), s, key=key) for s in splitters]
 
 
-def _transducers(splitters, shard_bytes):
+def _pack(words):
+    """Words as one block of compressed bytes: number, length of the block, ends of the words, the words."""
+    words = words.cast(pa.large_binary())
+    ends = np.cumsum(pc.binary_length(words).to_numpy()).astype(np.int32)
+    block = ends.tobytes() + b"".join(words.to_pylist())
+    return len(ends).to_bytes(4, "little") + len(block).to_bytes(4, "little") + pa.compress(block, codec="zstd", asbytes=True)
+
+
+def _unpack(data):
+    count, size = (int.from_bytes(data[i:i + 4], "little") for i in (0, 4))
+    block = pa.decompress(data[8:], size, codec="zstd", asbytes=True)
+    offsets = np.r_[0, np.frombuffer(block, np.int32, count)].astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), count, [None, pa.py_buffer(offsets), pa.py_buffer(block[4 * count:])])
+
+
+def _transducers(splitters, shard_bytes, schema):
+    """Of every shard one transducer a range, all in one batch."""
     def run(batches):
-        schema = None
         for units in _shards(batches, shard_bytes):
             words, rows = windows(units)
             rows, counts = sort_rows(rows, np.ones(len(rows), np.int64))
             cuts = [0, *_at(splitters.value, words.to_pylist(), rows), len(rows)]
+            columns = {"range": [], "words": [], "states": []}
             for number, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if a == b:
                     continue
                 used, own = np.unique(rows[a:b], return_inverse=True)
                 own = own.reshape(b - a, DEPTH) + (used[0] > 0)
-                used = used[used > 0]
-                states = Transducer.build(own, counts[a:b]).encode()
-                schema = schema or pa.schema([("range", pa.int32()), ("words", pa.list_(pa.binary())), ("states", pa.binary())])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int32()), pa.ListArray.from_arrays([0, len(used)], words.take(pa.array(used - 1)).cast(pa.binary())),
-                     pa.array([states], pa.binary())], schema=schema)
+                columns["range"].append(number)
+                columns["words"].append(_pack(words.take(pa.array(used[used > 0] - 1))))
+                columns["states"].append(Transducer.build(own, counts[a:b]).encode())
+            if columns["range"]:
+                yield from to_batches(columns, schema)
     return run
 
 
 def _united(table):
     """Sorted words, rows and counts of all transducers of a range."""
-    found = [Transducer.decode(s).rows() for s in table.column("states").to_pylist()]
-    lists = table.column("words").combine_chunks()
-    coded = lists.flatten().dictionary_encode()
-    order = pc.array_sort_indices(coded.dictionary)
-    rank = np.empty(len(order), np.int64)
-    rank[order.to_numpy()] = np.arange(1, len(order) + 1)
-    codes = rank[coded.indices.to_numpy()]
-    at = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
-    parts = [np.r_[0, codes[a:b]].astype(np.int32)[rows] for (rows, _), a, b in zip(found, at[:-1], at[1:])]
-    rows, counts = sort_rows(np.concatenate(parts), np.concatenate([c for _, c in found]))
-    return coded.dictionary.take(order), rows, counts
+    lists = [_unpack(w) for w in table.column("words").to_pylist()]
+    parts = [(Transducer.decode(s), len(w)) for s, w in zip(table.column("states").to_pylist(), lists)]
+    rows, counts = Transducer.forest(parts).rows()
+    words, codes = _ranked(pa.concat_arrays(lists))
+    return words, *sort_rows(np.r_[np.int32(0), codes][rows], counts)
 
 
 def _joined(words, rows):
@@ -242,14 +256,15 @@ def splitters_of(rows, range_bytes=RANGE_BYTES, shard_bytes=SHARD_BYTES):
 
 
 def frequent_phrases(docs, least=LEAST, lang_col="lang", text_col="text", range_bytes=RANGE_BYTES, shard_bytes=SHARD_BYTES):
-    """(n-grams, splitters): (lang, phrase, words, f) of all n-grams of ``least`` occurrences, and with no words the total of a language."""
+    """((lang, phrase, words, f) of all n-grams of ``least`` occurrences, (lang, n) totals, splitters)."""
     spark = docs.sparkSession
     rows = _texts(docs, lang_col, text_col)
     splitters = spark.sparkContext.broadcast(splitters_of(rows, range_bytes, shard_bytes))
-    pieces = rows.mapInArrow(_transducers(splitters, shard_bytes), PIECES)
+    pieces = rows.mapInArrow(_transducers(splitters, shard_bytes, schema_of(spark, PIECES)), PIECES)
     counted = pieces.groupBy("range").applyInArrow(_frequent(splitters, least, schema_of(spark, GRAMS)), GRAMS)
     summed = counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
-    return stage(summed.where((F.col("f") >= least) | (F.col("words") == 0)), "grams"), splitters
+    grams = stage(summed.where((F.col("f") >= least) | (F.col("words") == 0)), "grams")
+    return grams.where("words > 0"), grams.where("words = 0").select("lang", F.col("f").alias("n")), splitters
 
 
 def part_counts(parts, grams, splitters):
@@ -268,9 +283,7 @@ def collocations(docs, least=LEAST, share=SHARE, top=TOP, lang_col="lang", text_
 
     ``sizes`` are ``range_bytes`` and ``shard_bytes``; they change no result.
     """
-    grams, splitters = frequent_phrases(docs, least, lang_col, text_col, **sizes)
-    totals = grams.where("words = 0").select("lang", F.col("f").alias("n"))
-    known = grams.where("words > 0")
+    known, totals, splitters = frequent_phrases(docs, least, lang_col, text_col, **sizes)
     phrases = known.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"))
     listed = phrases.withColumn("w", F.split("phrase", " "))
 

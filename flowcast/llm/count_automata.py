@@ -17,19 +17,17 @@ def sort_rows(rows, weights):
     """Distinct rows in order with their summed weights."""
     if not len(rows):
         return rows, weights
-    keys, at = [], rows.shape[1]
     bits = max(int(rows.max()).bit_length(), 1)
-    while at > 0:      # as many columns to a 63-bit key as fit
-        take = max(1, min(at, 63 // bits))
-        key = np.zeros(len(rows), np.int64)
-        for c in range(at - take, at):
-            key = (key << bits) | rows[:, c].astype(np.int64)
-        keys.append(key)
-        at -= take
-    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys)
-    new = np.ones(len(rows), bool)
-    new[1:] = np.logical_or.reduce([np.diff(k[order]) != 0 for k in keys])
-    first = np.flatnonzero(new)
+    key, filled = np.zeros(len(rows), np.int64), 0
+    for c in range(rows.shape[1]):      # columns packed into one key; a full key gives way to its rank
+        if filled + bits > 63:
+            order = np.argsort(key)
+            rank = np.cumsum(np.diff(key[order], prepend=key[order[0]]) != 0)
+            key[order], filled = rank, int(rank[-1]).bit_length()
+        key = (key << bits) | rows[:, c]
+        filled += bits
+    order = np.argsort(key)
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
     return rows[order[first]], np.add.reduceat(weights[order], first)
 
 
@@ -83,22 +81,37 @@ class Transducer:
         words, totals, targets = (np.concatenate(parts) for parts in zip(*blocks))
         return cls(np.r_[0, np.cumsum(sizes)], words, totals, targets, root)
 
+    @classmethod
+    def forest(cls, parts):
+        """Several transducers as one with as many roots; word w of part i becomes w plus the words before part i.
+
+        ``parts`` lists (transducer, number of its words).
+        """
+        made = [p for p, _ in parts]
+        states = np.cumsum([0] + [len(p.first) - 1 for p in made])
+        arcs = np.cumsum([0] + [len(p.words) for p in made])
+        words = np.cumsum([0] + [n for _, n in parts])
+        return cls(np.concatenate([p.first[:-1] + a for p, a in zip(made, arcs)] + [arcs[-1:]]),
+                   np.concatenate([p.words + w for p, w in zip(made, words)]), np.concatenate([p.weights for p in made]),
+                   np.concatenate([p.targets + n for p, n in zip(made, states)]),
+                   np.array([p.root + n for p, n in zip(made, states)]))
+
     def rows(self):
         """The sequences that end, shorter ones first, with the weights they were built from."""
-        arcs, path, weight = self._arcs(np.array([self.root]))
-        path = self.words[arcs][:, None]
+        arcs, _, _ = self._arcs(np.atleast_1d(self.root))
+        path = self.words[arcs][:, None].astype(np.int32)
         weight, target = self.weights[arcs], self.targets[arcs]
-        done_rows, done_weights = [], []
+        done_rows, done_weights = [np.zeros((0, DEPTH), np.int32)], [np.zeros(0, np.int64)]
         while len(path):
             arcs, parent, _ = self._arcs(target)
             rest = weight - np.bincount(parent, self.weights[arcs], len(path)).astype(np.int64)
-            ends = rest > 0
-            done_rows.append(np.pad(path[ends], ((0, 0), (0, DEPTH - path.shape[1]))))
+            ends = np.flatnonzero(rest > 0)
+            full = np.zeros((len(ends), DEPTH), np.int32)
+            full[:, :path.shape[1]] = path[ends]
+            done_rows.append(full)
             done_weights.append(rest[ends])
-            path = np.hstack([path[parent], self.words[arcs][:, None]])
+            path = np.hstack([path[parent], self.words[arcs][:, None].astype(np.int32)])
             weight, target = self.weights[arcs], self.targets[arcs]
-        if not done_rows:
-            return np.zeros((0, DEPTH), np.int64), np.zeros(0, np.int64)
         return np.concatenate(done_rows), np.concatenate(done_weights)
 
     def encode(self):

@@ -120,8 +120,8 @@ def test_equal_states_are_merged():
 
 def test_union_of_shards_is_the_transducer_of_all():
     parts = [sample_rows(seed) for seed in range(5)]
-    found = [Transducer.build(*p).rows() for p in parts]
-    rows, weights = sort_rows(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
+    rows, weights = Transducer.forest([(Transducer.build(*p), 6) for p in parts]).rows()
+    rows, weights = sort_rows(np.where(rows > 0, (rows - 1) % 6 + 1, 0), weights)
     whole = sort_rows(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
     assert (rows == whole[0]).all() and (weights == whole[1]).all()
     assert Transducer.build(rows, weights).encode() == Transducer.build(*whole).encode()
