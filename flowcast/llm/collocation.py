@@ -37,8 +37,8 @@ from flowcast.llm.frames import narrow, schema_of, slices, to_batches
 from flowcast.sources.staging import stage
 
 LEAST, SHARE, TOP, LONGEST = 100, 100, 2000, DEPTH - 1
-SAMPLE, RANGE_BYTES, SHARD_BYTES = 50_000, 8_000_000, 8_000_000
-PIECES = "range int, words binary, states binary"
+SAMPLE, RANGE_BYTES, SHARD_BYTES = 50_000, 4_000_000, 8_000_000
+PIECES = "range int, words array<binary>, states binary"
 GRAMS = "lang string, phrase string, words int, f long"
 
 # A-Z in lower case, tabs as spaces, every end of a piece as a line feed.
@@ -70,7 +70,7 @@ def windows(units):
     first = inside[edge] if len(edge) else np.zeros(0, bool)
     start = edge[first]
     unit = np.searchsorted(offsets, start, side="right") - 1
-    piece = np.cumsum(buffer == 10, dtype=np.int32)[start] if len(start) else np.zeros(0, np.int32)
+    piece = np.searchsorted(np.flatnonzero(buffer == 10), start)
     langs = pa.array([u[0] for u in units], pa.large_binary())
     words, codes = _ranked(pa.concat_arrays([runs.filter(pa.array(first)), langs]))
     rows = np.zeros((len(start), DEPTH), np.int32)
@@ -118,21 +118,6 @@ def _at(splitters, vocabulary, rows):
     return [bisect.bisect_left(range(len(rows)), s, key=key) for s in splitters]
 
 
-def _pack(words):
-    """Words as one block of compressed bytes: number, length of the block, ends of the words, the words."""
-    words = words.cast(pa.large_binary())
-    ends = np.cumsum(pc.binary_length(words).to_numpy()).astype(np.int32)
-    block = ends.tobytes() + b"".join(words.to_pylist())
-    return len(ends).to_bytes(4, "little") + len(block).to_bytes(4, "little") + pa.compress(block, codec="zstd", asbytes=True)
-
-
-def _unpack(data):
-    count, size = (int.from_bytes(data[i:i + 4], "little") for i in (0, 4))
-    block = pa.decompress(data[8:], size, codec="zstd", asbytes=True)
-    offsets = np.r_[0, np.frombuffer(block, np.int32, count)].astype(np.int64)
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), count, [None, pa.py_buffer(offsets), pa.py_buffer(block[4 * count:])])
-
-
 def _transducers(splitters, shard_bytes, schema):
     """Of every shard one transducer a range, all in one batch."""
     def run(batches):
@@ -140,26 +125,33 @@ def _transducers(splitters, shard_bytes, schema):
             words, rows = windows(units)
             rows, counts = sort_rows(rows, np.ones(len(rows), np.int64))
             cuts = [0, *_at(splitters.value, words.to_pylist(), rows), len(rows)]
-            columns = {"range": [], "words": [], "states": []}
+            ranges, ends, listed, states = [], [0], [], []
             for number, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if a == b:
                     continue
                 used, own = np.unique(rows[a:b], return_inverse=True)
                 own = own.reshape(b - a, DEPTH) + (used[0] > 0)
-                columns["range"].append(number)
-                columns["words"].append(_pack(words.take(pa.array(used[used > 0] - 1))))
-                columns["states"].append(Transducer.build(own, counts[a:b]).encode())
-            if columns["range"]:
-                yield from to_batches(columns, schema)
+                listed.append(used[used > 0] - 1)
+                ranges.append(number)
+                ends.append(ends[-1] + len(listed[-1]))
+                states.append(Transducer.build(own, counts[a:b]).encode())
+            if ranges:
+                flat = words.take(pa.array(np.concatenate(listed))).cast(pa.binary())
+                del rows, words
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ranges, pa.int32()), pa.ListArray.from_arrays(ends, flat).cast(schema.field("words").type),
+                     pa.array(states, pa.binary())], schema=schema)
     return run
 
 
 def _united(table):
     """Sorted words, rows and counts of all transducers of a range."""
-    lists = [_unpack(w) for w in table.column("words").to_pylist()]
-    parts = [(Transducer.decode(s), len(w)) for s, w in zip(table.column("states").to_pylist(), lists)]
+    lists = table.column("words").combine_chunks()
+    parts = [(Transducer.decode(s), n) for s, n in zip(
+        table.column("states").to_pylist(), pc.list_value_length(lists).to_pylist())]
     rows, counts = Transducer.forest(parts).rows()
-    words, codes = _ranked(pa.concat_arrays(lists))
+    del parts
+    words, codes = _ranked(lists.flatten())
     return words, *sort_rows(np.r_[np.int32(0), codes][rows], counts)
 
 

@@ -57,7 +57,7 @@ class Transducer:
         """From sorted distinct rows; the weight of a state is the sum of the rows that pass it."""
         levels = prefixes(rows, weights)
         blocks = [(np.zeros(0, np.int64),) * 3]     # arcs of the states numbered so far
-        sizes, count = [0], 1
+        sizes, count = [np.zeros(1, np.int64)], 1
         state_of_row = np.zeros(len(rows), np.int64)    # state reached by a row's prefix of the level in hand
         for d in range(len(levels) - 1, -1, -1):
             first, total = levels[d]
@@ -69,7 +69,7 @@ class Transducer:
                 owner, owners = np.zeros(len(first), np.int64), 1
             merged, kept = _merge(owner, owners, word, total, target)
             arcs = np.flatnonzero(kept[owner]) if len(owner) else owner
-            sizes += np.bincount(owner, minlength=owners)[kept].tolist()
+            sizes.append(np.bincount(owner, minlength=owners)[kept])
             blocks.append((word[arcs], total[arcs], target[arcs]))
             number = np.where(merged >= 0, np.cumsum(kept)[merged] - 1 + count, 0)
             count += int(kept.sum())
@@ -79,7 +79,7 @@ class Transducer:
             else:
                 root = int(number[0])
         words, totals, targets = (np.concatenate(parts) for parts in zip(*blocks))
-        return cls(np.r_[0, np.cumsum(sizes)], words, totals, targets, root)
+        return cls(np.r_[0, np.cumsum(np.concatenate(sizes))], words, totals, targets, root)
 
     @classmethod
     def forest(cls, parts):
@@ -92,8 +92,9 @@ class Transducer:
         arcs = np.cumsum([0] + [len(p.words) for p in made])
         words = np.cumsum([0] + [n for _, n in parts])
         return cls(np.concatenate([p.first[:-1] + a for p, a in zip(made, arcs)] + [arcs[-1:]]),
-                   np.concatenate([p.words + w for p, w in zip(made, words)]), np.concatenate([p.weights for p in made]),
-                   np.concatenate([p.targets + n for p, n in zip(made, states)]),
+                   np.concatenate([p.words.astype(np.int32) + np.int32(w) for p, w in zip(made, words)]),
+                   np.concatenate([p.weights for p in made]),
+                   np.concatenate([p.targets.astype(np.int32) + np.int32(n) for p, n in zip(made, states)]),
                    np.array([p.root + n for p, n in zip(made, states)]))
 
     def rows(self):
@@ -127,10 +128,10 @@ class Transducer:
         arrays, at = [], 0
         for _ in range(5):
             size, width = int.from_bytes(data[at:at + 4], "little"), data[at + 4]
-            arrays.append(np.frombuffer(data, f"<i{width}", size, at + 5).astype(np.int64))
+            arrays.append(np.frombuffer(data, f"<i{width}", size, at + 5))
             at += 5 + size * width
         sizes, words, weights, targets, root = arrays
-        return cls(np.r_[0, np.cumsum(sizes)], words, weights, targets, int(root[0]))
+        return cls(np.r_[0, np.cumsum(sizes, dtype=np.int64)], words, weights, targets, int(root[0]))
 
     def _arcs(self, states):
         size = self.first[states + 1] - self.first[states]
@@ -139,12 +140,12 @@ class Transducer:
 
     def compose(self, rows):
         """Weights of the given sequences: the paths of the rows through the transducer, all rows a word at a time."""
-        state = np.full(len(rows), self.root, np.int64)
+        state, words = np.full(len(rows), self.root, np.int64), self.words.astype(np.int64)
         weight = np.zeros(len(rows), np.int64)
         alive = np.ones(len(rows), bool)
-        base = int(self.words.max(initial=0)) + 1
+        base = int(words.max(initial=0)) + 1
         # Arcs of a state are in order of words and states in order of arcs, so one key finds an arc.
-        key = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first)) * base + self.words
+        key = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first)) * base + words
         for d in range(rows.shape[1]):
             going = alive & (rows[:, d] > 0)
             word = rows[:, d].astype(np.int64)
@@ -170,9 +171,9 @@ def _merge(owner, owners, word, weight, target):
         filled = np.flatnonzero(size)
         if len(filled):
             sign[filled] = np.add.reduceat(code * (np.arange(len(code)) - start[owner] + 1).astype(np.uint64), start[filled])
-    order = np.lexsort((sign, size))
+    order = np.argsort(sign)
     new = np.ones(owners, bool)
-    new[1:] = (np.diff(size[order]) != 0) | (sign[order][1:] != sign[order][:-1])
+    new[1:] = (sign[order][1:] != sign[order][:-1]) | (size[order][1:] != size[order][:-1])
     group = order[np.flatnonzero(new)][np.cumsum(new) - 1]
     same = np.empty(owners, np.int64)
     same[order] = group
