@@ -6,6 +6,8 @@ hold out 7.
 
 from pyspark.sql import functions as F
 
+from flowcast.models import arma as am
+from flowcast.models import changepoints as cp
 from flowcast.models import linear as ln
 from flowcast.operators import features as ft
 from flowcast.operators import windows as wn
@@ -92,6 +94,41 @@ def fourier_forecast(spark, sf):
     return _rounded(ln.forecast_fourier(fitted, KEYS, "ts_hour"))
 
 
+@query(_sql(fit_sql.arma("g")) + " SELECT event_type, ts_hour, round(predicted, 6) AS predicted FROM h_out")
+def arma_forecast(spark, sf):
+    """Two lags and two moving-average terms, a week ahead."""
+    fitted = am.fit_arma(staged_grid(spark, sf), KEYS, "ts_hour", "n")
+    return _rounded(am.forecast_arma(fitted, KEYS, "ts_hour"))
+
+
+@query("WITH " + ", ".join([BY_TYPE, fit_sql.difference_orders("g")])
+       + """ SELECT event_type, n, round(strength, 9) AS strength, seasonal_d, round(kpss_0, 9) AS kpss_0,
+round(kpss_1, 9) AS kpss_1, d FROM o_out""")
+def difference_order(spark, sf):
+    """Seasonal strength, KPSS statistics, and the orders of differencing that follow."""
+    out = am.difference_orders(staged_grid(spark, sf), KEYS, "ts_hour", "n")
+    return out.withColumns({c: F.round(c, 9) for c in ("strength", "kpss_0", "kpss_1")})
+
+
+@query(_sql(fit_sql.changepoints("g")) + " SELECT event_type, ts_hour, round(predicted, 6) AS predicted FROM c_out")
+def changepoint_trend(spark, sf):
+    """A week ahead along a trend with penalised changes of slope."""
+    fitted = cp.fit_changepoints(grid(spark, sf), KEYS, "ts_hour", "n")
+    return _rounded(cp.forecast_changepoints(fitted, KEYS, "ts_hour"))
+
+
+@query(_sql(fit_sql.autoregression("g", (24, 48)), fit_sql.interval_widths((24, 48))) + """ SELECT o.event_type, ts_hour,
+round(predicted, 6) AS predicted, round(greatest(predicted - wide, 0.0), 6) AS lower, round(predicted + wide, 6) AS upper
+FROM a_out o JOIN (SELECT event_type, last FROM a_y) l USING (event_type) JOIN a_width v
+  ON v.event_type = o.event_type AND ts_hour = last + to_hours(v.h)""")
+def forecast_intervals(spark, sf):
+    """The seasonal autoregression a week ahead, with 95 percent bounds of each hour."""
+    fitted = stage(ln.fit_autoregression(grid(spark, sf), KEYS, "ts_hour", "n", seasonal=(24, 48)), "fitted")
+    ahead = ln.forecast_autoregression(fitted, KEYS, "ts_hour")
+    out = am.forecast_intervals(fitted, ahead, KEYS, "ts_hour")
+    return out.withColumns({c: F.round(c, 6) for c in ("predicted", "lower", "upper")})
+
+
 COMPARED = _sql("""
 o AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts_hour DESC) AS back FROM g),
 tr AS (SELECT ts_hour, event_type, n FROM o WHERE back > 168),
