@@ -8,6 +8,7 @@ from flowcast.functions.calendar import as_column, time_on
 from flowcast.session import shuffle_partitions
 
 EXPAND_CHUNK = 65_536
+PLACES = 9
 
 
 def normalise(profile, weight, by=(), out="share"):
@@ -35,18 +36,22 @@ def allocate(daily, keys, total, profile, hour="hour", weight="weight", out="all
 
     Largest remainder in whole numbers: every hour gets the floor of its share, then
     the hours with the largest remainders one more each, earlier hours first. Hours the
-    profile lacks have weight 0. If all weights are 0, or the profile is empty, totals are
+    profile lacks have weight 0; hours out of 0 to 23 are an error. If all weights are 0, or the profile is empty, totals are
     spread evenly, or with ``without_weights="error"`` the job fails with a clear message.
-    Weights are whole numbers; they are summed per hour of day, so 24 rows at most are
-    broadcast, whatever ``profile`` holds. Products are decimals and cannot overflow.
+    Weights may be whole numbers, decimals, which keep their places, or doubles, of which nine places count; they need not sum
+    to 1. They are summed per hour of day, so 24 rows at most are broadcast, whatever ``profile`` holds. Products are
+    decimals of whole numbers and cannot overflow.
     """
     keys = list(keys)
     hours = daily.select(*keys, total, F.explode(F.sequence(F.lit(0), F.lit(23))).alias(hour))
     if without_weights not in ("even", "error"):
         raise ValueError(f"without_weights must be 'even' or 'error', not {without_weights!r}")
-    given = profile.filter(F.col(hour).between(0, 23)).groupBy(
-        F.col(hour).cast("int").alias(hour)
-    ).agg(F.sum(weight).cast("decimal(18,0)").alias("_w"))
+    kind = profile.schema[weight].dataType
+    places = kind.scale if isinstance(kind, T.DecimalType) else PLACES if isinstance(kind, (T.FloatType, T.DoubleType)) else 0
+    number = F.when(F.col(hour).between(0, 23), F.col(hour)).otherwise(
+        F.raise_error(F.concat(F.lit("the profile has an hour out of 0 to 23: "), F.coalesce(F.col(hour).cast("string"), F.lit("NULL")))))
+    given = profile.groupBy(number.cast("int").alias(hour)).agg(
+        (F.sum(F.col(weight).cast(f"decimal({18 + places},{places})")) * F.lit(10 ** places)).cast("decimal(18,0)").alias("_w"))
     clock = daily.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(23))).alias(hour))
     weights = clock.join(given, hour, "left").select(hour, F.coalesce("_w", F.lit(0)).cast("decimal(18,0)").alias("_w"))
     weights = weights.withColumn("_all", F.sum("_w").over(Window.partitionBy()).cast("decimal(18,0)"))

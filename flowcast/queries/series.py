@@ -394,6 +394,22 @@ def allocate_sparse_profile(spark, sf):
     return _allocated(spark, sf, range(8, 18))
 
 
+# The published shares of the hours 0 to 23, which sum to 1.08.
+PUBLISHED = [0.02, 0.01, 0.005, 0.005, 0.01, 0.02, 0.06, 0.08, 0.09, 0.08, 0.06, 0.05,
+             0.05, 0.05, 0.05, 0.06, 0.07, 0.08, 0.07, 0.06, 0.04, 0.03, 0.02, 0.01]
+
+
+@query(ALLOCATED.replace("p AS (SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS weight FROM events GROUP BY 1)",
+                         "p AS (SELECT CAST(unnest(range(24)) AS INTEGER) AS hour, CAST(round(1000 * unnest("
+                         + str(PUBLISHED) + ")) AS BIGINT) AS weight)") + "SELECT * FROM al")
+def allocate_published_profile(spark, sf):
+    """The published fractional weights as they are."""
+    counts = hr.hourly_counts(events(spark, sf), "ts", ["event_type"])
+    shares = F.array(*[F.lit(w) for w in PUBLISHED])
+    weights = spark.range(1).select(F.posexplode(shares).alias("hour", "weight"))
+    return pf.allocate(_scaled(counts), ["day", "event_type"], "scaled", weights)
+
+
 @query(ALLOCATED + """SELECT day, event_type, day + to_hours(hour) AS ts,
 unnest(generate_series(1, allocated)) AS copy FROM al""")
 def allocated_movements(spark, sf):

@@ -77,3 +77,19 @@ def test_movements_are_timed_in_their_hour(spark):
     df = spark.createDataFrame([(date(2024, 1, 2), 5, 2)], "day date, hour int, allocated bigint")
     rows = pf.as_movements(df, "day", "hour", "allocated").collect()
     assert [(r.ts.day, r.ts.hour, r.copy) for r in rows] == [(2, 5, 1), (2, 5, 2)]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(6,3)", "float"])
+def test_fractional_weights_keep_their_places(spark, kind):
+    daily = spark.sql("SELECT date'2024-01-01' AS day, 1000L AS total")
+    profile = spark.sql(f"SELECT CAST(id AS int) AS hour, CAST(IF(id = 8, 0.4, 0.02) AS {kind}) AS weight FROM range(24)")
+    got = {r.hour: r.allocated for r in pf.allocate(daily, ["day"], "total", profile).collect()}
+    assert sum(got.values()) == 1000 and got[8] == 465 and {got[h] for h in range(24) if h != 8} == {23, 24}
+
+
+def test_hours_out_of_the_day_are_an_error(spark):
+    daily = spark.sql("SELECT date'2024-01-01' AS day, 10L AS total")
+    for hour in ("24", "-1", "NULL"):
+        profile = spark.sql(f"SELECT CAST({hour} AS int) AS hour, 1L AS weight")
+        with pytest.raises(Exception, match="out of 0 to 23"):
+            pf.allocate(daily, ["day"], "total", profile).collect()
