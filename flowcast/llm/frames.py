@@ -50,6 +50,27 @@ def slices(batches, name="text", size=SLICE_BYTES):
                 yield batch.slice(a, b - a)
 
 
+def release():
+    """Gives freed memory back to the system: Python workers are used again by later stages."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)    # where the C library has it
+    if trim:
+        trim(0)
+
+
+def sliced_map(df, schema, rows, *args):
+    """``arrow_map`` through slices of some ``SLICE_BYTES`` of the column ``text``; memory is released at the end."""
+    target = schema_of(df.sparkSession, schema)
+
+    def run(batches):
+        for batch in slices(batches):
+            yield from to_batches(rows(batch, *args), target)
+        release()
+
+    return df.mapInArrow(run, schema)
+
+
 def schema_of(spark, ddl):
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowcast.llm.frames import schema_of, texts, to_batches
+from flowcast.llm.frames import release, schema_of, slices, texts, to_batches
 from flowcast.sources.staging import stage
 
 CAPACITY, CLOSING = 4096, 1
 UNITS, LEAST_UNITS, STEP = 256, 16, 0.5
-CACHE_WORDS, BLOCK_PIECES, MIN_BLOCKS = 1_000_000, 50_000, 64
+CACHE_BYTES, WORD_BYTES, BLOCK_PIECES, MIN_BLOCKS = 48 << 20, 230, 50_000, 64
 
 
 # UTF-8 bytes of lower-case Latin letters, then signs. In byte-level vocabularies bytes C3 and A1-BF stand for the character of
@@ -44,13 +44,18 @@ _TRIALS = ("abc", "thesisthe", *map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100
 
 
 class _Words(dict):
-    """word -> its ids, both as bytes; emptied when it grows too large."""
+    """word -> its ids, both as bytes, in two generations of at most ``CACHE_BYTES`` each.
+
+    ``WORD_BYTES`` is what an entry takes beside its word and ids. A full generation takes the place of the older one,
+    from which words still in use come back.
+    """
 
     def __init__(self, path):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.older, self.held = {}, 0
         self.mark = self.ids("0")
         self.plain = all(self.spell(w.encode()) == self.ids(w).tobytes() for w in _TRIALS)
 
@@ -62,20 +67,26 @@ class _Words(dict):
         return b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(text)])
 
     def learn(self, words):
-        new = list({w for w in words if w not in self})
-        if len(self) + len(new) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
+            self.older, self.held = dict(self), 0
             self.clear()
-            new = list(set(words))
+        new = []
+        for word in {w for w in words if w not in self}:
+            if word in self.older:
+                self[word] = self.older[word]
+            else:
+                new.append(word)
+            self.held += WORD_BYTES + 2 * len(word)
         if self.plain:
             for word in new:
                 simple = _SIMPLE.fullmatch(word)
                 if simple:  # letters, then signs: two pieces for the model, as its splitter would make them
                     letters, signs = simple.groups()
-                    if letters not in self:
-                        self[letters] = self.spell(letters)
+                    for part in (letters, signs):
+                        if part and part not in self:
+                            self[part] = self.older.get(part) or self.spell(part)
                     if signs:
-                        if signs not in self:
-                            self[signs] = self.spell(signs)
+                        self.held += WORD_BYTES
                         self[word] = self[letters] + self[signs]
         new = [w for w in new if w not in self]
         for word in new if len(self.mark) != 1 else [w for w in new if b"0" in w or b"<|" in w]:
@@ -126,7 +137,7 @@ def tokenise(data, path):
 
 
 def _pieces(batches, path, capacity, target):
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for i, text in zip(batch.column("id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
             ids = tokenise(text, path)
@@ -134,6 +145,7 @@ def _pieces(batches, path, capacity, target):
                 piece = ids[start:start + 4 * capacity]
                 rows.append((i, n, start // 4, len(piece) // 4, zlib.crc32(piece)))
         yield from to_batches(dict(zip(target.names, zip(*rows))) if rows else {n: [] for n in target.names}, target)
+    release()
 
 
 def pieces(docs, path, id_col="doc_id", text_col="text", capacity=CAPACITY):

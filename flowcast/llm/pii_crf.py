@@ -25,7 +25,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from flowcast.llm.frames import arrow_map, texts
+from flowcast.llm.frames import arrow_map, sliced_map, texts
 
 KINDS = ("email", "ip", "card", "phone")
 OTHER = len(KINDS)
@@ -270,7 +270,7 @@ def _detect(batch, model):
 def detect(docs, id_col="doc_id", text_col="text", model=None):
     """(id, spans): every span with kind, start, end (code points) and whether the field added it."""
     model = model or train(docs, text_col, id_col)
-    found = arrow_map(texts(docs, id_col, text_col), f"id {_type(docs, id_col)}, spans {SPAN}", _detect, model)
+    found = sliced_map(texts(docs, id_col, text_col), f"id {_type(docs, id_col)}, spans {SPAN}", _detect, model)
     return found.withColumnRenamed("id", id_col)
 
 
@@ -302,4 +302,4 @@ def redact(docs, text_col="text", id_col="doc_id", model=None):
     place = names.index(text_col)
     inner = docs.toDF(*["text" if i == place else f"c{i}" for i in range(len(names))])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in inner.schema)
-    return arrow_map(inner, schema, _redact, model).toDF(*names)
+    return sliced_map(inner, schema, _redact, model).toDF(*names)

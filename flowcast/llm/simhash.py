@@ -26,7 +26,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowcast.llm.components import components
-from flowcast.llm.frames import arrow_map, texts
+from flowcast.llm.frames import sliced_map, texts
+from flowcast.session import shuffle_partitions
 from flowcast.sources.staging import stage
 
 SEED, SHINGLE, BITS, SEGMENT = 42, 3, 64, 32
@@ -51,13 +52,18 @@ def fingerprint(data):
 
 def _fingerprints(batch):
     prints = np.array([fingerprint(t) for t in batch.column("text").cast(pa.binary()).to_pylist()], "<u8")
-    return {"id": batch.column("id"), "fp": prints.view("<i8")}
+    return {"id": batch.column("id"), "fp": prints.view("<i8"), "key": batch.column("key")}
 
 
 def fingerprints(docs, id_col="doc_id", text_col="text"):
-    """(id, fp): fp holds the 64 bits as a long."""
+    """(id, fp, key): fp holds the 64 bits as a long, key names id and text together."""
     kind = docs.schema[id_col].dataType.simpleString()
-    return arrow_map(texts(docs, id_col, text_col), f"id {kind}, fp long", _fingerprints)
+    rows = texts(docs, id_col, text_col)
+    return sliced_map(rows.withColumn("key", _key(F.col("id"), F.col("text"))), f"id {kind}, fp long, key string", _fingerprints)
+
+
+def _key(name, text):
+    return F.md5(F.concat(F.coalesce(name.cast("string"), F.lit("")), F.when(name.isNull(), "?").otherwise(":"), text))
 
 
 def links(prints):
@@ -67,14 +73,15 @@ def links(prints):
     # each ball leaves one segment as it is; the centre is common to both
     probes = F.transform(F.concat(F.array(F.lit(0).cast("long")), one, high), lambda m: F.col("fp").bitwiseXOR(m))
     bucket = W.partitionBy("bucket")
-    members = (prints.select("fp", F.explode(probes).alias("bucket"))
+    spread = prints.select("fp").repartition(shuffle_partitions(prints.sparkSession), "fp")    # before it grows 65-fold
+    members = (spread.select("fp", F.explode(probes).alias("bucket"))
                .withColumn("head", F.min("fp").over(bucket)))
     return (members.where("fp <> head and bit_count(fp ^ head) <= 2")
             .select(F.col("fp").alias("a"), F.col("head").alias("b")).distinct())
 
 
-def near_duplicates(docs, id_col="doc_id", text_col="text"):
-    """(id, fp, component): component is the smallest id of all rows reachable by links."""
+def _grouped(docs, id_col, text_col):
+    """(id, fp, key, root, component) of every row, root being the smallest fingerprint of its group."""
     prints = stage(fingerprints(docs, id_col, text_col), "simhash")
     each = stage(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
     roots = components(links(each.select("fp")), "simhash-links")
@@ -82,19 +89,33 @@ def near_duplicates(docs, id_col="doc_id", text_col="text"):
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     named = stage(named, "simhash-roots")
     groups = named.groupBy("root").agg(F.min("first").alias("component"))
-    known = stage(named.join(groups, "root").select("fp", "component"), "simhash-groups")
-    return prints.join(known, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    known = stage(named.join(groups, "root").select("fp", "root", "component"), "simhash-groups")
+    return prints.join(known, "fp")
+
+
+def near_duplicates(docs, id_col="doc_id", text_col="text"):
+    """(id, fp, component): component is the smallest id of all rows reachable by links."""
+    return _grouped(docs, id_col, text_col).select(F.col("id").alias(id_col), "fp", "component")
 
 
 def deduplicate(docs, id_col="doc_id", text_col="text"):
-    """One row of each group, the one with the smallest id; repeated rows of it leave one.
+    """One row of each group: the one with the smallest id, null ids last, then by fingerprint and a hash of the text.
 
-    Columns stay as they are. Rows with a null id cannot be named and stay.
+    Rows of one id with unlike texts are judged by their groups, each on its own. Of rows with the same id and text
+    one stays, by a hash of all its columns. Columns stay as they are. Only keys are grouped; texts move
+    once, whatever the size (a plan by size would broadcast the keys of small tables and sort those of large ones).
     """
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where(F.col(id_col) == F.col("component")).select(F.col(id_col).alias("kept_id")).distinct()
-    row = F.struct(*[docs[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")
-    named = docs.select(docs[f"`{id_col}`"].alias("kept_id"), row)
-    one = named.join(kept, "kept_id", "left_semi").groupBy("kept_id").agg(F.first("row").alias("row"))
-    both = one.select("row").unionAll(named.where("kept_id is null").select("row"))
-    return both.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names))
+    found = stage(_grouped(docs, id_col, text_col).select("root", F.struct(F.col("id").isNull().alias("n"), "id", "fp", "key").alias("row")),
+                  "simhash-rows")
+    kept = found.groupBy("root").agg(F.min("row").alias("best"))
+    keys = found.groupBy("root", F.col("row.key").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    judged = keys.join(kept, "root").select("key", "n", (F.col("key") == F.col("best.key")).alias("stays"))
+    apart = stage(judged.where(~F.col("stays") | (F.col("n") > 1)), "simhash-apart")   # all but rows that simply stay
+    inner = docs.toDF(*names)
+    keyed = inner.select(*names, _key(F.col(at[id_col]), F.coalesce(at[text_col], F.lit(""))).alias("key"))
+    row = F.struct(*names)
+    once = keyed.join(apart.where("stays").select("key").hint("merge"), "key", "left_semi").groupBy("key").agg(
+        F.min_by(row, F.xxhash64(*names)).alias("row")).select("row.*")
+    return keyed.join(apart.select("key").hint("merge"), "key", "left_anti").select(*names).unionAll(once).toDF(*docs.columns)

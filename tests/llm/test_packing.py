@@ -31,7 +31,7 @@ def test_capitals_with_marks_are_composed_before_they_are_folded(pair):
 
 
 def test_ids_do_not_depend_on_the_cache(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE_WORDS", 10)
+    monkeypatch.setattr(packing, "CACHE_BYTES", 3000)
     packing._WORDS.clear()
     for text in TEXTS * 2:
         assert packing.tokenise(text.encode(), PATH) == np.array(exact(text), "<u4").tobytes()

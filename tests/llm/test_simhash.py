@@ -85,3 +85,16 @@ def test_one_document_of_each_group_stays(odd):
     out = simhash.deduplicate(odd)
     assert out.schema == odd.schema
     assert sorted((r.doc_id for r in out.collect()), key=str) == [0, 3, 4, 8, 9, None]
+
+
+def test_rows_of_one_id_with_unlike_texts_stay_both(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in ("river", "stone", "cloud"))
+    rows = [(1, a, 1), (1, b, 2), (2, a, 3), (3, c, 4), (3, c, 5), (None, c, 6), (None, b, 7), (9, None, 8), (8, "", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key long")
+    for parts in (1, 4):
+        out = simhash.deduplicate(docs.repartition(parts))
+        found = sorted(((r.doc_id, r.text, r.key) for r in out.collect()), key=str)
+        assert out.columns == docs.columns
+        assert [(i, t) for i, t, _ in found] == sorted([(1, a), (1, b), (3, c), (8, "")], key=str)
+        assert parts == 1 or found == before
+        before = found
