@@ -33,7 +33,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowcast.llm.count_automata import DEPTH, Transducer, prefixes, sort_rows
-from flowcast.llm.frames import narrow, schema_of, slices, to_batches
+from flowcast.llm.frames import narrow, release, schema_of, slices, to_batches
 from flowcast.sources.staging import stage
 
 LEAST, SHARE, TOP, LONGEST = 100, 100, 2000, DEPTH - 1
@@ -141,6 +141,8 @@ def _transducers(splitters, shard_bytes, schema):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ranges, pa.int32()), pa.ListArray.from_arrays(ends, flat).cast(schema.field("words").type),
                      pa.array(states, pa.binary())], schema=schema)
+                del flat, states, listed
+            release()
     return run
 
 
@@ -180,6 +182,8 @@ def _frequent(splitters, least, schema):
             columns["f"] += total[keep].tolist()
         cast = {"lang": pa.array(columns["lang"], pa.binary()).cast(pa.string()),
                 "phrase": pa.array(columns["phrase"], pa.binary()).cast(pa.string())}
+        del rows, counts, words, known
+        release()
         return pa.Table.from_batches(to_batches({**columns, **cast}, schema), schema)
     return run
 
