@@ -3,11 +3,10 @@
 1. Documents become token ids, cut into pieces of ``CAPACITY`` only where they are longer.
 2. The histogram of piece lengths (at most ``CAPACITY`` numbers, whatever the data) is a cutting-stock problem. Its
    configuration linear program (lengths grouped to units, short pieces left out as fillers) is solved by
-   multiplicative weights: every length has a price, a knapsack dynamic program finds the configuration of the
-   highest total price, it is taken for part of what its scarcest length still needs, and prices of what it
-   covered fall. Multiplicities are rounded down within what is there; the rest and the fillers go by best fit, longest
-   first, in bulk per length. Best fit alone is kept only where it
-   needs fewer sequences.
+   multiplicative weights: every length has a price, a knapsack dynamic program finds the configurations of the
+   highest total price around each length and the dual bound, and prices and shares of configurations are balanced
+   against each other until the cover is within ``GAP`` of the bound. Multiplicities are rounded within what is there;
+   what rounding leaves and the fillers go by best fit, longest first, in bulk per length.
 3. A plan maps (length, rank among pieces of that length) to (sequence, offset) in closed form. Ranks are dealt in
    blocks of pieces, so a length that a third of all pieces share is no bottleneck: counts by block and length,
    running sums over blocks, ranks inside blocks.
@@ -32,7 +31,8 @@ from flowcast.llm.frames import release, schema_of, slices, texts, to_batches
 from flowcast.sources.staging import stage
 
 CAPACITY, CLOSING = 4096, 1
-UNITS, LEAST_UNITS, STEP = 256, 16, 0.5
+UNITS, LEAST_UNITS = 256, 16
+ROUNDS, STEPS, RATE, GAP, LEAST_SHARE = 40, 1000, 0.2, 0.005, 1e-4
 CACHE_BYTES, WORD_BYTES, BLOCK_PIECES, MIN_BLOCKS = 48 << 20, 230, 50_000, 64
 
 
@@ -156,52 +156,117 @@ def pieces(docs, path, id_col="doc_id", text_col="text", capacity=CAPACITY):
     return texts(docs, id_col, text_col).mapInArrow(lambda it: _pieces(it, path, capacity, target), schema)
 
 
-def price_knapsack(sizes, prices, most, capacity):
-    """Counts per size of the configuration with the highest total price, by dynamic programming."""
-    best, took = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for room in range(sizes[0], capacity + 1):
+def price_rooms(sizes, prices, capacity):
+    """(highest total price, counts per size) for every room from 0 to ``capacity``, by dynamic programming."""
+    best, counts = np.zeros(capacity + 1), np.zeros((capacity + 1, len(sizes)), np.int64)
+    for room in range(1, capacity + 1):
+        best[room], counts[room] = best[room - 1], counts[room - 1]
         n = np.searchsorted(sizes, room, side="right")
-        gain = prices[:n] + best[room - sizes[:n]]
-        i = gain.argmax()
-        if gain[i] > best[room - 1]:
-            best[room], took[room] = gain[i], i
-        else:
-            best[room] = best[room - 1]
-    counts, room = np.zeros(len(sizes), np.int64), capacity
-    while room >= sizes[0]:
-        if took[room] < 0:
-            room -= 1
-        else:
-            counts[took[room]] += 1
-            room -= sizes[took[room]]
-    return np.minimum(counts, most)
+        if n:
+            gain = prices[:n] + best[room - sizes[:n]]
+            i = gain.argmax()
+            if gain[i] > best[room]:
+                best[room], counts[room] = gain[i], counts[room - sizes[i]]
+                counts[room, i] += 1
+    return best, counts
 
 
-def solve(sizes, demand, capacity):
-    """{configuration: multiplicity} covering the demand, by multiplicative weights.
+def price_knapsack(sizes, prices, most, capacity):
+    """Counts per size of the configuration with the highest total price."""
+    return np.minimum(price_rooms(sizes, prices, capacity)[1][capacity], most).astype(np.int64)
+
+
+def balance(cover, share, weight):
+    """Shares of configurations and weights of lengths that answer each other, by optimistic multiplicative weights.
 
-    Weights start equal and fall by exp(-STEP) for the length a configuration saturates and by less for
-    others; covered lengths drop out. Rounds do not depend on the number of pieces.
+    ``cover`` is (configuration, length): the part of the length's demand that one copy covers. Configurations gain by
+    what they cover at the present weights, lengths lose weight by how far they are covered, each step counting the
+    last change twice. The averages of the second half are returned.
     """
-    found, covered = {}, np.zeros(len(sizes))
-    while (open_ := covered < demand).any():
-        weight = np.where(open_, np.exp(-covered / demand * len(sizes) ** 0.5), 0.0) / demand
-        counts = price_knapsack(sizes, weight, demand, capacity)
-        used = counts > 0
-        amount = STEP * (demand[used] / counts[used]).min()
-        key = tuple((int(j), int(counts[j])) for j in np.flatnonzero(used)[::-1])
-        found[key] = found.get(key, 0.0) + amount
-        covered += counts * amount
-    return found
+    gain, covered = cover @ weight, share @ cover
+    rate = RATE / (gain @ share)
+    log_share, log_weight = np.log(np.maximum(share, 1e-30)), np.log(np.maximum(weight, 1e-30))
+    shares, weights = np.zeros_like(share), np.zeros_like(weight)
+    for step in range(STEPS):
+        gain_now, covered_now = cover @ weight, share @ cover
+        log_share += rate * (2 * gain_now - gain)
+        log_weight -= rate * (2 * covered_now - covered)
+        gain, covered = gain_now, covered_now
+        share, weight = np.exp(log_share - log_share.max()), np.exp(log_weight - log_weight.max())
+        share, weight = share / share.sum(), weight / weight.sum()
+        if step >= STEPS // 2:
+            shares, weights = shares + share, weights + weight
+    return shares / shares.sum(), weights / weights.sum()
+
+
+def program(sizes, demand, capacity):
+    """({configuration: multiplicity} covering the demand, lower bound of any such cover).
+
+    Every round prices each length by its weight over its demand; one dynamic program gives the best configuration
+    around every length, and its highest price the dual bound. Shares and weights are balanced over the configurations
+    found so far. Rounds end once what the shares leave uncovered costs at most ``GAP`` of the bound, after ``ROUNDS``
+    at the latest; that rest is covered by filling configurations, one length or more done with each. Work depends on
+    the number of lengths, never on the number of pieces.
+    """
+    lengths = np.arange(len(sizes))
+    configs = np.diag(np.minimum(capacity // sizes, np.ceil(demand))).astype(float)
+    share, weight = np.full(len(sizes), 1 / len(sizes)), sizes * demand / (sizes @ demand)
+    bound, scales = 0.0, np.linspace(0.9, 1.05, 61)
+    for _ in range(ROUNDS):
+        best, counts = price_rooms(sizes, weight / demand, capacity)
+        bound = max(bound, 1 / best[capacity])
+        fresh = counts[capacity - sizes].astype(float)
+        fresh[lengths, lengths] += 1
+        held = share > LEAST_SHARE / len(share)
+        known = dict(zip(map(bytes, configs[held]), share[held]))
+        configs = np.unique(np.vstack([configs[held], np.minimum(fresh, np.ceil(demand))]), axis=0)
+        share = np.array([known.get(bytes(c), 0.0) for c in configs])
+        share = 0.7 * share / share.sum() + 0.3 / len(configs)
+        share, weight = balance(configs / demand, share, weight)
+        rest = np.maximum(0, demand - scales[:, None] * bound * (share @ configs))
+        cost = scales * bound + rest @ np.maximum(sizes / capacity, weight / demand * bound)
+        at = cost.argmin()
+        if cost[at] <= (1 + GAP) * bound:
+            break
+    found = {}
+
+    def take(config, amount):
+        key = tuple((int(j), int(config[j])) for j in np.flatnonzero(config)[::-1])
+        found[key] = found.get(key, 0.0) + float(amount)
+
+    for config, amount in zip(configs, share * scales[at] * bound):
+        take(config, amount)
+    left = rest[at]
+    while (left > 1e-9 * demand).any():
+        open_ = left > 1e-9 * demand
+        config = np.where(open_, price_knapsack(sizes, np.where(open_, sizes, 0.0), np.ceil(demand), capacity), 0)
+        used = config > 0
+        amount = (left[used] / config[used]).min()
+        take(config, amount)
+        left = np.where(open_, left - config * amount, 0.0)
+    # what floating point left open, at most 1e-9 of a demand
+    grow = 1 + 2e-9
+    return {key: x * grow for key, x in found.items()}, bound
+
+
+def solve(sizes, demand, capacity):
+    """{configuration: multiplicity} covering the demand."""
+    return program(sizes, demand, capacity)[0]
 
 
 def round_down(found, classes, left):
-    """[(configuration of lengths, copies)] for the whole multiplicities, taken out of ``left``."""
+    """[(configuration of lengths, copies)] in whole multiplicities, taken out of ``left``.
+
+    Configurations stand in order of their lengths, and each gets the whole steps that the running sum of
+    multiplicities makes over it, as far as pieces are left: neighbours share their fractions, so little is lost.
+    """
     queue = {c: [n for n in lengths if left[n]] for c, lengths in classes.items()}
     stock = {c: sum(left[n] for n in lengths) for c, lengths in queue.items()}
-    bins = []
-    for key, amount in sorted(found.items(), key=lambda x: (-x[1], x[0])):
-        copies = min([int(amount), *(stock[c] // k for c, k in key)])
+    bins, due = [], 0.5
+    for key, amount in sorted(found.items(), reverse=True):
+        due += amount
+        copies = min([int(due), *(stock[c] // k for c, k in key)])
+        due -= int(due)
         if not copies:
             continue
         groups = [((), copies)]
@@ -268,17 +333,34 @@ def best_fit(left, capacity, bins=()):
     return done
 
 
+def reopen(bins, left):
+    """The bins without their last, shortest piece, which goes back to ``left`` where a bin has others.
+
+    The program knows lengths by class only; the piece that closes a bin is better chosen by its exact length.
+    """
+    out = []
+    for config, copies in bins:
+        if len(config) > 1:
+            left[config[-1][0]] += copies
+            config = config[:-1]
+        out.append((config, copies))
+    return out
+
+
 def make_plan(histogram, capacity=CAPACITY):
     """[(configuration, copies)]: every piece of the histogram exactly once.
 
-    The program covers pieces of at least ``LEAST_UNITS`` units, lengths rounded up to whole
-    units of ``capacity / UNITS`` tokens; shorter ones and what rounding leaves fill up by best fit.
+    The program covers pieces of at least ``LEAST_UNITS / UNITS`` of the capacity. More than ``UNITS`` different lengths
+    are rounded to whole units of ``capacity / UNITS`` tokens, and the last piece of each configuration is chosen
+    by its exact length: it is longer than all rounding in its configuration, so no bin overflows. Last pieces,
+    shorter ones and what rounding leaves fill up by best fit.
     """
-    unit = max(1, capacity // UNITS)
+    least = LEAST_UNITS * max(1, capacity // UNITS)
     left, classes = dict(histogram), {}
+    unit = 1 if sum(n >= least for n in left) <= UNITS else max(1, capacity // UNITS)
     for length in sorted(left, reverse=True):
-        if length >= LEAST_UNITS * unit:
-            classes.setdefault(-(-length // unit), []).append(length)
+        if length >= least:
+            classes.setdefault((length + unit // 2) // unit, []).append(length)
     bins = []
     if classes:
         sizes = np.array(sorted(classes))
@@ -286,8 +368,9 @@ def make_plan(histogram, capacity=CAPACITY):
         found = {tuple((int(sizes[j]), k) for j, k in key): x
                  for key, x in solve(sizes, demand, capacity // unit).items()}
         bins = round_down(found, classes, left)
-    plan = best_fit(left, capacity, bins)
-    return min(plan, best_fit(dict(histogram), capacity), key=lambda p: sum(c for _, c in p))
+        if unit > 1:
+            bins = reopen(bins, left)
+    return best_fit(left, capacity, bins)
 
 
 def slots(plan):
