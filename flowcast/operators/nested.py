@@ -166,3 +166,51 @@ def flatten(df, explode_arrays=False, separator="_"):
 
 def _zip_names(rows):
     return rows.schema["_row"].dataType.fieldNames()
+
+
+def parse_variant(df, text, out="doc"):
+    """JSON text to a VARIANT column, no schema declared; unreadable text is kept beside a NULL."""
+    parsed = F.try_parse_json(text)
+    bad = F.when(parsed.isNull() & F.col(text).isNotNull(), F.col(text))
+    return df.select("*", parsed.alias(out), bad.alias(CORRUPT))
+
+
+def variant_pairs(df, column, path="$", key="key", value="value", keep=()):
+    """One row per entry of the object (or array) at ``path`` of a VARIANT column, whatever its keys.
+
+    Documents without that path, or with a scalar there, give no row. Array elements have a NULL key; scalars come as
+    text, objects and arrays as JSON text.
+    """
+    spark, at_path = df.sparkSession, F.try_variant_get(column, path, "variant")
+    rows = df.select(*keep, at_path.alias("_object"))
+    entries = spark.tvf.variant_explode(F.col("_object").outer())
+    entries = entries.select(F.col("key").alias(key), F.col("value").cast("string").alias(value))
+    return rows.lateralJoin(entries).drop("_object")
+
+
+def _is_container(column):
+    return F.coalesce(F.schema_of_variant(column).rlike("^(OBJECT|ARRAY)<."), F.lit(False)) & (
+        ~F.to_json(column).isin("{}", "[]"))
+
+
+def variant_leaves(df, column, keep=(), depth=4):
+    """(path, value) of every scalar in a VARIANT column, objects with unlike keys side by side.
+
+    A path is like ``info.dates[0]``; a JSON null is a NULL value. Containers below ``depth`` levels and empty ones
+    are leaves of their JSON text; a document that is a scalar itself has the empty path, a NULL document no row.
+    Each level is one generate over the rows of the level before: no shuffle, no schema, no text parsed twice.
+    """
+    spark = df.sparkSession
+    rows = df.select(*keep, F.lit("").alias("path"), F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
+    for _ in range(depth):
+        inner = F.when(_is_container(F.col("_v")), F.col("_v"))
+        rows = rows.select(*keep, "path", "_v", inner.alias("_inner"))
+        entries = spark.tvf.variant_explode_outer(F.col("_inner").outer()).select(
+            F.col("pos").alias("_pos"), F.col("key").alias("_key"), F.col("value").alias("_value"))
+        step = (F.when(F.col("_inner").isNull(), F.lit(""))
+                .when(F.col("_key").isNull(), F.concat(F.lit("["), F.col("_pos").cast("string"), F.lit("]")))
+                .otherwise(F.concat(F.when(F.col("path") == "", F.lit("")).otherwise(F.lit(".")), F.col("_key"))))
+        rows = rows.lateralJoin(entries).select(
+            *keep, F.concat("path", step).alias("path"),
+            F.when(F.col("_inner").isNull(), F.col("_v")).otherwise(F.col("_value")).alias("_v"))
+    return rows.select(*keep, "path", F.col("_v").cast("string").alias("value"))

@@ -38,17 +38,12 @@ def add_lags(df, keys, ts, y, lags, warmup="null"):
 def add_trailing_means(df, keys, ts, y, windows, warmup="null"):
     """Mean of the ``k`` rows before the current one, for ``windows`` = {name: k}.
 
-    NULL until k values exist. Whole numbers go through running sums, exact and
-    constant work per row whatever k is; a sliding frame would add k values per row.
+    NULL until k values exist. Constant work per row whatever k is, where a sliding frame would add k values per row:
+    whole numbers go through running sums, exactly, others through sums within blocks (``_block_means``).
     """
     order = by_series(keys, ts)
     if not isinstance(df.schema[y].dataType, INTEGRAL):
-        columns = []
-        for name, k in windows.items():
-            frame = order.rowsBetween(-k, -1)
-            mean = F.when(F.count(y).over(frame) == k, F.avg(y).over(frame))
-            columns.append(_warm(mean.cast("double"), warmup).alias(name))
-        return df.select("*", *columns)
+        return _block_means(df, keys, order, y, windows, warmup)
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = df.select(
         "*",
@@ -67,6 +62,30 @@ def add_trailing_means(df, keys, ts, y, windows, warmup="null"):
     return summed.select(*df.columns, *columns)
 
 
+def _block_means(df, keys, order, y, windows, warmup):
+    """Trailing means of doubles from prefix and suffix sums within blocks of ``k`` rows.
+
+    The k rows before a row are the end of one block and the start of the next: one suffix and one prefix sum. Nothing is
+    ever subtracted, so a huge value, NaN or infinity touches only the windows that hold it.
+    """
+    rows = df.select(
+        "*", (F.row_number().over(order) - 1).alias("_row"), F.col(y).cast("double").alias("_y"),
+        F.count(y).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_count"))
+    columns = []
+    for i, (name, k) in enumerate(windows.items()):
+        block = Window.partitionBy(*keys, F.floor(F.col("_row") / F.lit(k)))
+        so_far = (Window.unboundedPreceding, Window.currentRow)
+        rows = rows.select(
+            "*", filled(F.sum("_y").over(block.orderBy("_row").rowsBetween(*so_far)), 0.0).alias(f"_head{i}"),
+            filled(F.sum("_y").over(block.orderBy(F.desc("_row")).rowsBetween(*so_far)), 0.0).alias(f"_tail{i}"))
+        series = Window.partitionBy(*keys).orderBy("_row")
+        head, tail = F.lag(f"_head{i}", 1).over(series), F.lag(f"_tail{i}", k).over(series)
+        count = F.lag("_count", 1).over(series) - filled(F.lag("_count", k + 1).over(series))
+        total = F.when(F.col("_row") % F.lit(k) == 0, head).otherwise(tail + head)
+        columns.append(_warm(F.when(count == k, total / F.lit(k)), warmup).alias(name))
+    return rows.select(*df.columns, *columns)
+
+
 def global_row_index(df, order, name="row_index", start=1, running=None, parts=None):
     """Consecutive numbers over the whole table in ``order``, without one big task.
 

@@ -12,6 +12,7 @@ from flowcast.queries.nesting import DELIVERIES
 from flowcast.queries.registry import registrar
 from flowcast.sources import catalog, readers, writers
 from flowcast.sources.audit import audit_copy
+from flowcast.sources.audit import audit_differences as differences
 from flowcast.sources.readers import read_table
 from flowcast.sources.staging import scratch_path
 
@@ -144,3 +145,21 @@ def schema_rows(spark, sf):
     counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
     counted = counts.unpivot([], rows.columns, "path", "n_values")
     return catalog.schema_rows(rows).join(counted, "path")
+
+
+@query("""WITH k AS (SELECT l_orderkey AS o, l_linenumber AS l, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT o AS l_orderkey, l AS l_linenumber, CASE WHEN o % 97 = 0 THEN 'missing' WHEN o % 89 = 0 THEN 'changed'
+  ELSE 'repeated' END AS kind, n AS source_rows, CASE WHEN o % 97 = 0 THEN 0 WHEN o % 89 = 0 THEN n ELSE 2 * n END AS copy_rows
+FROM k WHERE o % 97 = 0 OR o % 89 = 0 OR o % 83 = 0
+UNION ALL SELECT -o, l, 'added', 0, n FROM k WHERE o % 79 = 0 AND o <> 0""")
+def audit_differences(spark, sf):
+    """A copy with missing, changed, repeated and added rows, compared by hash trees."""
+    source, path = read_table(spark, sf, "lineitem"), scratch_path(spark, "differing")
+    key = F.col("l_orderkey")
+    kept = source.filter(key % 97 != 0)
+    quantity = F.when(key % 89 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    changed = kept.withColumn("l_quantity", quantity.cast(source.schema["l_quantity"].dataType))
+    repeated = kept.filter((key % 83 == 0) & (key % 89 != 0))
+    added = source.filter((key % 79 == 0) & (key != 0)).withColumn("l_orderkey", -key)
+    writers.write_parquet(changed.unionByName(repeated).unionByName(added), path)
+    return differences(source, readers.read_parquet(spark, path), ["l_orderkey", "l_linenumber"])

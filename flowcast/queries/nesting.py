@@ -201,3 +201,25 @@ def match_day_files(spark, sf):
     saved = mt.save_match_tables(mt.read_matches(spark, path), prefix=prefix, path=tables)
     return saved["metadata_table"].select("match_id", "created").distinct().join(
         saved["match_information_table"].select("match_id", "city", "venue"), "match_id").drop("match_id")
+
+
+@query(PAIRS.format(id="match_id", key="player_name", value="player_id"))
+def variant_registry(spark, sf):
+    """The registry of people without a declared schema: their names are keys of the documents."""
+    rows = nt.parse_variant(docs.registry_documents(spark, sf), "value")
+    return nt.variant_pairs(rows, "doc", "$.info.registry.people", "player_name", "player_id", ["match_id"])
+
+
+@query("""SELECT c_custkey, unnest(['name', 'address.street', 'scores[0]', 'scores[1]', 'seen_' || c_nationkey]) AS path,
+unnest([c_name, c_mktsegment, CAST(c_custkey AS VARCHAR), CAST(c_nationkey AS VARCHAR), NULL]) AS value FROM customer
+WHERE c_custkey % 9 <> 0""")
+def variant_flatten(spark, sf):
+    """Leaves of documents whose keys differ from one to the next, some of them unreadable."""
+    text = F.to_json(F.struct(
+        F.col("c_name").alias("name"), F.struct(F.col("c_mktsegment").alias("street")).alias("address"),
+        F.array("c_custkey", "c_nationkey").alias("scores")))
+    own = F.concat(F.lit(',"seen_'), F.col("c_nationkey").cast("string"), F.lit('":null}'))
+    whole = F.concat(F.expr("left(text, length(text) - 1)"), own)
+    rows = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey", text.alias("text"))
+    rows = rows.withColumn("text", F.when(F.col("c_custkey") % 9 == 0, F.col("text").substr(1, 9)).otherwise(whole))
+    return nt.variant_leaves(nt.parse_variant(rows, "text"), "doc", ["c_custkey"])

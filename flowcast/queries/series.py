@@ -420,3 +420,16 @@ def allocated_movements(spark, sf):
 @query(f"""WITH {BY_TYPE} SELECT ts_hour, event_type, n, unnest(generate_series(1, n)) AS copy FROM c""")
 def count_expand(spark, sf):
     return pf.expand_counts(hr.hourly_counts(events(spark, sf), "ts", ["event_type"]), "n")
+
+
+def _value_mean(k):
+    frame = f"OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN {k} PRECEDING AND 1 PRECEDING)"
+    return f"round(CASE WHEN count(value) {frame} = {k} THEN avg(value) {frame} END, 6)"
+
+
+@query(f"SELECT event_id, event_type, {_value_mean(24)} AS mean_24, {_value_mean(168)} AS mean_168 FROM events")
+def rolling_values(spark, sf):
+    """Trailing means of doubles, by sums within blocks."""
+    rows = events(spark, sf).select("event_id", "event_type", "value")
+    out = wn.add_trailing_means(rows, ["event_type"], "event_id", "value", {"mean_24": 24, "mean_168": 168})
+    return out.select("event_id", "event_type", *[F.round(c, 6).alias(c) for c in ("mean_24", "mean_168")])

@@ -106,3 +106,24 @@ def test_flatten_pairs_siblings_and_numbers_names(spark):
     assert out.columns == ["i", "a_b", "a_b_3", "a_b_2", "x", "y"]
     assert sorted(map(tuple, out.collect()), key=str) == [
         (1, 2, 3, 4, 1, "p"), (1, 2, 3, 4, 2, "q"), (1, 2, 3, 4, None, "r"), (2, None, 5, 6, None, None)]
+
+
+def test_variant_leaves_of_unlike_documents(spark):
+    texts = ['{"a": {"x y": 1, "b": [true, {"c": null}]}}', '{"z": 2.5}', "[1, [2]]", '"plain"', "{broken", None, "{}",
+             '{"e": [], "f": {}, "d": {"d": {"d": {"d": {"d": 1}}}}}', '{"": "named by nothing"}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    parsed = nt.parse_variant(rows, "text")
+    assert {r.id: r._corrupt_record for r in parsed.collect() if r._corrupt_record} == {4: "{broken"}
+    got = {(r.id, r.path): r.value for r in nt.variant_leaves(parsed, "doc", ["id"]).collect()}
+    assert got == {
+        (0, "a.x y"): "1", (0, "a.b[0]"): "true", (0, "a.b[1].c"): None, (1, "z"): "2.5", (2, "[0]"): "1", (2, "[1][0]"): "2",
+        (3, ""): "plain", (6, ""): "{}", (7, "e"): "[]", (7, "f"): "{}", (7, "d.d.d.d"): '{"d":1}',
+        (8, ""): "named by nothing"}
+    assert nt.variant_leaves(parsed.limit(0), "doc", ["id"]).count() == 0
+
+
+def test_variant_pairs(spark):
+    texts = ['{"p": {"Ann": "1", "Bo": {"n": 2}}}', '{"p": 3}', '{"q": {}}', "no", None, '{"p": {}}', '{"p": ["x"]}']
+    rows = nt.parse_variant(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "text")
+    got = {(r.id, r.key, r.value) for r in nt.variant_pairs(rows, "doc", "$.p", keep=["id"]).collect()}
+    assert got == {(0, "Ann", "1"), (0, "Bo", '{"n":2}'), (6, None, "x")}

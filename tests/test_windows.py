@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -119,3 +121,33 @@ def test_top_rows(spark):
     df = spark.range(100)
     assert [r.id for r in wn.top_rows(df, [F.col("id").desc()], 3).collect()] == [99, 98, 97]
     assert wn.first_rows(df).count() == 5
+
+
+@pytest.mark.parametrize("k", [1, 3, 7])
+def test_block_means_of_doubles(spark, series, k):
+    values = {"a": [random.Random(i).uniform(-5, 5) for i in range(40)], "b": [1.5], "c": [2.0] * k}
+    values["a"][4] = 1e300
+    out = wn.add_trailing_means(series(values, kind="double"), ["kind"], "ts_hour", "n", {"m": k})
+    got = {(r.kind, r.ts_hour.hour + 24 * (r.ts_hour.day - 1)): r.m for r in out.collect()}
+    for kind, row in values.items():
+        for i in range(len(row)):
+            want = sum(row[i - k:i]) / k if i >= k else None
+            assert got[kind, i] == (pytest.approx(want, rel=1e-12) if want is not None else None)
+
+
+def test_block_means_of_nulls_and_infinities(spark):
+    rows = [(i, v) for i, v in enumerate([1.0, None, 2.0, 4.0, float("inf"), 3.0, 5.0, float("nan"), 1.0, 2.0, 3.0])]
+    out = wn.add_trailing_means(spark.createDataFrame(rows, "t int, y double"), [], "t", "y", {"m": 2})
+    got = [r.m for r in out.orderBy("t").collect()]
+    assert got[:5] == [None, None, None, None, 3.0]
+    assert got[5] == got[6] == float("inf") and got[7] == 4.0 and got[10] == 1.5
+    assert got[8] != got[8] and got[9] != got[9]
+    assert wn.add_trailing_means(spark.createDataFrame([], "t int, y double"), [], "t", "y", {"m": 2}).count() == 0
+
+
+def test_block_means_use_no_sliding_frame(spark, series):
+    out = wn.add_trailing_means(series({"a": [1.0] * 9}, kind="double"), ["kind"], "ts_hour", "n", {"m": 24, "w": 168})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\(RowFrame, ([^)]*\)?)", plan)
+    assert frames and all("unboundedpreceding" in f or re.match(r"-\d+, -\d+", f) for f in frames)
+    assert "AVG" not in plan.upper() and plan.count("Exchange hashpartitioning") <= 1
