@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from flowcast.operators.nested import at, explode_rows, map_rows, project, tagged_rows
 from flowcast.sources.readers import read_json
+from flowcast.sources.releases import save_release
 from flowcast.sources.staging import stage
 from flowcast.sources.writers import save_table
 
@@ -181,3 +182,8 @@ def save_match_tables(docs, key="match_id", fmt="parquet", mode="error", prefix=
         name: save_table(table, prefix + name, fmt, mode, path and f"{path}/{name}")
         for name, table in match_tables(docs, key).items()
     }
+
+
+def save_match_release(docs, root, release, key="match_id", fmt="parquet"):
+    """Save the five tables together: readers see all of a release or all of the one before it."""
+    return save_release(match_tables(docs, key), root, release, fmt)

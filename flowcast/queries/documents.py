@@ -88,11 +88,11 @@ def header_documents(spark, sf):
         F.to_json(F.struct(meta.alias("meta"), info.alias("info"))).alias("value"))
 
 
-def day_documents(spark, sf, bits=22):
+def day_documents(spark, sf, bits=16):
     """The documents of all orders of a day and run of 2^bits rows as one JSON array text of many lines."""
     day = F.get_json_object("value", "$.meta.created").alias("day")
     rows = in_runs(header_documents(spark, sf).select("value", day), "day", bits=bits)
-    lines = F.regexp_replace(F.array_join(F.collect_list("value"), ","), r"\},", "},\n")
+    lines = F.array_join(F.collect_list("value"), ",\n")
     return rows.groupBy("day", "run").agg(F.concat(F.lit("["), lines, F.lit("]")).alias("value")).select("value")
 
 

@@ -13,6 +13,7 @@ from flowcast.operators import features as ft
 from flowcast.operators import windows as wn
 from flowcast.plans import reports as rp
 from flowcast.models import forest as fr
+from flowcast.models import series_trees as st
 from flowcast.operators.metrics import forecast_metrics
 from flowcast.operators.splits import holdout_by_days
 from flowcast.plans.forecast import compare_models, forecast_job, forecast_rows
@@ -347,6 +348,73 @@ def tree_recursive(spark, sf):
     return out.withColumn("predicted", F.round("predicted", 9))
 
 
+def _series_trees(rows, features, depth, bins, keep=""):
+    """SQL of one tree per type over ``rows`` (event_type, y, features, ``keep``): per level the sums and the best split,
+    then ``placed`` (rows with their leaf) and ``nodes``."""
+    bounds = ", ".join(f"min({f}) AS lo_{f}, max({f}) AS hi_{f}" for f in features)
+    cells = ", ".join(
+        f"CAST(greatest(least(coalesce(floor(({f} - lo_{f}) * {bins} / nullif(hi_{f} - lo_{f}, 0)), 0), {bins - 1}), 0) AS INTEGER)"
+        for f in features)
+    typed = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in features)
+    sql = f"""typed AS (SELECT event_type, y, {typed}{keep} FROM {rows}),
+bounds AS (SELECT event_type, {bounds} FROM typed WHERE y IS NOT NULL GROUP BY 1),
+r0 AS (SELECT typed.*, [{cells}] AS bins, 1 AS node FROM typed JOIN bounds USING (event_type))"""
+    feature_ids = list(range(len(features)))
+    for level in range(depth):
+        sql += f""",
+h{level} AS (SELECT event_type, node, feature, bin, count(*) AS m, sum(y) AS t FROM (SELECT event_type, node, y,
+  unnest({feature_ids}) AS feature, unnest(bins) AS bin FROM r{level} WHERE y IS NOT NULL AND node >= {1 << level}) GROUP BY ALL),
+c{level} AS (SELECT event_type, node, feature, bin, sum(m) OVER w AS ml, sum(t) OVER w AS tl, sum(m) OVER f - sum(m) OVER w AS mr,
+  sum(t) OVER f - sum(t) OVER w AS tr, sum(t) OVER f * sum(t) OVER f / sum(m) OVER f AS unsplit FROM h{level}
+  WINDOW f AS (PARTITION BY event_type, node, feature), w AS (PARTITION BY event_type, node, feature ORDER BY bin)),
+s{level} AS (SELECT event_type, node, feature, bin FROM c{level} WHERE mr >= 1 AND tl * tl / ml + tr * tr / mr > unsplit
+  QUALIFY row_number() OVER (PARTITION BY event_type, node ORDER BY tl * tl / ml + tr * tr / mr DESC, feature, bin) = 1),
+r{level + 1} AS (SELECT r.* REPLACE (CASE WHEN s.bin IS NULL THEN r.node
+  ELSE 2 * r.node + CAST(r.bins[s.feature + 1] > s.bin AS INTEGER) END AS node) FROM r{level} r LEFT JOIN s{level} s USING (event_type, node))"""
+    cuts = " UNION ALL ".join(f"SELECT * FROM s{i}" for i in range(depth))
+    lower = " ".join(f"WHEN {i} THEN lo_{f} + (bin + 1) * (hi_{f} - lo_{f}) / {bins}" for i, f in enumerate(features))
+    names = " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(features))
+    return sql + f""",
+cuts AS ({cuts}),
+way AS (SELECT event_type, y, unnest([node >> i FOR i IN range({depth + 1})]) AS node FROM r{depth} WHERE y IS NOT NULL),
+sums AS (SELECT event_type, node, count(*) AS m, avg(y) AS value FROM way WHERE node > 0 GROUP BY 1, 2),
+nodes AS (SELECT event_type, 0 AS tree, CAST(node AS INTEGER) AS node, CASE feature {names} END AS feature,
+  CASE feature {lower} END AS threshold, m, value FROM sums LEFT JOIN cuts USING (event_type, node) JOIN bounds USING (event_type))
+"""
+
+
+GROWN = ["hour", "dayofweek", "lag_24h"]
+
+
+@query(f"""WITH {BY_TYPE}, x AS (SELECT event_type, CAST(n AS DOUBLE) AS y, hour(ts_hour) AS hour, isodow(ts_hour) - 1 AS dayofweek,
+{_lag(24)} AS lag_24h FROM g {SERIES}), {_series_trees("x", GROWN, 2, 32)}
+SELECT event_type, tree, node, feature, round(threshold, 9) AS threshold, m, round(value, 9) AS value FROM nodes""")
+def tree_per_series(spark, sf):
+    """A tree of depth 2 for every type, all grown in one job."""
+    rows = stage(ft.add_history(ft.add_calendar(grid(spark, sf), "ts_hour"), KEYS, "ts_hour", "n"), "tree")
+    bounds, nodes = st.fit_trees(rows, KEYS, "n", GROWN, depth=2)
+    out = st.thresholds(bounds, nodes, KEYS, GROWN)
+    return out.withColumns({c: F.round(c, 9) for c in ("threshold", "value")})
+
+
+HORIZONS = [1, 6, 24, 168]
+AHEAD = ["hour", "now", "horizon", "target_hour", "target_weekday"]
+
+
+@query(f"""WITH {BY_TYPE}, p AS (SELECT event_type, ts_hour, n, h.horizon, ts_hour + to_hours(h.horizon) AS at_ts,
+  max(ts_hour) OVER (PARTITION BY event_type) AS last FROM g CROSS JOIN (SELECT unnest({HORIZONS}) AS horizon) h),
+x AS (SELECT p.event_type, CAST(f.n AS DOUBLE) AS y, hour(p.ts_hour) AS hour, p.n AS now, p.horizon, hour(p.at_ts) AS target_hour,
+  isodow(p.at_ts) - 1 AS target_weekday, p.at_ts, p.ts_hour = p.last AS is_last
+  FROM p LEFT JOIN g f ON f.event_type = p.event_type AND f.ts_hour = p.at_ts), {_series_trees("x", AHEAD, 2, 32, ", at_ts, is_last")}
+SELECT r2.event_type, r2.at_ts AS ts_hour, CAST(r2.horizon AS INTEGER) AS horizon, round(greatest(value, 0.0), 9) AS predicted
+FROM r2 JOIN nodes ON nodes.event_type = r2.event_type AND nodes.node = r2.node WHERE is_last""")
+def direct_reduction(spark, sf):
+    """Four horizons from one tree per type over (row, horizon) pairs; no prediction is fed back."""
+    rows = ft.add_calendar(grid(spark, sf), "ts_hour").withColumn("now", F.col("n"))
+    out = st.direct_forecast(rows, KEYS, "ts_hour", "n", ["hour", "now"], HORIZONS, depth=2)
+    return out.withColumn("predicted", F.round("predicted", 9))
+
+
 @query(NAIVE + """SELECT segment, count(*) AS n, min(ts_hour) AS first_ts, max(ts_hour) AS last_ts,
 count(DISTINCT event_type) AS series, true AS complete, 1.0::DOUBLE AS importance FROM x GROUP BY 1""")
 def forest_shape(spark, sf):

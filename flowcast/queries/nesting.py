@@ -1,7 +1,5 @@
 """Nested documents to flat tables; the documents are nested from the supplied tables."""
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +9,7 @@ from flowcast.queries import documents as docs
 from flowcast.queries.registry import registrar
 from flowcast.sources.catalog import struct_fields
 from flowcast.sources.readers import read_json, read_table
-from flowcast.sources.staging import on_release, scratch_path
+from flowcast.sources.staging import scratch_path
 
 QUERIES, ORACLES, query = registrar()
 
@@ -192,13 +190,10 @@ def inferred_json(spark, sf):
 @query("""SELECT strftime(o_orderdate, '%Y-%m-%d') AS created, o_orderpriority AS city, 'Ground ' || (o_custkey % 10) AS venue
 FROM orders""")
 def match_day_files(spark, sf):
-    """Multi-line files of all orders, one per day and run of rows, keyed by file name to five catalog tables, and a join of two of them."""
-    path, tables = scratch_path(spark, "match-files"), scratch_path(spark, "match-tables")
+    """Multi-line files of all orders, one per day and run of rows, keyed by file name, saved as one release of five tables, and a join of two of them."""
+    path, root = scratch_path(spark, "match-files"), scratch_path(spark, "match-release")
     docs.day_documents(spark, sf).write.option("maxRecordsPerFile", 1).text(path)
-    prefix = "m" + uuid.uuid4().hex + "_"
-    for name in mt.TABLES:
-        on_release(lambda name=name: spark.sql(f"DROP TABLE IF EXISTS `{prefix}{name}`"))
-    saved = mt.save_match_tables(mt.read_matches(spark, path), prefix=prefix, path=tables)
+    saved = mt.save_match_release(mt.read_matches(spark, path), root, "orders")
     return saved["metadata_table"].select("match_id", "created").distinct().join(
         saved["match_information_table"].select("match_id", "city", "venue"), "match_id").drop("match_id")
 
