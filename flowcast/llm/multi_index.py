@@ -148,19 +148,24 @@ def _chunks(batches, books, weight, enough, per_group, dtype, target):
                         "queries": [vectors[lo:lo + CHUNK][use].astype(dtype).tobytes()]}, target)
 
 
+#: Twice the unit of rounding of a double: covers products, sums and differences of the rough formula.
+ROUNDING = 2 * np.finfo(np.float64).eps
+
+
 def rerank(query_ids, queries, bits, ids, cell, vectors, k):
     """The k nearest entries in visited cells for each query: (query id, entry id, distance)."""
     q, v = queries.astype(np.float64), vectors.astype(np.float64)
-    rough = nearest(q, v)
-    rough[~bits[:, cell] | (query_ids[:, None] == ids[None, :])] = np.inf
+    away = ~bits[:, cell] | (query_ids[:, None] == ids[None, :])
+    with np.errstate(over="ignore", invalid="ignore"):
+        rough = nearest(q, v)
+        q_norm, v_norm = (q ** 2).sum(1), (v ** 2).sum(1)
     for i in range(len(q)):
-        row = rough[i]
-        open_ = np.isfinite(row).sum()
-        if open_ > k:  # all that could be among the k nearest despite rounding
-            edge = np.partition(row, k - 1)[k - 1]
-            near = np.flatnonzero(row <= edge + 1e-9 * (1 + abs(edge)))
-        else:
-            near = np.flatnonzero(np.isfinite(row))
+        near = np.flatnonzero(~away[i])
+        if len(near) > k:   # all that could be among the k nearest despite rounding, which grows with the norms
+            row, slack = rough[i, near], ROUNDING * (q.shape[1] + 4) * (q_norm[i] + v_norm[near])
+            sure = np.isfinite(row) & np.isfinite(slack)
+            edge = np.partition(np.where(sure, row + slack, np.inf), k - 1)[k - 1]
+            near = near[~sure | (row - slack <= edge)]
         exact = np.sqrt(((v[near] - q[i]) ** 2).sum(1))
         best = np.lexsort((ids[near], exact))[:k]
         yield query_ids[i], ids[near][best], exact[best]

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from flowcast.llm import multi_index as m
 
@@ -63,3 +64,18 @@ def test_empty_and_single(spark):
     assert run(frame(spark, [], [])) == {}
     assert run(frame(spark, [0], [[1.0, 1.0]])) == {}
     assert run(frame(spark, [0, 1], [[1.0], [3.0]])) == {0: [(1, 2.0)]}
+
+
+@pytest.mark.parametrize("norm", [1e3, 1e6, 1e7])
+def test_rounding_of_large_vectors_loses_no_neighbour(norm):
+    r = np.random.default_rng(8)
+    vectors = norm + 0.1 * r.standard_normal((400, 16))
+    ids, cell = np.arange(400), np.zeros(400, np.int32)
+    for q, near, dist in m.rerank(ids[:20], vectors[:20], np.ones((20, 1), bool), ids, cell, vectors, 10):
+        assert list(zip(near.tolist(), dist.tolist())) == brute(ids, vectors, q)
+
+
+def test_distances_beyond_the_range_of_squares():
+    vectors = np.array([[1e200, 0.0], [1e200, 1.0], [-1e200, 3.0], [1e200, 2.0]])
+    got = list(m.rerank(np.array([0]), vectors[:1], np.ones((1, 1), bool), np.arange(4), np.zeros(4, np.int32), vectors, 2))
+    assert got[0][1].tolist() == [1, 3] and got[0][2].tolist() == [1.0, 2.0]
