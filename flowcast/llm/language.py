@@ -261,7 +261,7 @@ def page_evidence(pages, id_col="page_id", url_col="url", html_col="html"):
     host = F.lower(
         F.regexp_extract(F.coalesce(pages[f"`{url_col}`"], F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
     host = F.when(host == "", F.lit(None)).otherwise(host)
-    declared = F.lower(F.regexp_extract(html, r"(?i)<html[^>]{0,2000}?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
+    declared = F.lower(F.regexp_extract(html, r"(?i)<html(?=\s)[^<>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", 1))
     visible = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
     visible = F.regexp_replace(visible, r"&[A-Za-z0-9#]{1,10};", " ")
     return pages.select(

@@ -58,6 +58,12 @@ def test_suffixes_stand_between_hosts_and_all(spark):
     assert (got[900], got[901]) == ("aa", "bb")
 
 
+def test_declarations_behind_long_attributes(spark):
+    tags = ["<html data-x='" + "y" * 50000 + "' lang=fr>", "<htmlx lang=fr>", "<html><p lang=fr>", "<html" * 200, "<html\n LANG = 'de-AT'>"]
+    pages = spark.createDataFrame([(i, "https://a.fr/", t) for i, t in enumerate(tags)], "page_id long, url string, html string")
+    assert [r.lang for r in language.page_evidence(pages).orderBy("page_id").collect()] == ["fr", None, None, None, "de"]
+
+
 def test_page_evidence(spark):
     pages = spark.createDataFrame([
         (1, "https://user@m.Site.example.FR:80/x?y", "<!DOCTYPE html><html class='a' lang=\"fr-CA\"><script>var a='<p>'</script><p>Bon&amp;jour</p>"),
