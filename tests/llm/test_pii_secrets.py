@@ -96,3 +96,33 @@ def test_random_strings_against_identifiers(spark):
     hidden = make()
     found = secret_markov.spans_of(f"see {names[0]} and {hidden}0 there", ratio)
     assert found == [(3, len(f"see {names[0]} and "), len(f"see {names[0]} and {hidden}0"), True)]
+
+
+def test_held_out_strings_and_names(spark):
+    """Precision and recall on strings and names that were not trained on, the names of held-out words."""
+    rows = [(i, " ".join(secret_markov.identifiers(3, ["window", "silver", "engine", "garden", "letter"], i)) + " plain words of prose") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ratio, rate = secret_markov.train_and_calibrate(docs)
+    words = [w for w in [*secret_markov.COMMON, "window", "silver", "engine", "garden", "letter"] if secret_markov.held_out(w)]
+    names = secret_markov.identifiers(2000, words, 77) + [
+        "max_connection_pool_size_64", "getUserAccountByIdentifier2", "customer_order_history_2024_q3"]
+    keys = secret_markov.random_strings(2000, 78)
+    caught = sum(bool(secret_markov.random_spans(k, ratio, rate)) for k in keys)
+    wrong = [n for n in names if secret_markov.random_spans(n, ratio, rate)]
+    print(rate, caught, len(wrong), wrong[:5])
+    assert caught >= 0.95 * len(keys) and caught >= 0.99 * (caught + len(wrong))
+    assert not set(names[-3:]) & set(wrong)
+
+
+def test_keys_behind_names_and_beside_rules(spark):
+    docs = spark.createDataFrame([(1, "plain words of prose")], "doc_id long, text string")
+    ratio, rate = secret_markov.train_and_calibrate(docs)
+    key = "q7Zp0Xv9Lk2Wn4Rt8Yb3"
+    for before in ("auth_header_value=", "hooks/services/"):
+        text = f"see {before}{key} there"
+        found = [text[a:b] for k, a, b, added in secret_markov.spans_of(text, ratio, rate) if added]
+        assert len(found) == 1 and found[0].endswith(key)
+    text = f"token={key} and {'0a' * 12}/{key}"
+    kinds = [(k, text[a:b]) for k, a, b, _ in secret_markov.spans_of(text, ratio, rate)]
+    assert kinds[0][0] == 0 and (2, "0a" * 12) in kinds and kinds[-1][0] == 3 and kinds[-1][1].endswith(key)
+    assert secret_markov.spans_of("ab_" * 70000 + "x" * 100000, ratio, rate) is not None
