@@ -62,24 +62,27 @@ def windows(units):
     """(sorted words and languages, matrix of window rows by their numbers from 1) of some units."""
     data = b"\n".join(u[1] for u in units)
     offsets = np.cumsum([0] + [len(u[1]) + 1 for u in units])
+    limit = offsets[:-1] + np.array([u[2] for u in units], np.int64)
     buffer = np.frombuffer(data, np.uint8)
     inside = (buffer != 32) & (buffer != 10)
-    edge = np.flatnonzero(np.diff(inside, prepend=not inside[0])) if len(buffer) else np.zeros(0, np.int64)
-    runs = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(edge), [None, pa.py_buffer(np.r_[edge, len(buffer)].astype(np.int64)), pa.py_buffer(data)])
+    edge = np.flatnonzero(np.diff(inside, prepend=not inside[0])).astype(np.int32) if len(buffer) else np.zeros(0, np.int32)
     first = inside[edge] if len(edge) else np.zeros(0, bool)
+    del inside
+    runs = pa.BinaryArray.from_buffers(
+        pa.binary(), len(edge), [None, pa.py_buffer(np.r_[edge, np.int32(len(buffer))]), pa.py_buffer(data)])
     start = edge[first]
-    unit = np.searchsorted(offsets, start, side="right") - 1
-    piece = np.searchsorted(np.flatnonzero(buffer == 10), start)
-    langs = pa.array([u[0] for u in units], pa.large_binary())
+    langs = pa.array([u[0] for u in units], pa.binary())
     words, codes = _ranked(pa.concat_arrays([runs.filter(pa.array(first)), langs]))
+    del runs, edge, first
+    piece = np.searchsorted(np.flatnonzero(buffer == 10).astype(np.int32), start).astype(np.int32)
+    unit = (np.searchsorted(offsets, start, side="right") - 1).astype(np.int32)
     rows = np.zeros((len(start), DEPTH), np.int32)
     rows[:, 0] = codes[len(start):][unit]
     word = codes[:len(start)]
     for k in range(min(LONGEST, len(word))):
         rows[:len(word) - k, k + 1] = np.where(piece[k:] == piece[:len(word) - k], word[k:], 0)
-    limit = np.array([u[2] for u in units], np.int64)
-    return words, rows[start < offsets[unit] + limit[unit]]
+    begins = start < limit[unit]
+    return words, rows if begins.all() else rows[begins]
 
 
 def _ranked(column):
