@@ -1,12 +1,14 @@
 """Nest the flat tables into match documents.
 
-A document covers one key and one run of neighbouring input rows. A key with very many
+A document covers one key and one run of its rows. A key with very many
 rows so becomes many documents of bounded size, never one large group; flattening them
-gives the rows back whole. How many documents a key has follows the file split, so ids are
-not unique and no query reports a count per document. The run number depends on the file split alone, so a
-recomputed task repeats it.
+gives the rows back whole. Ids are not unique and no query reports a count per document. The run number depends on
+the rows per key and the file split alone, so a recomputed task repeats it.
 """
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from flowcast.sources.readers import read_table
@@ -14,10 +16,26 @@ from flowcast.sources.readers import read_table
 RUN_BITS = 16
 
 
+def long_keys(df, *keys, bits=RUN_BITS):
+    """(k0, k1, ..., runs) of the keys with more than 2^bits rows: at most one per 2^bits rows of ``df``."""
+    counts = df.groupBy(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("n"))
+    runs = F.ceil(F.col("n") / 2 ** bits).cast("int").alias("runs")
+    return counts.filter(F.col("n") > 2 ** bits).select(*[f"k{i}" for i in range(len(keys))], runs)
+
+
 def in_runs(df, *keys, bits=RUN_BITS):
-    """Add the number of the run of 2^bits rows and spread the rows by key and run."""
-    run = F.shiftright(F.monotonically_increasing_id(), bits).alias("run")
-    return df.select("*", run).repartition(*keys, "run")
+    """Add the number of the run of about 2^bits rows and spread the rows by key and run.
+
+    A key has as many runs as its own rows fill, one if they are few, however they are spread over the files.
+    Without keys a run is one of neighbouring rows.
+    """
+    place = F.monotonically_increasing_id()
+    if not keys:
+        return df.select("*", F.shiftright(place, bits).alias("run")).repartition("run")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"k{i}")) for i, k in enumerate(keys)])
+    rows = df.select("*", place.alias("place")).join(F.broadcast(long_keys(df, *keys, bits=bits)), same, "left")
+    run = F.coalesce(F.pmod(F.xxhash64("place"), "runs"), F.lit(0)).cast("int").alias("run")
+    return rows.select(*df.columns, run).repartition(*keys, "run")
 
 
 def _text_date(c):
@@ -58,7 +76,7 @@ def innings_documents(spark, sf):
 
 
 def header_documents(spark, sf):
-    """One JSON text per order with its meta and info objects."""
+    """One JSON text per order with its meta and info objects, and its day."""
     day = _text_date("o_orderdate")
     late = F.col("o_orderstatus") == "F"
     done = F.col("o_orderstatus") != "O"
@@ -84,14 +102,13 @@ def header_documents(spark, sf):
             F.when(late, F.struct(F.floor(F.col("o_totalprice") / 1000).cast("int").alias("runs")))
             .alias("by"))).alias("outcome"))
     return read_table(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("match_id"),
+        F.col("o_orderkey").alias("match_id"), day.alias("day"),
         F.to_json(F.struct(meta.alias("meta"), info.alias("info"))).alias("value"))
 
 
 def day_documents(spark, sf, bits=16):
-    """The documents of all orders of a day and run of 2^bits rows as one JSON array text of many lines."""
-    day = F.get_json_object("value", "$.meta.created").alias("day")
-    rows = in_runs(header_documents(spark, sf).select("value", day), "day", bits=bits)
+    """The documents of all orders of a day and run of its rows as one JSON array text of many lines."""
+    rows = in_runs(header_documents(spark, sf).select("value", "day"), "day", bits=bits)
     lines = F.array_join(F.collect_list("value"), ",\n")
     return rows.groupBy("day", "run").agg(F.concat(F.lit("["), lines, F.lit("]")).alias("value")).select("value")
 

@@ -116,3 +116,16 @@ def test_files_of_a_day_hold_every_order(spark, tmp_path):
     got = nesting.QUERIES["match_day_files"](spark, str(tmp_path)).collect()
     want = [(f"2024-{'01' if i % 5 < 2 else '02'}-{[30, 31, 1, 2, 3][i % 5]:02}", f"p{i % 3}", f"Ground {i % 10}") for i in range(200)]
     assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_files_of_a_day_grow_with_its_orders_alone(spark, tmp_path):
+    """One file per day however its orders are spread over the input; days of many orders in several."""
+    from flowcast.queries import documents
+    spark.sql("""SELECT id AS o_orderkey, id % 30 AS o_custkey, IF(id % 5 < 4, date_add(DATE '2024-01-30', CAST(id % 5 AS INT)), NULL) AS o_orderdate,
+        'p' AS o_orderpriority, 'F' AS o_orderstatus, 1000.0D AS o_totalprice FROM range(400)""").repartition(8).write.parquet(f"{tmp_path}/orders.parquet")
+    for bits, most in ((16, 5), (5, 15)):
+        texts = [json.loads(r.value) for r in documents.day_documents(spark, str(tmp_path), bits=bits).collect()]
+        assert 5 <= len(texts) <= most and (bits == 16 or len(texts) > 5)
+        assert sum(map(len, texts)) == 400
+        assert all(len({d["meta"].get("created") for d in text}) == 1 for text in texts)
+        assert sorted(d["info"]["event"]["match_number"] for text in texts for d in text) == sorted(i % 100 for i in range(400))
