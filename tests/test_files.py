@@ -2,6 +2,7 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from flowcast.session import shared_dir
@@ -134,3 +135,30 @@ def test_a_joined_frame_compacts_by_what_it_holds(spark, tmp_path):
     assert len(spark.read.parquet(str(tmp_path / "j")).inputFiles()) == 1
     size = sum(f.stat().st_size for f in (tmp_path / "c").glob("*.csv"))
     assert abs(len(list((tmp_path / "c").glob("*.csv"))) - size / 20000) <= 1
+
+
+@pytest.mark.parametrize("parts, rows", [(1, 3), (1, 6000), (7, 6000), (40, 40)])
+def test_few_even_files_are_written_without_a_shuffle(spark, tmp_path, parts, rows):
+    """The one task per file reads its share as compressed columns, not as the rows of a shuffle."""
+    plans, write = [], DataFrameWriter.parquet
+    df = spark.range(0, rows, 1, parts).select("id", F.create_map(F.lit("k"), "id").alias("m"), F.lit("x").alias("a b.c"))
+
+    def seen(writer, path, *args, **how):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return write(writer, path, *args, **how)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrameWriter, "parquet", seen)
+        writers.compact_parquet(df, str(tmp_path / "even"), files=3, even=True)
+    assert plans and not [p for p in plans if "Exchange" in p]
+    copy = readers.read_parquet(spark, str(tmp_path / "even"))
+    assert tuple(audit_copy(df, copy).first()) == (rows, rows, 3, True, True)
+    sizes = [r["count"] for r in copy.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) - min(sizes) <= parts
+    writers.write_csv(df.select("id"), str(tmp_path / "csv"), files=3, even=True)
+    assert readers.read_csv(spark, str(tmp_path / "csv"), "id long").distinct().count() == rows
+
+
+def test_no_rows_in_few_even_files(spark, tmp_path):
+    writers.compact_parquet(spark.range(0), str(tmp_path / "none"), files=3, even=True)
+    assert readers.read_parquet(spark, str(tmp_path / "none")).count() == 0
