@@ -23,17 +23,18 @@ def long_keys(df, *keys, bits=RUN_BITS):
     return counts.filter(F.col("n") > 2 ** bits).select(*[f"k{i}" for i in range(len(keys))], runs)
 
 
-def in_runs(df, *keys, bits=RUN_BITS):
+def in_runs(df, *keys, bits=RUN_BITS, long=None):
     """Add the number of the run of about 2^bits rows and spread the rows by key and run.
 
     A key has as many runs as its own rows fill, one if they are few, however they are spread over the files.
-    Without keys a run is one of neighbouring rows.
+    Without keys a run is one of neighbouring rows. ``long`` are the ``long_keys`` if known.
     """
     place = F.monotonically_increasing_id()
     if not keys:
         return df.select("*", F.shiftright(place, bits).alias("run")).repartition("run")
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"k{i}")) for i, k in enumerate(keys)])
-    rows = df.select("*", place.alias("place")).join(F.broadcast(long_keys(df, *keys, bits=bits)), same, "left")
+    long = long if long is not None else long_keys(df, *keys, bits=bits)
+    rows = df.select("*", place.alias("place")).join(F.broadcast(long), same, "left")
     run = F.coalesce(F.pmod(F.xxhash64("place"), "runs"), F.lit(0)).cast("int").alias("run")
     return rows.select(*df.columns, run).repartition(*keys, "run")
 
@@ -43,35 +44,36 @@ def _text_date(c):
 
 
 def innings_documents(spark, sf):
-    """orders ⟕ lineitem: (match_id, info, innings), innings = flag, over = line number."""
-    items = read_table(spark, sf, "lineitem")
-    wicket = F.struct(F.concat(F.lit("p"), "l_partkey").alias("player_out"),
-                      F.col("l_returnflag").alias("kind"))
+    """orders ⟕ lineitem: (match_id, info, innings), innings = flag, over = line number.
+
+    Only the columns that deliveries are made of are shuffled, once; headers follow to the runs of their order.
+    """
+    items = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", F.col("l_returnflag").alias("team"), F.col("l_linenumber").alias("over"), "l_partkey", "l_suppkey",
+        F.to_date("l_shipdate").alias("shipped"), F.col("l_quantity").cast("int").alias("quantity"),
+        F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
+        F.floor("l_extendedprice").cast("int").alias("price"), (F.col("l_linestatus") == "F").alias("out"))
+    batter = F.concat(F.lit("p"), "l_partkey")
     delivery = F.struct(
-        F.concat(F.lit("p"), "l_partkey").alias("batter"),
-        F.concat(F.lit("s"), "l_suppkey").alias("bowler"),
-        _text_date("l_shipdate").alias("non_striker"),
-        F.struct(
-            F.col("l_quantity").cast("int").alias("batter"),
-            F.round(F.col("l_discount") * 100).cast("int").alias("extras"),
-            F.floor("l_extendedprice").cast("int").alias("total"),
-        ).alias("runs"),
-        F.when(F.col("l_linestatus") == "F", F.array(wicket)).alias("wickets"),
-    )
-    rows = in_runs(
-        items.select("l_orderkey", F.col("l_returnflag").alias("team"),
-                     F.col("l_linenumber").alias("over"), delivery.alias("delivery")),
-        "l_orderkey")
+        batter.alias("batter"), F.concat(F.lit("s"), "l_suppkey").alias("bowler"),
+        _text_date("shipped").alias("non_striker"),
+        F.struct(F.col("quantity").alias("batter"), F.col("discount").alias("extras"), F.col("price").alias("total")).alias("runs"),
+        F.when(F.col("out"), F.array(F.struct(batter.alias("player_out"), F.col("team").alias("kind")))).alias("wickets"))
+    long = long_keys(items, "l_orderkey")
+    rows = in_runs(items, "l_orderkey", long=long)
     overs = rows.groupBy("l_orderkey", "run", "team", "over").agg(
-        F.collect_list("delivery").alias("deliveries"))
+        F.collect_list(delivery).alias("deliveries"))
     teams = overs.groupBy("l_orderkey", "run", "team").agg(
         F.collect_list(F.struct("over", "deliveries")).alias("overs"))
     documents = teams.groupBy("l_orderkey", "run").agg(
         F.collect_list(F.struct("team", "overs")).alias("innings"))
     info = F.struct(F.array(_text_date("o_orderdate")).alias("dates"),
                     F.col("o_orderpriority").alias("venue"))
-    header = read_table(spark, sf, "orders").select("o_orderkey", info.alias("info"))
-    joined = documents.join(header, F.col("l_orderkey") == F.col("o_orderkey"))
+    runs = F.explode(F.sequence(F.lit(0), F.coalesce("runs", F.lit(1)) - 1)).alias("o_run")
+    header = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority").join(
+        F.broadcast(long), F.col("o_orderkey") == F.col("k0"), "left").select("o_orderkey", "o_orderdate", "o_orderpriority", runs)
+    same = (F.col("l_orderkey") == F.col("o_orderkey")) & (F.col("run") == F.col("o_run"))
+    joined = documents.join(header, same).select("l_orderkey", info.alias("info"), "innings")
     return joined.select(F.col("l_orderkey").cast("string").alias("match_id"), "info", "innings")
 
 

@@ -129,3 +129,20 @@ def test_files_of_a_day_grow_with_its_orders_alone(spark, tmp_path):
         assert sum(map(len, texts)) == 400
         assert all(len({d["meta"].get("created") for d in text}) == 1 for text in texts)
         assert sorted(d["info"]["event"]["match_number"] for text in texts for d in text) == sorted(i % 100 for i in range(400))
+
+
+def test_innings_of_an_order_are_one_document_wherever_its_lines_lie(spark, tmp_path):
+    """Only an order of more lines than a run has several documents; lines are shuffled as narrow columns, once."""
+    from flowcast.queries import documents
+    spark.sql("""SELECT IF(id < 70000, 0, id % 50) AS l_orderkey, id AS l_partkey, id % 9 AS l_suppkey, CAST(id % 7 AS INT) AS l_linenumber,
+        CAST(id % 50 AS DOUBLE) AS l_quantity, 0.04D AS l_discount, 10.5D AS l_extendedprice, IF(id % 2 = 0, 'A', 'N') AS l_returnflag,
+        IF(id % 3 = 0, 'F', 'O') AS l_linestatus, TIMESTAMP_NTZ '2024-01-30 23:00:00' AS l_shipdate FROM range(71000)
+        """).repartition(5).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT id AS o_orderkey, DATE '2024-01-30' AS o_orderdate, 'p' || id AS o_orderpriority FROM range(60)").write.parquet(f"{tmp_path}/orders.parquet")
+    docs = documents.innings_documents(spark, str(tmp_path))
+    sizes = dict(docs.groupBy("match_id").count().collect())
+    assert sizes.pop("0") == 2 and set(sizes.values()) == {1} and len(sizes) == 49
+    balls = mt.ball_by_ball(docs)
+    got = balls.selectExpr("count(*)", "count(distinct Batter)", "count(Wicket_Kind)", "count_if(Venue <> 'p' || Match_ID)", "sum(Runs_Batter)").first()
+    assert tuple(got) == (71000, 71000, 23667, 0, sum(i % 50 for i in range(71000)))
+    assert {(r.Non_Striker, r.Runs_Extras, r.Runs_Total) for r in balls.select("Non_Striker", "Runs_Extras", "Runs_Total").distinct().collect()} == {("2024-01-30", 4, 10)}
