@@ -63,7 +63,7 @@ def format_scan(spark, sf):
 @query(DELIVERIES)
 def json_roundtrip(spark, sf):
     path = scratch_path(spark, "documents")
-    writers.write_json(docs.innings_documents(spark, sf), path)
+    writers.write_json(docs.innings_documents(spark, sf), path, compression="gzip")
     schema = "match_id string, " + mt.MATCH_SCHEMA
     return mt.ball_by_ball(readers.read_json(spark, path, schema, multiline=False))
 

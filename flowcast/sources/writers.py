@@ -91,9 +91,14 @@ def write_csv(df, path, header=True, compact=False, files=None, target_bytes=128
     df.write.mode(mode).options(header=header, **options).csv(path)
 
 
-def write_json(df, path, mode="overwrite"):
-    """JSON, one document per line, so the files stay splittable."""
-    df.write.mode(mode).json(path)
+def write_json(df, path, mode="overwrite", max_records=65536, **options):
+    """JSON, one document per line, so the files stay splittable.
+
+    Compressed files (``compression="gzip"``) are not; they hold at most ``max_records`` documents each instead.
+    """
+    if options.get("compression", "none") != "none":
+        options = {"maxRecordsPerFile": max_records, **options}
+    df.write.mode(mode).options(**options).json(path)
 
 
 def save_table(df, name, fmt="parquet", mode="error", path=None, partition_by=()):

@@ -162,3 +162,25 @@ def test_few_even_files_are_written_without_a_shuffle(spark, tmp_path, parts, ro
 def test_no_rows_in_few_even_files(spark, tmp_path):
     writers.compact_parquet(spark.range(0), str(tmp_path / "none"), files=3, even=True)
     assert readers.read_parquet(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_compressed_json_is_written_in_files_of_bounded_documents(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 2).select("id", F.lit("text").alias("t"))
+    writers.write_json(df, str(tmp_path / "z"), max_records=200, compression="gzip")
+    files = sorted((tmp_path / "z").glob("*.json.gz"))
+    assert len(files) == 6 and not list((tmp_path / "z").glob("*.json"))
+    back = readers.read_json(spark, str(tmp_path / "z"), "id long, t string", multiline=False)
+    assert max(r["count"] for r in back.groupBy(F.input_file_name()).count().collect()) <= 200
+    assert sorted(r.id for r in back.collect()) == list(range(1000))
+    writers.write_json(df, str(tmp_path / "plain"))
+    assert len(list((tmp_path / "plain").glob("*.json"))) == 2
+
+
+def test_documents_of_the_roundtrip_are_compressed(spark, tmp_path):
+    from flowcast.queries import files
+    spark.sql("""SELECT id AS l_orderkey, id AS l_partkey, id AS l_suppkey, 1 AS l_linenumber, 1.0D AS l_quantity, 0.0D AS l_discount,
+        1.0D AS l_extendedprice, 'A' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP_NTZ '2024-01-30 00:00:00' AS l_shipdate FROM range(20)
+        """).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT id AS o_orderkey, DATE '2024-01-30' AS o_orderdate, 'p' AS o_orderpriority FROM range(20)").write.parquet(f"{tmp_path}/orders.parquet")
+    out = files.QUERIES["json_roundtrip"](spark, str(tmp_path))
+    assert out.count() == 20 and all(f.endswith(".json.gz") for f in out.inputFiles())
